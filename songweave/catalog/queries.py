@@ -39,6 +39,7 @@ from songweave.plans.ranking import (
     ranker_split,
     ranking_dataset,
 )
+from songweave.session import apply_settings
 from songweave.sources import fixtures, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,8 +67,7 @@ def query(what: Query | str):
 
 def _register(name: str, fn: Query) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-        return rounded(fn(spark, folder))
+        return rounded(fn(apply_settings(spark), folder))
 
     QUERIES[name] = run
     return fn
@@ -764,3 +764,21 @@ def compare_to_baseline(spark, folder):
         fixtures.embeddings(spark, folder),
     )
     return metrics.compare_to_baseline(measured, "MostPopular")
+
+
+# --- flagship --------------------------------------------------------------
+
+
+def flagship(spark: SparkSession, folder: str) -> DataFrame:
+    """Clean, gather candidates of three models, and build the final list of every user."""
+    apply_settings(spark)
+    log = fixtures.interactions(spark, folder)
+    train = preprocessing.preprocess_train(log)
+    models = {
+        MostPopular().fit(train): 50,
+        LastListenRecommender().fit(train): 200,
+        ItemKNN().fit(train): 200,
+    }
+    long = candidates_long(models, train)
+    scored = long.groupBy("uid", "item_id").agg(F.max("score").alias("score"))
+    return rounded(final_list(scored, train, fixtures.items_meta(spark, folder)))

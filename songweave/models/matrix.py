@@ -16,7 +16,7 @@ from songweave.functions.vectors import dot
 from songweave.models.base import MAX_PREDICTIONS, SCORE_DIGITS, RetrievalModel, ranked
 from songweave.operators.interactions import confidence_weights, interaction_counts
 from songweave.operators.similarity import vector_topk
-from songweave.operators.skew import product_sum, skew_join, unit_rows
+from songweave.operators.skew import product_sum, unit_rows
 from songweave.session import cut_lineage
 
 WEIGHT_MODES = ("truncated", "float")
@@ -65,7 +65,7 @@ def id_maps(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def map_with_id_maps(df: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
     """Replace ids by their dense numbers; ids without one become null."""
-    mapped = skew_join(skew_join(df, users, ["uid"], "left"), items, ["item_id"], "left")
+    mapped = df.join(users, "uid", "left").join(items, "item_id", "left")
     names = {"uid": F.col("uid_index").alias("uid"), "item_id": F.col("item_index").alias("item_id")}
     return mapped.select(*[names.get(c, F.col(c)) for c in df.columns])
 
@@ -80,7 +80,7 @@ def bm25_weights(weights: DataFrame, k1: float = 0.1, b: float = 0.75) -> DataFr
     norm = (1.0 - b) + b * F.try_divide(F.col("_len"), mean_len)
     tf = F.coalesce(F.try_divide(x * (k1 + 1.0), k1 * norm + x), F.lit(0.0))
     idf = F.log(n_items.cast("double")) - F.log1p(F.col("_df").cast("double"))
-    lengths = skew_join(weights, per_item, ["item_id"], "inner")
+    lengths = weights.join(per_item, "item_id")
     return lengths.join(per_user, "uid").select("uid", "item_id", (tf * idf).alias("weight"))
 
 
@@ -122,7 +122,7 @@ class BM25(RetrievalModel):
         lists = self.state["similar"].groupBy("item_id").agg(
             F.collect_list(F.struct("neighbor", "similarity")).alias("_near")
         )
-        met = skew_join(rows, lists, ["item_id"], "inner").select(
+        met = rows.join(lists, "item_id").select(
             "uid", "weight", F.explode("_near").alias("_e")
         )
         scores = met.groupBy("uid", F.col("_e.neighbor").alias("item_id")).agg(
@@ -264,8 +264,8 @@ class BPR(FactorModel):
         """Per draw: the user vector, the item difference and how wrong the order is."""
         mine = items.select("item_id", F.col("vector").alias("_vi"))
         theirs = items.select(F.col("item_id").alias("other"), F.col("vector").alias("_vj"))
-        met = skew_join(draws, users.withColumnRenamed("vector", "_vu"), ["uid"], "inner")
-        met = skew_join(met, mine, ["item_id"], "inner").join(theirs, "other")
+        met = draws.join(users.withColumnRenamed("vector", "_vu"), "uid")
+        met = met.join(mine, "item_id").join(theirs, "other")
         met = met.withColumn("_d", F.zip_with("_vi", "_vj", lambda x, y: x - y))
         return met.withColumn("_z", 1.0 / (1.0 + F.exp(dot(F.col("_vu"), F.col("_d")))))
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from songweave.functions.columns import LIKE, LISTEN, unit_hash
-from songweave.operators.skew import hot_keys, skew_join
+from songweave.operators.skew import hot_keys, salted_join
 
 # Reaction names and what each counts as after normalisation.
 REACTIONS = ["like", "unlike", "dislike", "undislike"]
@@ -38,10 +38,13 @@ def dedup_keep_none(
 
 
 def filter_rare(df: DataFrame, key: str, min_rows: int) -> DataFrame:
-    """Keep rows whose ``key`` occurs at least ``min_rows`` times."""
+    """Keep rows whose ``key`` occurs at least ``min_rows`` times.
+
+    The counts also tell which keys are hot, so whole rows never pile up in one task.
+    """
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
     kept = counts.where(F.col("_rows") >= min_rows).select(key)
-    return skew_join(df, kept, [key], "left_semi", hot=hot_keys(counts, [key], rows="_rows"))
+    return salted_join(df, kept, [key], "left_semi", hot_keys(counts, [key], "_rows"))
 
 
 def filter_rare_items(df: DataFrame, min_listens: int = 5) -> DataFrame:
@@ -95,7 +98,7 @@ def organic_only(df: DataFrame, organic: bool = True) -> DataFrame:
 def known_items_only(df: DataFrame, *catalogues: DataFrame) -> DataFrame:
     """Rows whose item is in every catalogue (metadata, embeddings, ...)."""
     for catalogue in catalogues:
-        df = skew_join(df, catalogue.select("item_id").distinct(), ["item_id"], "left_semi")
+        df = df.join(catalogue.select("item_id"), "item_id", "left_semi")
     return df
 
 

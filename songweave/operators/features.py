@@ -16,7 +16,6 @@ from songweave.functions.columns import (
     latest,
 )
 from songweave.operators.interactions import flag
-from songweave.operators.skew import skew_join
 
 # Days since the last play of a pair that was never played.
 NEVER_PLAYED = 9999
@@ -205,14 +204,14 @@ def pair_profile(df: DataFrame, meta: DataFrame) -> DataFrame:
             ),
         )
     )
-    tagged = skew_join(
-        pairs, meta.select("item_id", "artist_id", "album_id"), ["item_id"], "left"
-    ).repartition("uid")
+    owners = meta.select("item_id", "artist_id", "album_id")
+    tagged = pairs.join(owners, "item_id", "left").repartition("uid")
 
     def listens_of(owner: str) -> Column:
         total = F.sum("listen_count").over(Window.partitionBy("uid", owner))
         return F.when(F.col(owner).isNotNull(), F.coalesce(total, F.lit(0)))
 
-    return tagged.withColumn("artist_listen_count", listens_of("artist_id")).withColumn(
+    counted = tagged.withColumn("artist_listen_count", listens_of("artist_id")).withColumn(
         "album_listen_count", listens_of("album_id")
     )
+    return counted.select("uid", *[c for c in counted.columns if c != "uid"])

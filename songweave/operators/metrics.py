@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from songweave.functions.vectors import dot
-from songweave.operators.skew import hot_keys, skew_join
 
 METRICS = ["recall", "ndcg", "coverage", "cos_sim"]
 
@@ -96,18 +95,17 @@ def cosine_similarity_at_k(
 ) -> DataFrame:
     """Mean over the list of the best cosine to any true item; no vector counts as 0.
 
-    The many-rows side, a user's true items, is salted when one user dominates; the maximum
-    combines map-side, so no task holds a user's whole truth.
+    Cosines stream from the join into the map-side maximum: no pair is shuffled and no task
+    collects a user's items.
     """
     vectors = embeddings.select("item_id", vector)
     pairs = true_pairs(truth)
     listed = top_k(recs, k).join(pairs.select("uid").distinct(), "uid", "left_semi")
-    rec_vectors = skew_join(listed, vectors, ["item_id"], "inner").select(
+    rec_vectors = listed.join(vectors, "item_id").select(
         "uid", F.col("item_id").alias("rec_id"), F.col(vector).alias("_rec")
     )
-    true_vectors = skew_join(pairs, vectors, ["item_id"], "inner")
-    met = skew_join(true_vectors, rec_vectors, ["uid"], "inner", hot=hot_keys(pairs, ["uid"]))
-    best = met.groupBy("uid", F.col("rec_id").alias("item_id")).agg(
+    true_vectors = pairs.join(vectors, "item_id")
+    best = true_vectors.join(rec_vectors, "uid").groupBy("uid", F.col("rec_id").alias("item_id")).agg(
         F.max(dot(F.col("_rec"), F.col(vector))).alias("_best")
     )
     scored = listed.join(best, ["uid", "item_id"], "left")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from songweave.functions.columns import DAY, HOUR, LISTEN
 from songweave.operators.cleaning import listen_events, organic_only
-from songweave.operators.skew import hot_keys, skew_join
+from songweave.operators.skew import hot_keys, salted_join
 
 
 def event_type_counts(df: DataFrame) -> DataFrame:
@@ -55,9 +55,9 @@ def duplicate_embeddings(embeddings: DataFrame, vector: str = "normalized_embed"
     the catalogue neither fills one task nor one row. Vectors are compared in full.
     """
     groups = duplicate_groups(embeddings, vector)
-    hot = hot_keys(groups, [vector], rows="copies")
+    hot = hot_keys(groups, [vector], "copies")
     members = embeddings.where(F.col(vector).isNotNull()).select("item_id", vector)
-    return skew_join(members, groups, [vector], "inner", hot=hot).select(
+    return salted_join(members, groups, [vector], "inner", hot).select(
         "canonical_id", "item_id", "copies"
     )
 
@@ -81,7 +81,7 @@ def canonical_item_map(embeddings: DataFrame, vector: str = "normalized_embed")
 
 def remap_items(df: DataFrame, item_map: DataFrame) -> DataFrame:
     """Replace copied items by their canonical id."""
-    joined = skew_join(df, item_map, ["item_id"], "left")
+    joined = df.join(item_map, "item_id", "left")
     item = F.coalesce("canonical_id", "item_id").alias("item_id")
     return joined.select(*[item if c == "item_id" else F.col(c) for c in df.columns])
 

@@ -1,4 +1,11 @@
-"""Joins and products that stay balanced when a few keys hold most of the rows."""
+"""Joins and products that stay balanced when a few keys hold most of the rows.
+
+A lookup join (many rows per key on the left, few on the right) is written as a plain join:
+adaptive execution, which the session turns on with ``forceOptimizeSkewedJoin``, splits the
+left partitions that turn out too large and repeats the matching right ones. That costs no
+extra pass. Where the key counts are at hand anyway, ``salted_join`` splits hot keys in the
+plan itself. ``product_sum`` bounds what one key can cost when both sides are long.
+"""
 
 from __future__ import annotations
 
@@ -15,50 +22,35 @@ CHUNK = 2048
 
 
 def hot_keys(
-    df: DataFrame,
+    counts: DataFrame,
     on: list[str],
-    rows: str | None = None,
+    rows: str,
     share: float = HOT_SHARE,
     min_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Keys holding more than ``share`` of all rows, with the number of salts they need.
 
-    ``rows`` names a count column when ``df`` is already one row per key. The result has
-    at most ``1 / share`` rows and at most ``2 / share`` salts in sum.
+    ``counts`` has one row per key with its count in ``rows``. The result has at most
+    ``1 / share`` rows and at most ``2 / share`` salts in sum.
     """
-    if rows is None:
-        counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
-    else:
-        counts = df.select(*on, F.col(rows).alias("_rows"))
-    total = counts.agg(F.sum("_rows")).scalar()
+    total = counts.agg(F.sum(rows)).scalar()
     limit = F.greatest(F.lit(min_rows).cast("double"), total * F.lit(share))
-    return counts.where(F.col("_rows") > limit).select(
-        *on, F.ceil(F.col("_rows") / limit).cast("int").alias("_salts")
+    return counts.where(F.col(rows) > limit).select(
+        *on, F.ceil(F.col(rows) / limit).cast("int").alias("_salts")
     )
 
 
-def skew_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: list[str],
-    how: str,
-    hot: DataFrame | None = None,
-    share: float = HOT_SHARE,
-    min_rows: int = HOT_ROWS,
+def salted_join(
+    left: DataFrame, right: DataFrame, on: list[str], how: str, hot: DataFrame
 ) -> DataFrame:
     """Equi-join of a many-rows-per-key left side with a few-rows-per-key right side.
 
     Rows of hot keys are spread over salts on the left and repeated once per salt on the
-    right, so no task gets more than about ``share`` of the left side. The result equals
-    the plain join; ``how`` is inner, left, left_semi or left_anti.
+    right. The result equals the plain join; ``how`` is inner, left, left_semi or left_anti.
     """
-    if hot is None:
-        hot = hot_keys(left, on, share=share, min_rows=min_rows)
     hot = F.broadcast(hot)
     spread = [c for c in left.columns if c not in on] or list(on)
-    # Rows with a null key match nothing, so any salt is right and they are spread widely.
-    no_key = F.greatest(*[F.col(c).isNull().cast("int") for c in on] + [F.lit(0)]) == 1
-    salts = F.when(no_key, F.lit(int(1 / share))).otherwise(F.coalesce("_salts", F.lit(1)))
+    salts = F.coalesce("_salts", F.lit(1))
     salted_left = (
         left.join(hot, on, "left")
         .withColumn("_salt", F.pmod(F.xxhash64(*spread), salts).cast("int"))
@@ -66,27 +58,15 @@ def skew_join(
     )
     salted_right = (
         right.join(hot, on, "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)))
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
         .drop("_salts")
     )
-    joined = salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
+    joined = salted_left.join(salted_right, [*on, "_salt"], how)
     right_only = [c for c in right.columns if c not in on]
     kept = left.columns if how in ("left_semi", "left_anti") else left.columns + right_only
     return joined.select(*kept)
 
 
-def _in_chunks(
-    entries: DataFrame, key: str, spread: str, own: str, other: str, chunks: DataFrame
-) -> DataFrame:
-    """Tag entries with their slice of the key and repeat them for every slice they meet."""
-    sized = entries.join(chunks, key)
-    return (
-        sized.withColumn(own, F.pmod(F.xxhash64(spread), F.col(f"_n{own}")).cast("int"))
-        .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(f"_n{other}") - 1)))
-        .drop(f"_n{own}", f"_n{other}")
-    )
-
-
 def product_sum(
     left: DataFrame,
     right: DataFrame,
@@ -98,27 +78,41 @@ def product_sum(
 ) -> DataFrame:
     """Sparse matrix product: sum over ``key`` of left(key, left_id) * right(key, right_id).
 
-    Both inputs are (key, id, weight) with one row per cell and the weight column called
-    ``weight``. Products stream from the join straight into the map-side partial sum, so
-    single pairs never reach a shuffle. A long key is cut into slices of about ``chunk``
-    entries on both sides and every pair of slices is its own join key, which bounds the
-    work of one key's task by chunk².
+    Both inputs have one row per cell and a ``weight`` column. Products stream from the join
+    straight into the map-side partial sum, so single pairs never reach a shuffle. A long key
+    is cut into slices of about ``chunk`` entries on both sides and every pair of slices is
+    its own join key, which bounds the work of one key's task by chunk².
     """
-    l = left.select(key, F.col(left_id).alias("_l"), F.col("weight").alias("_lw"))
-    r = right.select(key, F.col(right_id).alias("_r"), F.col("weight").alias("_rw"))
-    n_left = l.groupBy(key).agg(F.count(F.lit(1)).alias("_c"))
-    n_right = r.groupBy(key).agg(F.count(F.lit(1)).alias("_d"))
-    chunks = n_left.join(n_right, key).select(
-        key,
-        F.ceil(F.col("_c") / chunk).cast("int").alias("_na"),
-        F.ceil(F.col("_d") / chunk).cast("int").alias("_nb"),
+    def side(df: DataFrame, id_: str, n: str) -> DataFrame:
+        return df.select(
+            key, F.lit(1 if n == "_na" else 0).alias("_l"), F.lit(1 if n == "_nb" else 0).alias("_r")
+        )
+
+    # Slices per key and side; keys that one side lacks produce nothing.
+    chunks = (
+        side(left, left_id, "_na")
+        .unionByName(side(right, right_id, "_nb"))
+        .groupBy(key)
+        .agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
+        .where("_l > 0 and _r > 0")
+        .select(
+            key,
+            F.ceil(F.col("_l") / chunk).cast("int").alias("_na"),
+            F.ceil(F.col("_r") / chunk).cast("int").alias("_nb"),
+        )
+    )
+
+    def sliced(df: DataFrame, id_: str, name: str, own: str, other: str) -> DataFrame:
+        entries = df.select(key, F.col(id_).alias(name), F.col("weight").alias(f"{name}w"))
+        mine = F.pmod(F.xxhash64(name), F.col(f"_n{own}")).cast("int").alias(own)
+        met = F.explode(F.sequence(F.lit(0), F.col(f"_n{other}") - 1)).alias(other)
+        return entries.join(chunks, key).select(key, name, f"{name}w", mine, met)
+
+    pairs = sliced(left, left_id, "_i", "a", "b").join(
+        sliced(right, right_id, "_j", "b", "a"), [key, "a", "b"]
     )
-    l = _in_chunks(l, key, "_l", "a", "b", chunks)
-    r = _in_chunks(r, key, "_r", "b", "a", chunks)
-    return (
-        l.join(r, [key, "a", "b"])
-        .groupBy(F.col("_l").alias(left_id), F.col("_r").alias(right_id))
-        .agg(F.sum(F.col("_lw") * F.col("_rw")).alias(value))
+    return pairs.groupBy(F.col("_i").alias(left_id), F.col("_j").alias(right_id)).agg(
+        F.sum(F.col("_iw") * F.col("_jw")).alias(value)
     )
 
 

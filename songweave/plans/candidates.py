@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from songweave.models.base import RetrievalModel
 from songweave.operators.features import item_stats, pair_profile, user_music_stats
-from songweave.operators.skew import skew_join
 
 # How many candidates each model contributes.
 CANDIDATE_LIMITS = {
@@ -93,8 +92,7 @@ def feature_table(train: DataFrame, meta: DataFrame) -> DataFrame:
 
 
 def _with_item_and_user(pairs: DataFrame, items: DataFrame, users: DataFrame) -> DataFrame:
-    described = skew_join(pairs, items, ["item_id"], "left")
-    return skew_join(described, users, ["uid"], "left")
+    return pairs.join(items, "item_id", "left").join(users, "uid", "left")
 
 
 def describe_candidates(
