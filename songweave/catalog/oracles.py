@@ -116,7 +116,7 @@ def last_listen(source: str, name: str, n: int, decay: float = 0.9, hours: float
 {name} as (
   select * from (
     select *, row_number() over (partition by uid order by score desc, item_id) as rank
-    from (select uid, item_id, round(case when conf < 1e-9 then 0 else conf end, 12) as score
+    from (select uid, item_id, round(case when conf < 1e-9 then 0 else conf end, 9) as score
           from {name}_conf)) where rank <= {n})"""
 
 
@@ -299,7 +299,7 @@ bm as (
 similar_items as (
   select item_id, neighbor, similarity, rank from (
     select *, row_number() over (partition by item_id order by similarity desc, neighbor) as rank
-    from (select a.item_id, b.item_id as neighbor, round(sum(a.w * b.w), 12) as similarity
+    from (select a.item_id, b.item_id as neighbor, round(sum(a.w * b.w), 9) as similarity
           from bm a join bm b on a.uid = b.uid where a.w <> 0 and b.w <> 0 group by 1, 2))
   where rank <= {k})"""
 
@@ -307,7 +307,7 @@ similar_items as (
 def bm25_lists(name: str, n: int) -> str:
     return f"""select uid, item_id, round(score, 6) as score, rank from (
   select *, row_number() over (partition by uid order by score desc, item_id) as rank from (
-    select uid, neighbor as item_id, round(sum(weight * similarity), 12) as score
+    select uid, neighbor as item_id, round(sum(weight * similarity), 9) as score
     from {name} m join similar_items s on m.item_id = s.item_id group by 1, 2)
   where score > 0) where rank <= {n}"""
 
@@ -334,7 +334,7 @@ def knn_lists(name: str, n: int) -> str:
     return f"""{name} as (
   select uid, item_id, score, rank from (
     select *, row_number() over (partition by uid order by score desc, item_id) as rank from (
-      select o.uid, p.item_id, round(sum(o.weight * p.w), 12) as score
+      select o.uid, p.item_id, round(sum(o.weight * p.w), 9) as score
       from overlap o join (
         select uid, item_id, w / sqrt(sum(w * w) over (partition by uid)) as w from plays) p
         on o.other_uid = p.uid
@@ -380,7 +380,7 @@ def walk_lists(name: str, n: int) -> str:
     return f"""{name} as (
   select uid, item_id, score, rank from (
     select *, row_number() over (partition by uid order by score desc, item_id) as rank from (
-      select u.uid, g.id as item_id, round(g.g + 0.25 * coalesce(s.p, 0), 12) as score
+      select u.uid, g.id as item_id, round(g.g + 0.25 * coalesce(s.p, 0), 9) as score
       from (select distinct src as uid from steps where src_type = 0) u
       cross join (select * from g2 where t = 1) g
       left join steps s on s.src_type = 0 and s.src = u.uid and s.dst_type = 1 and s.dst = g.id))

@@ -53,6 +53,8 @@ NEW_DAYS = 2300
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     def tidy(name: str, kind: str):
+        if name in ("rank", "stack_level"):
+            return F.col(name).cast("long")
         return F.round(name, digits).alias(name) if kind in ("double", "float") else F.col(name)
 
     return df.select(*[tidy(n, k) for n, k in df.dtypes])

@@ -17,7 +17,7 @@ from songweave.functions.columns import top_per_key
 # Longest list a model returns unless asked otherwise.
 MAX_PREDICTIONS = 2000
 # Digits at which scores are compared.
-SCORE_DIGITS = 12
+SCORE_DIGITS = 9
 
 
 class RetrievalModel:

@@ -26,7 +26,10 @@ def whole_weights(weight: Column, mode: str) -> Column:
     """Weights as the matrix stores them: cut to whole numbers, or as they are."""
     if mode not in WEIGHT_MODES:
         raise ValueError(f"unknown weight mode {mode!r}")
-    return weight.cast("int").cast("double") if mode == "truncated" else weight.cast("double")
+    if mode == "float":
+        return weight.cast("double")
+    # A weight that is whole up to rounding noise counts as whole.
+    return F.round(weight, SCORE_DIGITS).cast("int").cast("double")
 
 
 def user_item_weights(
