@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,6 +54,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to reliable storage so that several readers share one computation."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` once to the shared checkpoint folder and read it back.
+
+    Several readers then share one computation, and lost executors cost nothing but a re-read.
+    Unlike a checkpoint, which keeps the estimated size of the plan it replaces, a stored table
+    is planned by its true size. That matters in loops, where estimates multiply per step.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
