@@ -273,13 +273,19 @@ class BPR(FactorModel):
         return met.withColumn("_z", 1.0 / (1.0 + F.exp(dot(F.col("_vu"), F.col("_d")))))
 
     def _step(self, factors: DataFrame, parts: DataFrame, key: str, fixed: bool) -> DataFrame:
-        """Move each vector along its summed gradient, damped by the root of its draws."""
+        """Move each vector along its summed gradient.
+
+        A vector in n draws would take n small steps one after the other. Taken at once they
+        count as at most 1 / learning_rate steps of the mean gradient, so that vectors in very
+        many draws do not overshoot.
+        """
         total = vector_to_array(Summarizer.sum(array_to_vector(F.col("_g"))))
         sums = parts.groupBy(key).agg(total.alias("_g"), F.count(F.lit(1)).alias("_n"))
         rate, reg = self.learning_rate, self.regularization
+        steps = F.least(F.col("_n").cast("double"), F.lit(1.0 / rate))
 
         def moved(x: Column, g: Column) -> Column:
-            return x + rate * (g / F.sqrt(F.col("_n")) - reg * x)
+            return x + rate * steps * (g / F.col("_n") - reg * x)
 
         stepped = F.zip_with("vector", "_g", moved)
         if fixed:

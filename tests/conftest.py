@@ -48,6 +48,7 @@ def make_log(spark):
 
 
 def rows(df, *columns):
-    """Rows as a sorted list of tuples."""
+    """Rows as a sorted list of tuples, nulls first."""
     picked = df.select(*columns) if columns else df
-    return sorted(tuple(r) for r in picked.collect())
+    found = [tuple(r) for r in picked.collect()]
+    return sorted(found, key=lambda row: [(v is not None, v) for v in row])

@@ -243,7 +243,7 @@ def test_factor_models_rank_heard_items_higher(make_log, users):
     log = make_log(taste)
     heard = {(u, i) for u, i, *_ in taste}
     for model in (ALS(factors=4, iterations=5, weight_mode="float"),
-                  BPR(factors=4, iterations=12, weight_mode="float")):
+                  BPR(factors=4, learning_rate=0.2, iterations=14, weight_mode="float")):
         got = lists(model.fit(log).recommend(users, 12))
         assert 500 not in got
         right = [
