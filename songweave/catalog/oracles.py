@@ -115,15 +115,15 @@ def last_listen(source: str, name: str, n: int, decay: float = 0.9, hours: float
     return decayed(source, f"{name}_conf", decay, hours, PLAYS) + f""",
 {name} as (
   select * from (
-    select *, row_number() over (partition by uid order by score desc, item_id) as rank
-    from (select uid, item_id, round(case when conf < 1e-9 then 0 else conf end, 9) as score
+    select *, row_number() over (partition by uid order by round(score, 9) desc, item_id) as rank
+    from (select uid, item_id, case when conf < 1e-9 then 0 else conf end as score
           from {name}_conf)) where rank <= {n})"""
 
 
 def popular(source: str, name: str, days: int, n: int, users: str) -> str:
     return f"""{name} as (
   select uid, item_id, score, rank from (
-    select *, row_number() over (order by score desc, item_id) as rank from (
+    select *, row_number() over (order by round(score, 9) desc, item_id) as rank from (
       select item_id, cast(count(*) as double) as score from {source}
       where event_type = 'like'
         and "timestamp" > (select max("timestamp") from {source}) - {days} * 86400
@@ -298,16 +298,16 @@ bm as (
   from {name} m join bm_item i on m.item_id = i.item_id join bm_user u on m.uid = u.uid),
 similar_items as (
   select item_id, neighbor, similarity, rank from (
-    select *, row_number() over (partition by item_id order by similarity desc, neighbor) as rank
-    from (select a.item_id, b.item_id as neighbor, round(sum(a.w * b.w), 9) as similarity
+    select *, row_number() over (partition by item_id order by round(similarity, 9) desc, neighbor) as rank
+    from (select a.item_id, b.item_id as neighbor, sum(a.w * b.w) as similarity
           from bm a join bm b on a.uid = b.uid where a.w <> 0 and b.w <> 0 group by 1, 2))
   where rank <= {k})"""
 
 
 def bm25_lists(name: str, n: int) -> str:
     return f"""select uid, item_id, round(score, 6) as score, rank from (
-  select *, row_number() over (partition by uid order by score desc, item_id) as rank from (
-    select uid, neighbor as item_id, round(sum(weight * similarity), 9) as score
+  select *, row_number() over (partition by uid order by round(score, 9) desc, item_id) as rank from (
+    select uid, neighbor as item_id, sum(weight * similarity) as score
     from {name} m join similar_items s on m.item_id = s.item_id group by 1, 2)
   where score > 0) where rank <= {n}"""
 
@@ -333,8 +333,8 @@ def knn(source: str, truncated: bool) -> str:
 def knn_lists(name: str, n: int) -> str:
     return f"""{name} as (
   select uid, item_id, score, rank from (
-    select *, row_number() over (partition by uid order by score desc, item_id) as rank from (
-      select o.uid, p.item_id, round(sum(o.weight * p.w), 9) as score
+    select *, row_number() over (partition by uid order by round(score, 9) desc, item_id) as rank from (
+      select o.uid, p.item_id, sum(o.weight * p.w) as score
       from overlap o join (
         select uid, item_id, w / sqrt(sum(w * w) over (partition by uid)) as w from plays) p
         on o.other_uid = p.uid
@@ -379,8 +379,8 @@ def walk_lists(name: str, n: int) -> str:
     """Every user against every track, two steps of the walk."""
     return f"""{name} as (
   select uid, item_id, score, rank from (
-    select *, row_number() over (partition by uid order by score desc, item_id) as rank from (
-      select u.uid, g.id as item_id, round(g.g + 0.25 * coalesce(s.p, 0), 9) as score
+    select *, row_number() over (partition by uid order by round(score, 9) desc, item_id) as rank from (
+      select u.uid, g.id as item_id, g.g + 0.25 * coalesce(s.p, 0) as score
       from (select distinct src as uid from steps where src_type = 0) u
       cross join (select * from g2 where t = 1) g
       left join steps s on s.src_type = 0 and s.src = u.uid and s.dst_type = 1 and s.dst = g.id))
@@ -399,7 +399,7 @@ def diversified(source: str, meta: str, max_artist: int, max_album: int) -> str:
     ok = f"({fits('artist_id', 'artists', max_artist)} and {fits('album_id', 'albums', max_album)})"
     return f"""places as (
   select r.uid, r.item_id, score, artist_id, album_id,
-    row_number() over (partition by r.uid order by score desc, r.item_id) as pos
+    row_number() over (partition by r.uid order by round(score, 9) desc, r.item_id) as pos
   from {source} r left join {meta} m on r.item_id = m.item_id),
 walked as (
   select uid, item_id, score, pos, true as taken, [artist_id] as artists, [album_id] as albums
@@ -417,7 +417,7 @@ diverse as (
 def explored(source: str, k: int = 10, rate: float = 0.2, seed: int = 42) -> str:
     return f"""placed as (
   select uid, item_id, score, least({k}, count(*) over (partition by uid)) as kk,
-    row_number() over (partition by uid order by score desc, item_id) as place from {source}),
+    row_number() over (partition by uid order by round(score, 9) desc, item_id) as place from {source}),
 marked as (
   select *, place <= kk - cast(round_even(kk * {rate}, 0) as int) as exploit from placed),
 final as (
@@ -717,7 +717,7 @@ select query_id, item_id, round(score, 6) as score, rank from (
         INTERACTIONS, popular("interactions", "pop", 5, 50, "interactions")) + listed("pop"),
     "new_items": with_(PURCHASES) + """
 select uid, item_id, score, rank from (
-  select *, row_number() over (order by score desc, item_id) as rank from (
+  select *, row_number() over (order by round(score, 9) desc, item_id) as rank from (
     select item_id, cast(count(*) as double) as score from purchases group by item_id
     having min("timestamp") >= (select max("timestamp") from purchases) - 2300 * 86400)) p
 cross join (select distinct uid from purchases) u where rank <= 50""",

@@ -9,6 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Scores are sums whose last bits depend on the order of addition. Lists are ordered by the
+# score at this many digits, so equal scores tie and lists do not change with the partitioning.
+SCORE_DIGITS = 9
+
 HOUR = 3600
 DAY = 86400
 
@@ -50,6 +54,11 @@ def hash_order(seed: int, *keys: str) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))
 
 
+def comparable(score: str) -> Column:
+    """The score as lists are ordered by it."""
+    return F.round(F.col(score), SCORE_DIGITS)
+
+
 def top_per_key(
     df: DataFrame,
     key: str | list[str],
@@ -60,6 +69,6 @@ def top_per_key(
 ) -> DataFrame:
     """Rank rows per key by score descending, ties by id, and keep the first ``n``."""
     keys = [key] if isinstance(key, str) else key
-    order = Window.partitionBy(*keys).orderBy(F.desc(score), F.asc(tie))
+    order = Window.partitionBy(*keys).orderBy(comparable(score).desc(), F.asc(tie))
     ranked = df.withColumn(rank, F.row_number().over(order))
     return ranked if n is None else ranked.where(F.col(rank) <= n)

@@ -16,8 +16,6 @@ from songweave.functions.columns import top_per_key
 
 # Longest list a model returns unless asked otherwise.
 MAX_PREDICTIONS = 2000
-# Digits at which scores are compared.
-SCORE_DIGITS = 9
 
 
 class RetrievalModel:
@@ -75,10 +73,6 @@ def same_list_for_all(users: DataFrame, top: DataFrame, n: int) -> DataFrame:
 
 
 def ranked(df: DataFrame, n: int) -> DataFrame:
-    """(uid, item_id, score) to the best ``n`` per user with their rank.
-
-    Scores are sums whose last bits depend on the order of addition; rounding them first makes
-    equal scores tie, so lists do not change with the partitioning.
-    """
-    score = F.round(F.col("score").cast("double"), SCORE_DIGITS).alias("score")
-    return top_per_key(df.select("uid", "item_id", score), "uid", "score", n)
+    """(uid, item_id, score) to the best ``n`` per user with their rank."""
+    scored = df.select("uid", "item_id", F.col("score").cast("double").alias("score"))
+    return top_per_key(scored, "uid", "score", n)

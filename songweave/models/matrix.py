@@ -11,9 +11,9 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from songweave.functions.columns import top_per_key
+from songweave.functions.columns import SCORE_DIGITS, top_per_key
 from songweave.functions.vectors import dot
-from songweave.models.base import MAX_PREDICTIONS, SCORE_DIGITS, RetrievalModel, ranked
+from songweave.models.base import MAX_PREDICTIONS, RetrievalModel, ranked
 from songweave.operators.interactions import confidence_weights, interaction_counts
 from songweave.operators.similarity import vector_topk
 from songweave.operators.skew import product_sum, unit_rows
@@ -98,8 +98,7 @@ def similar_items(weighted: DataFrame, k: int = 200) -> DataFrame:
         "neighbor",
         "similarity",
     )
-    rounded = products.withColumn("similarity", F.round("similarity", SCORE_DIGITS))
-    return top_per_key(rounded, "item_id", "similarity", k, tie="neighbor")
+    return top_per_key(products, "item_id", "similarity", k, tie="neighbor")
 
 
 class BM25(RetrievalModel):
