@@ -83,15 +83,10 @@ def product_sum(
     is cut into slices of about ``chunk`` entries on both sides and every pair of slices is
     its own join key, which bounds the work of one key's task by chunk².
     """
-    def side(df: DataFrame, id_: str, n: str) -> DataFrame:
-        return df.select(
-            key, F.lit(1 if n == "_na" else 0).alias("_l"), F.lit(1 if n == "_nb" else 0).alias("_r")
-        )
-
     # Slices per key and side; keys that one side lacks produce nothing.
     chunks = (
-        side(left, left_id, "_na")
-        .unionByName(side(right, right_id, "_nb"))
+        left.select(key, F.lit(1).alias("_l"), F.lit(0).alias("_r"))
+        .unionByName(right.select(key, F.lit(0).alias("_l"), F.lit(1).alias("_r")))
         .groupBy(key)
         .agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
         .where("_l > 0 and _r > 0")
