@@ -39,7 +39,7 @@ from songweave.plans.ranking import (
     ranker_split,
     ranking_dataset,
 )
-from songweave.session import apply_settings
+from songweave.session import apply_settings, cut_lineage
 from songweave.sources import fixtures, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -775,7 +775,8 @@ def flagship(spark: SparkSession, folder: str) -> DataFrame:
     """Clean, gather candidates of three models, and build the final list of every user."""
     apply_settings(spark)
     log = fixtures.interactions(spark, folder)
-    train = preprocessing.preprocess_train(log)
+    # The cleaned log is stored once; every model and step reads that table.
+    train = cut_lineage(preprocessing.preprocess_train(log))
     models = {
         MostPopular().fit(train): 50,
         LastListenRecommender().fit(train): 200,
