@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from songweave.llm import ans, common, counts, packing, quality
+from songweave.llm import ans, common, counts, decontaminate, jaccard, packing, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -23,6 +23,14 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Every benchmark item that a document contains, with its best window."""
+    docs = common.read_table(spark, folder, "documents")
+    items = common.read_table(spark, folder, "benchmark")
+    return decontaminate.benchmark_hits(docs, items)
+
+
 @query
 def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's place in the id files, read back from them."""
@@ -34,6 +42,13 @@ def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op6_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents whose 3-word shingle sets overlap by nine tenths or more."""
+    docs = common.read_table(spark, folder, "documents")
+    return jaccard.jaccard_components(docs, k=3, num=90, den=100)
+
+
 @query
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Token counts of every document through a cache that starts empty."""
