@@ -109,8 +109,9 @@ def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:
         return np.empty(0, np.uint64)
     found = np.full(len(words) - size + 1, size, np.uint64)
     for j in range(size):
-        found = mix(found + words[j : len(words) - size + 1 + j])
-    return found
+        found *= np.uint64(0xD6E8FEB86659FD93)
+        found += words[j : len(words) - size + 1 + j]
+    return mix(found)
 
 
 # --------------------------------------------------------------------------- token ids

@@ -70,6 +70,8 @@ class Index:
         found = [(i, w) for i, w in zip(item_ids, words_of(texts)) if len(w)]
         self.ids = [i for i, _ in found]
         self.sizes = np.array([len(w) for _, w in found], np.int64)
+        sizes = np.unique(self.sizes).tolist()
+        self.short, self.long = [n for n in sizes if n < k], [n for n in sizes if n >= k]
         shingles = [common.shingle_hashes(w, k) for _, w in found]
         self.counts = [Counter(s.tolist()) for s in shingles]
         self.known = np.unique(np.concatenate(shingles)) if shingles else np.empty(0, np.uint64)
@@ -112,22 +114,25 @@ class Index:
     def matches(self, words: np.ndarray) -> dict[int, tuple[float, int]]:
         """Best (similarity, first word) of each item that the words contain."""
         best: dict[int, tuple[float, int]] = {}
-        for size in np.unique(self.sizes):
-            if size > len(words):
-                break
-            shingles = common.shingle_hashes(words, min(self.k, int(size)))
-            hit = self.maybe[(shingles >> np.uint64(44)).astype(np.int64)]
-            if not hit.any():
-                if size >= self.k:
-                    break  # longer items have shingles of the same length: none of them either
+        # Items shorter than a shingle are one shingle of their own length.
+        for length in [*self.short, self.k]:
+            if length > len(words):
                 continue
+            shingles = common.shingle_hashes(words, length)
+            hit = self.maybe[(shingles >> np.uint64(44)).astype(np.int64)]
             hit[hit] = in_sorted(shingles[hit], self.known)
-            width = max(1, int(size) - self.k + 1)
-            need = -(-2 * width * self.num // (self.num + self.den))
-            sums = np.append(0, np.cumsum(hit))
-            starts = np.flatnonzero(sums[width:] - sums[:-width] >= need)
-            for at in range(0, len(starts), 1024):
-                self._windows(shingles, starts[at : at + 1024], width, int(size), best)
+            hits = int(hit.sum())
+            if not hits:
+                continue
+            sums = np.concatenate([[0], np.cumsum(hit)])
+            for size in [length] if length < self.k else self.long:
+                width = size - length + 1
+                need = -(-2 * width * self.num // (self.num + self.den))
+                if need > hits or size > len(words):
+                    break
+                starts = np.flatnonzero(sums[width:] - sums[:-width] >= need)
+                for at in range(0, len(starts), 1024):
+                    self._windows(shingles, starts[at : at + 1024], width, size, best)
         return best
 
     def _windows(self, shingles, starts, width, size, best) -> None:
