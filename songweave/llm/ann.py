@@ -29,7 +29,7 @@ from songweave.llm.common import store
 SHARD_ROWS = 8192  # expected size of a shard: bounds a task's memory
 QUERY_BLOCK = 2048
 DEGREE = 32
-BUILD_BEAM, SEARCH_BEAM = 64, 128
+BUILD_BEAM, SEARCH_BEAM = 64, 192
 RELAX = 1.2
 EXPAND = 4  # nodes whose edges are followed at once
 
