@@ -35,11 +35,12 @@ REPEATED = np.uint64(1)
 @dataclass(frozen=True)
 class Settings:
     """``sample``: at most so many labelled documents are learnt from, those first in the
-    order of a hash of their id. They are dealt to ``shards`` that learn side by side and are
-    averaged; ``epochs`` passes each. The rest are the updates' own parameters."""
+    order of a hash of their id. A shard for every ``shard_rows`` of them learns on its own,
+    in ``epochs`` passes, and the shards are averaged. The rest are the updates' own
+    parameters."""
 
     sample: int = 24_000
-    shards: int = 6
+    shard_rows: int = 6_000
     epochs: int = 2
     bits: int = 18
     alpha: float = 50.0
@@ -133,11 +134,13 @@ def fit(
         .orderBy(F.xxhash64("_id"), "_id")
         .limit(settings.sample)
     )
+    picked = common.store(picked)
+    shards = max(1, -(-picked.count() // settings.shard_rows))
     # At most ``sample`` ids and labels: a proven bound.
     rows = (
         docs.select(F.col(id_).alias("_id"), F.coalesce(text, F.lit("")).alias("_text"))
         .join(F.broadcast(picked), "_id")
-        .withColumn("_shard", F.pmod(F.xxhash64("_id", F.lit(1)), F.lit(settings.shards)))
+        .withColumn("_shard", F.pmod(F.xxhash64("_id", F.lit(1)), F.lit(shards)))
     )
 
     def learn(pdf: pd.DataFrame) -> pd.DataFrame:

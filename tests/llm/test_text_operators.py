@@ -1,0 +1,608 @@
+"""Every text operator against brute force on small fixtures with odd rows."""
+
+import hashlib
+import os
+import random
+import re
+import zlib
+from collections import Counter
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+pytest.importorskip("public_tokenizers")
+
+from songweave.llm import (  # noqa: E402
+    ann,
+    ans,
+    chat,
+    common,
+    components,
+    counts,
+    decontaminate,
+    jaccard,
+    packing,
+    quality,
+    queries,
+    shardtable,
+    warc,
+)
+
+DATA = os.environ.get("SONGWEAVE_TEST_DATA", "/root/testdata/sf0.001")
+has_data = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test data")
+DOCS = "doc_id long, text string, n long, id long, score double, slot int, component_id long"
+
+
+def words(rng, n, vocabulary=400):
+    return " ".join(f"w{rng.randrange(vocabulary)}" for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def texts():
+    rng = random.Random(3)
+    base = words(rng, 120)
+    near = base.replace(base.split()[60], "changed", 1)
+    long = words(rng, 9000, 3000)
+    return [
+        (1, base),
+        (2, base),
+        (3, base.upper()),
+        (4, near),
+        (5, None),
+        (6, ""),
+        (7, " \t\n "),
+        (8, "one"),
+        (9, "one two"),
+        (10, "ONE two"),
+        (11, "a b c d e f g h i j k"),
+        (12, "a b c d e f g h i j k l"),
+        (13, long),
+        (14, long + " tail"),
+        (15, "x y　 z é. 'tis it's  \r\n<|endoftext|> 1,5"),
+        (16, words(rng, 50)),
+        (16, words(rng, 50)),
+        (17, "same"),
+        (17, "same"),
+        (None, "no id"),
+    ]
+
+
+@pytest.fixture(scope="module")
+def docs(spark, texts):
+    """Rows with extra columns whose names the operators use themselves."""
+    return spark.createDataFrame([(i, t, 9, 9, 9.0, 9, 9) for i, t in texts], DOCS).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def no_docs(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+def plain_ids(text):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(common.tokenizer_path(queries.BYTE_BPE))
+    return tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
+# ------------------------------------------------------------------ token files, counts, packing
+
+
+def test_encoder_equals_library(texts):
+    coder = common.Encoder(common.tokenizer_path(queries.BYTE_BPE))
+    odd = ["a  b \n\n c", " x", "y ", "\x1ca b", "a.b,c ..,, x.' y,'s ”. é.", "😀 ok\r\nq", "​ a"]
+    given = [t or "" for _, t in texts] + odd
+    for _ in range(2):
+        assert [x.tolist() for x in coder.encode(given)] == [plain_ids(t) for t in given]
+
+
+def test_encoder_restarts_when_full(monkeypatch):
+    monkeypatch.setattr(common, "CACHE_ENTRIES", 50)
+    coder = common.Encoder(common.tokenizer_path(queries.BYTE_BPE))
+    rng = random.Random(1)
+    for _ in range(4):
+        given = [words(rng, 40, 10**6)]
+        assert coder.encode(given)[0].tolist() == plain_ids(given[0])
+
+
+def test_token_files_round_trip(spark, docs, texts):
+    folder = common.shared_folder(spark, "test-ids")
+    path = common.tokenizer_path(queries.BYTE_BPE)
+    got = ans.read_files(ans.write_files(docs, folder, path, end_id=2)).collect()
+    got.sort(key=lambda r: r["start"])
+    order = sorted(texts, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+    at = 0
+    for row, (doc_id, text) in zip(got, order, strict=True):
+        ids = [*plain_ids(text), 2]
+        assert row["doc_id"] == doc_id and row["start"] == at and row["n_tokens"] == len(ids)
+        assert np.frombuffer(row["ids"], "<u4").tolist() == ids
+        at += len(ids)
+
+
+def test_token_files_of_nothing(spark, no_docs):
+    folder = common.shared_folder(spark, "test-ids")
+    path = common.tokenizer_path(queries.BYTE_BPE)
+    assert ans.read_files(ans.write_files(no_docs, folder, path, end_id=2)).count() == 0
+
+
+@pytest.mark.parametrize("kinds", [1, 2, 300, 40_000])
+def test_segment_blocks_decode_alone(kinds, monkeypatch):
+    monkeypatch.setattr(ans, "BLOCK_IDS", 1 << 16)
+    rng = np.random.default_rng(kinds)
+    ids = [rng.zipf(1.3, n) % kinds for n in (1, 70_000, 5, 90_001)]
+    segment = ans.Segment(ans.pack_segment([4, None, 6, 7], ids))
+    flat = np.concatenate(ids)
+    for number in reversed(range(len(segment.entries))):
+        start = number << 16
+        assert np.array_equal(segment.block(number), flat[start : start + (1 << 16)])
+    assert segment.doc_ids == [4, None, 6, 7]
+    assert all(np.array_equal(a, b) for a, b in zip(segment.documents(), ids, strict=True))
+
+
+def test_damaged_block_is_noticed():
+    data = bytearray(ans.pack_segment([1], [np.arange(1000) % 7]))
+    data[-1] ^= 1
+    with pytest.raises(ValueError):
+        ans.Segment(bytes(data)).documents()
+
+
+def test_frequencies_sum_to_a_power_of_two():
+    for given in ([1], [1, 10**9], [1] * 50_000, [10**6, *[1] * 30_000]):
+        freq, bits = ans.normalised(np.array(given))
+        assert freq.sum() == 1 << bits and freq.min() >= 1
+
+
+def test_packing_places_every_id_once(docs, texts):
+    path = common.tokenizer_path(queries.BYTE_BPE)
+    pieces = packing.pack(docs, path, end_id=1, size=64)
+    rows = pieces.collect()
+    place = {}
+    for r in rows:
+        ids = np.frombuffer(r["ids"], "<u4").tolist()
+        assert len(ids) == r["length"] and r["offset"] + r["length"] <= 64
+        for k, token in enumerate(ids):
+            assert place.setdefault((r["sequence_id"], r["offset"] + k), token) == token
+    total = sum(len(plain_ids(t)) + 1 for _, t in texts)
+    assert len(place) == total
+    assert sorted(place) == [(i // 64, i % 64) for i in range(total)]
+    for doc_id in (5, 13, 15):
+        own = sorted((r for r in rows if r["doc_id"] == doc_id), key=lambda r: r["start"])
+        whole = np.concatenate([np.frombuffer(r["ids"], "<u4") for r in own]).tolist()
+        assert whole == [*plain_ids(dict(texts)[doc_id]), 1]
+        assert [r["boundary"] for r in own][0] in ("none", "head")
+    made = packing.sequences(pieces, size=64, pad_id=7).collect()
+    for r in made:
+        n, filled = r["n_tokens"], len(r["ids"]) // 4
+        assert filled == (n if n & (n - 1) == 0 else 64)
+        assert np.frombuffer(r["ids"], "<u4")[n:].tolist() == [7] * (filled - n)
+
+
+def test_packing_nothing(no_docs):
+    path = common.tokenizer_path(queries.BYTE_BPE)
+    assert packing.pack(no_docs, path, end_id=1).count() == 0
+
+
+@pytest.mark.parametrize("name", [queries.PIECES, queries.BYTE_BPE])
+def test_token_counts_and_cache(spark, docs, texts, name, monkeypatch):
+    path, cache = common.tokenizer_path(name), counts.cache_folder(docs)
+    if name.endswith(".model"):
+        import sentencepiece
+
+        processor = sentencepiece.SentencePieceProcessor(model_file=path)
+        want = [len(processor.encode(t or "")) for _, t in texts]
+    else:
+        want = [len(plain_ids(t)) for _, t in texts]
+    expected = sorted(
+        (-1 if i is None else i, len((t or "").encode()), n) for (i, t), n in zip(texts, want)
+    )
+    for _ in range(2):
+        found = counts.token_counts(docs, path, cache).collect()
+        got = sorted((-1 if r["doc_id"] is None else r["doc_id"], r["n_bytes"], r["n_tokens"]) for r in found)
+        assert got == expected
+    stored = spark.read.parquet(cache)
+    assert stored.count() == len({t or "" for _, t in texts})  # the second call encoded nothing
+
+
+def test_token_counts_of_nothing(no_docs):
+    path = common.tokenizer_path(queries.PIECES)
+    assert counts.token_counts(no_docs, path, counts.cache_folder(no_docs)).count() == 0
+
+
+# ------------------------------------------------------------------ near duplicates
+
+
+def brute_components(rows, k, num, den):
+    def shingles(text):
+        found = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        if not found:
+            return frozenset()
+        size = min(k, len(found))
+        return frozenset(tuple(found[i : i + size]) for i in range(len(found) - size + 1))
+
+    sets = [shingles(t) for _, t in rows]
+    parent = list(range(len(rows)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            either = len(sets[i] | sets[j])
+            same_id = rows[i][0] is not None and rows[i][0] == rows[j][0] and sets[i] and sets[j]
+            if (either and both * den >= either * num) or same_id:
+                parent[root(i)] = root(j)
+    least = {}
+    for i, (doc_id, _) in enumerate(rows):
+        if doc_id is not None:
+            least[root(i)] = min(least.get(root(i), doc_id), doc_id)
+    return sorted(
+        (-1 if d is None else d, len(sets[i]), -1 if d is None else least[root(i)] if sets[i] else d)
+        for i, (d, _) in enumerate(rows)
+    )
+
+
+def found_components(frame, *args):
+    rows = jaccard.jaccard_components(frame, *args).collect()
+    return sorted(tuple(-1 if v is None else v for v in r) for r in rows)
+
+
+@pytest.mark.parametrize("k, num, den", [(3, 90, 100), (5, 8, 10), (2, 1, 2)])
+def test_jaccard_join_equals_brute_force(docs, texts, k, num, den):
+    assert found_components(docs, k, num, den) == brute_components(texts, k, num, den)
+
+
+def test_jaccard_join_of_nothing(no_docs):
+    assert jaccard.jaccard_components(no_docs, 3, 90, 100).count() == 0
+
+
+def test_jaccard_join_of_a_large_near_group(spark, monkeypatch):
+    """Many near copies, of which far ones don't link directly: pivots, blocks and trees."""
+    for name, value in (("LEAF", 8), ("BLOCK", 16), ("FANOUT", 4)):
+        monkeypatch.setattr(jaccard, name, value)
+    rng = random.Random(9)
+    base = words(rng, 80, 10**6).split()
+    rows = []
+    for i in range(90):
+        own = list(base)
+        for _ in range(rng.randrange(5)):
+            own[rng.randrange(len(own))] = f"new{rng.randrange(30)}"
+        rows.append((i, " ".join(own)))
+    rows += [(100 + i, words(rng, 60, 300)) for i in range(40)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert found_components(frame, 3, 8, 10) == brute_components(rows, 3, 8, 10)
+
+
+def test_tree_finds_what_all_pairs_find():
+    rng = np.random.default_rng(2)
+    base = rng.integers(0, 9, (40, jaccard.GROUPS))
+    points = np.repeat(base, 3, 0) + rng.integers(0, 2, (120, jaccard.GROUPS))
+    sizes, comps = points.sum(1), rng.integers(0, 60, 120)
+    order = jaccard.packed_order(points, sizes, comps)
+    side = points[order].astype(np.int32), sizes[order], comps[order]
+    i, j = jaccard.tree_pairs(side, side, 9, 10)
+    got = set(zip(i.tolist(), j.tolist()))
+    p, n, c = side
+    for a in range(120):
+        for b in range(120):
+            bound = int(np.minimum(p[a], p[b]).sum())
+            fits = n[a] * 9 <= n[b] * 10 and n[b] * 9 <= n[a] * 10
+            assert ((a, b) in got) == (c[a] != c[b] and fits and bound * 19 >= 9 * (n[a] + n[b]))
+
+
+def test_components_of_paths_and_stars(spark):
+    edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7)]
+    found = components.components(spark.createDataFrame(edges, "a long, b long")).collect()
+    want = {i: 0 for i in range(41)} | {100 + i: 100 for i in range(30)}
+    assert {r["id"]: r["component"] for r in found} == want and len(found) == len(want)
+
+
+# ------------------------------------------------------------------ decontamination
+
+
+def test_leaks_equal_brute_force(spark):
+    rng = random.Random(4)
+    items = [(1, words(rng, 30, 10**6)), (2, words(rng, 12, 10**6)), (3, "only three words")]
+    items += [(4, None), (5, ""), (6, words(rng, 30, 10**6)), (7, items[0][1])]
+    twelve = items[1][1].split()
+    rows = [
+        (1, words(rng, 50) + "\n" + items[0][1].upper() + "! " + words(rng, 20)),
+        (2, re.sub(" ", ", ", items[1][1])),
+        (3, " ".join(items[5][1].split()[:-1]) + " other " + words(rng, 9)),
+        (4, " ".join([*twelve[:6], "changed", *twelve[7:]])),
+        (5, "here are only three words too"),
+        (6, None),
+        (7, ""),
+        (None, items[1][1]),
+        (8, words(rng, 300)),
+        (8, items[0][1]),
+    ]
+
+    def grams(found, k=5):
+        size = min(k, len(found))
+        return Counter(tuple(found[i : i + size]) for i in range(len(found) - size + 1))
+
+    want = set()
+    for number, text in rows:
+        own = re.findall(r"\w+", (text or "").lower())
+        for item, wanted in items:
+            given = re.findall(r"\w+", (wanted or "").lower())
+            best = 0.0
+            for at in range(len(own) - len(given) + 1 if given else 0):
+                a, b = grams(own[at : at + len(given)]), grams(given)
+                best = max(best, (a & b).total() / (a | b).total())
+            if best >= 0.8:
+                want.add((number, item, round(best, 9)))
+    frame = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, word int")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.benchmark_hits(frame, bench).collect()
+    assert {(r["doc_id"], r["item_id"], round(r["similarity"], 9)) for r in got} == want
+    assert len(got) == len(want) and {1, 2, 3, 5, 8} <= {w[0] for w in want}
+
+
+def test_leaks_in_several_passes(spark, monkeypatch):
+    rng = random.Random(5)
+    items = [(i, words(rng, 20, 10**6)) for i in range(9)]
+    frame = spark.createDataFrame([(i, "x " + t + " y") for i, t in items], "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    monkeypatch.setattr(decontaminate, "ITEMS", 3)
+    got = decontaminate.benchmark_hits(frame, bench).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in got) == [(i, i) for i in range(9)]
+    assert decontaminate.benchmark_hits(frame, bench.limit(0)).count() == 0
+    assert decontaminate.benchmark_hits(frame.limit(0), bench).count() == 0
+
+
+def test_hamming_blocks_miss_nothing():
+    rng = np.random.default_rng(3)
+    texts = [" ".join(map(str, rng.integers(0, 10**6, 20))) for _ in range(50)]
+    index = decontaminate.Index(list(range(50)), texts, 5, 8, 10)
+    flips = np.array([sum(1 << int(b) for b in rng.choice(64, n, False)) for n in rng.integers(0, 30, 500)], np.uint64)
+    prints = index.prints[rng.integers(0, 50, 500)] ^ flips
+    rows, items = index.lookup(prints)
+    near = np.bitwise_count(prints[:, None] ^ index.prints[None, :]) <= decontaminate.RADIUS
+    assert set(zip(rows.tolist(), items.tolist())) == set(zip(*map(np.ndarray.tolist, np.nonzero(near))))
+
+
+# ------------------------------------------------------------------ quality
+
+
+@has_data
+def test_quality_on_held_out_labels(spark):
+    folder = DATA.replace("sf0.001", "sf0.01")
+    scored = queries.op9_quality(spark, folder)
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    rows = scored.join(labels, "doc_id").where("held_out").collect()
+    right = sum(r["predicted"] == r["quality"] for r in rows) / len(rows)
+    kept = [r["predicted"] for r in rows if r["quality"] == 1]
+    assert right >= 0.95 and sum(kept) / len(kept) >= 0.98
+    all_rows = scored.select("doc_id", "held_out").collect()
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in all_rows)
+
+
+def test_quality_of_odd_rows(spark, docs, no_docs, texts):
+    labels = spark.createDataFrame(
+        [(1, 1), (8, 0), (8, 1), (None, 1), (4, None), (99, 1)], "doc_id long, quality int"
+    )
+    model = quality.fit(docs, labels, quality.Settings(bits=10))
+    rows = quality.score(docs, model).collect()
+    assert len(rows) == len(texts) and all(0 <= r["score"] <= 1 for r in rows)
+    assert quality.score(no_docs, model).count() == 0
+    unlearnt = quality.fit(docs, labels.limit(0), quality.Settings(bits=10))
+    assert {r["score"] for r in quality.score(docs, unlearnt).collect()} == {0.5}
+    want = sorted(r["score"] for r in rows)
+    assert sorted(r["_score"] for r in quality.with_score(docs, model).collect()) == pytest.approx(want)
+
+
+# ------------------------------------------------------------------ vectors
+
+
+def test_graph_search_recall_and_ties(spark):
+    rng = np.random.default_rng(1)
+    vectors = rng.normal(size=(1500, 24)).astype(np.float32)
+    vectors[700:760] = vectors[0]
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    rows += [(5000, None), (5050, [0.0] * 24), (5100, [float("nan")] * 24), (5150, [None] * 24)]
+    rows += [(5200, []), (5250, [1.0, 2.0]), (5300, [float("inf")] * 24), (10, rows[10][1])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = ann.search(ann.build_index(frame, 5), frame.where("vec_id % 50 = 0"), 5).collect()
+    unit = vectors.astype(np.float64)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    hits = total = 0
+    for q in range(0, 1500, 50):
+        score = unit @ unit[q]
+        order = [i for i in sorted(range(1500), key=lambda i: (-round(score[i], 12), i)) if i != q][:5]
+        own = sorted((r for r in found if r["query_id"] == q), key=lambda r: r["rank"])
+        assert [r["rank"] for r in own] == [1, 2, 3, 4, 5]
+        for r in own:
+            assert abs(r["score"] - score[r["vec_id"]]) < 1e-12
+        hits += len({r["vec_id"] for r in own} & set(order))
+        total += 5
+        if q in (0, 700, 750):
+            assert [r["vec_id"] for r in own] == order
+    assert hits / total >= 0.9
+    assert {r["query_id"] for r in found} <= {*range(0, 1500, 50)}  # the rest has no candidates
+    empty = frame.limit(0)
+    assert ann.search(ann.build_index(empty, 5), empty, 5).count() == 0
+
+
+# ------------------------------------------------------------------ chat
+
+
+def test_chat_round_trip(spark):
+    turns = [
+        (1, 0, "system", "be <|good|> <\\|x|>"),
+        (1, 1, "user", None),
+        (1, 2, "assistant", "<|im_end|>\n<|im_start|>user\nhi<"),
+        (1, 3, "user", "|"),
+        (1, 4, "assistant", ""),
+        (1, 5, "user", "last é😀"),
+        (2, 0, "user", "alone"),
+        (3, 0, None, "no role"),
+        (3, 0, "a\\n\nb<|", "tie"),
+        (3, 0, "a\\n\nb<|", "tie"),
+        (None, 1, "assistant", "no conversation"),
+        (4, None, "assistant", "first"),
+        (4, 1, "assistant", "second"),
+    ]
+    frame = spark.createDataFrame(
+        [(*t, 1) for t in turns], "conv_id long, turn long, role string, text string, position int"
+    )
+    segments = chat.expand(frame)
+    got = {r["conv_id"]: r for r in chat.read_back(segments).collect()}
+    for conv in {t[0] for t in turns}:
+        own = [(t[1] is not None, t[1] or 0, t[2] or "", t[3] or "") for t in turns if t[0] == conv]
+        own.sort()
+        digest = hashlib.sha256("".join(f"{r}\n{t}\n" for *_, r, t in own).encode()).hexdigest()
+        loss = "".join(t for *_, r, t in own if r == "assistant")
+        row = got[conv]
+        assert (row["n_turns"], row["turns_sha256"]) == (len(own), digest)
+        assert row["loss_chars"] == len(loss)
+        assert row["loss_sha256"] == hashlib.sha256(loss.encode()).hexdigest()
+    stream = "".join(
+        r["segment"] for r in segments.where("conv_id = 1").orderBy("position").collect()
+    )
+    assert got[1]["formatted_chars"] == len(stream) and got[1]["examples"] == 2
+    wanted = segments.where("conv_id = 1 and example is not null")
+    made = chat.render(segments, wanted).orderBy("example").collect()
+    assert [stream.startswith(r["text"]) for r in made] == [True, True]
+    target = made[0]["text"][made[0]["target_start"] : made[0]["target_end"]]
+    assert chat.unescape(target) == turns[2][3]
+    assert got[1]["expanded_chars"] == sum(len(r["text"]) for r in made)
+    assert chat.read_back(chat.expand(frame.limit(0))).count() == 0
+
+
+@pytest.mark.parametrize("text", ["<|", "<\\|", "<\\\\||", "<<|<\\|>", "", "a<", "|b", "\\<|"])
+def test_escapes_are_reversible(text):
+    assert "<|" not in chat.escape(text) and chat.unescape(chat.escape(text)) == text
+    assert chat.unescape_role(chat.escape_role(text + "\n\\n")) == text + "\n\\n"
+
+
+# ------------------------------------------------------------------ sharding
+
+
+def test_shard_table_takes_turns():
+    shards, slots = ["a", "b", "c"], 13
+    table = shardtable.fill(shards, slots)
+    taken, orders = {}, {}
+    for name in shards:
+        start, step = shardtable._number(f"{name}|offset") % slots, shardtable._number(f"{name}|skip") % 12 + 1
+        orders[name] = [(start + j * step) % slots for j in range(slots)]
+        assert sorted(orders[name]) == list(range(slots))
+    for turn in range(slots):
+        name = shards[turn % 3]
+        slot = next(s for s in orders[name] if s not in taken)
+        taken[slot] = name
+    assert [shards[i] for i in table] == [taken[s] for s in range(slots)]
+    whole, fewer = shardtable.fill(queries.SHARDS), shardtable.fill(queries.SHARDS[:-1])
+    sizes = Counter(whole).values()
+    assert max(sizes) - min(sizes) <= 1
+    moved = sum(a != b and a != 31 for a, b in zip(whole, fewer))
+    assert moved < 0.1 * len(whole)
+    for bad in ((["a", "a"], 13), (["a"], 12), ([], 13)):
+        with pytest.raises(ValueError):
+            shardtable.fill(*bad)
+
+
+def test_shard_of_odd_rows(docs, no_docs, texts):
+    rows = shardtable.place(docs, ["x", "y"], 101).collect()
+    assert len(rows) == len(texts)
+    table = shardtable.fill(["x", "y"], 101)
+    for r in rows:
+        key = "" if r["doc_id"] is None else str(r["doc_id"])
+        slot = int(hashlib.md5(key.encode()).hexdigest()[:8], 16) % 101
+        assert (r["slot"], r["shard"]) == (slot, ["x", "y"][table[slot]])
+    assert shardtable.place(no_docs, ["x"], 101).count() == 0
+    plan = shardtable.place(docs, ["x"], 101)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+# ------------------------------------------------------------------ archives
+
+
+@pytest.fixture(scope="module")
+def pages(spark):
+    big = "<p>é" + "x" * 200
+    rows = [(i, f"http://h{i % 7}.example.org/p/{i}?q=%20 {i}", f"page {i} " * 30) for i in range(60)]
+    rows += [(70, "http://a.b/x", big), (61, None, big), (71, "http://a.b/x", big), (61, "http://c.d/", big)]
+    rows += [(80, "bad\r\nurl %", "short"), (81, "http://c.d/", "short"), (82, "http://e/", None)]
+    rows += [(None, "http://e/", "none" * 50), (83, "http://e/", "none" * 50)]
+    return spark.createDataFrame([(*r, 1) for r in rows], "page_id long, url string, html string, size int")
+
+
+def test_archives_round_trip(spark, pages, monkeypatch):
+    monkeypatch.setattr(warc, "BLOCK_LINES", 5)
+    captures = warc.write_archives(pages, common.shared_folder(spark, "warc"))
+    index = warc.write_index(captures)
+    rows = warc.read_records(warc.all_captures(index)).collect()
+    given = pages.collect()
+    assert len(rows) == len(given)
+    assert sorted((r["page_id"] or -1, r["url"] or "") for r in rows) == sorted(
+        (r["page_id"] or -1, r["url"] or "") for r in given
+    )
+    text = {(r["page_id"], r["url"]): (r["html"] or "").encode() for r in given}
+    for r in rows:
+        payload = text[r["page_id"], r["url"]]
+        assert r["payload_bytes"] == len(payload)
+        assert r["payload_digest"] == hashlib.sha256(payload).hexdigest()
+        assert r["payload"] in ((payload,) if r["record_type"] == "response" else (None,))
+    by_page = {}
+    for r in rows:
+        by_page.setdefault(r["page_id"], []).append((r["record_type"], r["refers_to"]))
+    assert sorted(by_page[61], key=str) == [("response", None), ("revisit", 61)]
+    assert by_page[70] == by_page[71] == [("revisit", 61)]
+    assert by_page[80] == by_page[81] == by_page[82] == by_page[83] == [("response", None)]
+    wanted = spark.createDataFrame(
+        [("http://a.b/x",), ("http://C.D/",), ("http://none/",), ("http://h3.example.org/p/3?q=%20 3",), ("bad\r\nurl %",)],
+        "url string",
+    )
+    found = warc.read_records(warc.find_captures(index, wanted)).collect()
+    assert sorted(r["page_id"] for r in found) == [3, 61, 70, 71, 80, 81]
+
+
+def test_archive_of_nothing(spark, pages):
+    captures = warc.write_archives(pages.limit(0), common.shared_folder(spark, "warc"))
+    assert warc.read_records(warc.all_captures(warc.write_index(captures))).count() == 0
+
+
+# ------------------------------------------------------------------ queries and pipeline
+
+
+@has_data
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_query_equals_sql(spark, name):
+    con = duckdb.connect()
+    for table in ("documents", "pages"):
+        con.execute(f"create view {table} as select * from '{DATA}/{table}.parquet'")
+    frame = queries.QUERIES[name](spark, DATA)
+    columns = sorted(frame.columns)
+    want = con.execute(f"select {', '.join(columns)} from ({queries.ORACLES[name]})").fetchall()
+    got = [tuple(r) for r in frame.select(*columns).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+@has_data
+def test_pipeline_stages(spark, docs, no_docs):
+    import corpus_pipeline as pipeline
+
+    whole = spark.read.parquet(f"{DATA}/documents.parquet")
+    kept = pipeline.drop_low_quality(spark, whole, DATA)
+    assert kept.columns == whole.columns and 0 < kept.count() < whole.count()
+    odd = docs.select("doc_id", "text", F.lit("en").alias("lang"))
+    once = pipeline.keep_one_of_each_group(spark, odd, DATA)
+    assert once.columns == odd.columns
+    ids = sorted(-1 if r["doc_id"] is None else r["doc_id"] for r in once.collect())
+    assert ids == [-1, 1, 5, 6, 7, 8, 9, 11, 13, 15, 16, 16, 17]
+    items = spark.read.parquet(f"{DATA}/benchmark.parquet").limit(1).collect()[0]["text"]
+    leak = spark.createDataFrame([(1, f"a {items} b"), (2, "clean"), (None, items)], "doc_id long, text string")
+    left = pipeline.drop_benchmark_leaks(spark, leak, DATA).collect()
+    assert sorted(r["text"] for r in left) == sorted(["clean", items])
+    empty = no_docs.select("doc_id", "text")
+    for _, stage in pipeline.STAGES:
+        assert stage(spark, empty, DATA).count() == 0
+    packed = pipeline.run(spark, DATA)
+    lengths = packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).collect()
+    assert sum(r["n"] != 2048 for r in lengths) <= 1
