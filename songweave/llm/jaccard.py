@@ -11,7 +11,9 @@ overlap enough, as components.
 3. Within a leaf an R-tree over the count vectors finds the pairs whose summed coordinate
    minima, which bound the overlap from above, reach what their sizes demand. Large leaves are
    first linked to a few pivots; what one component holds then needs no further check.
-4. Surviving pairs are verified on the shingle sets.
+4. Surviving pairs are bounded once more by count vectors of a group for every 8 to 16
+   shingles, which tell long texts apart as well as short ones, and what is left is verified
+   on the shingle sets.
 
 Sets are compared by 64-bit hashes of their shingles. A threshold is a ratio of integers and
 is compared exactly.
@@ -40,8 +42,8 @@ from songweave.llm.components import components
 
 GROUPS = 64
 # Documents that are looked through for frequent shingles, and how often makes frequent.
-SAMPLE_DOCS = 8_000
-SAMPLE_OFTEN = 6
+SAMPLE_DOCS = 16_000
+SAMPLE_OFTEN = 4
 # Leaves above this size are linked to pivots first; a task's block of a leaf.
 LEAF = 64
 BLOCK = 1024
@@ -60,6 +62,29 @@ def leaf_count(n: int, num: int, den: int) -> int:
     return spare + 1 if spare or n * den // num > n else 0
 
 
+def fine_bits(n: int) -> int:
+    """log2 of the groups of a set's fine count vector."""
+    return max(6, (max(n - 1, 0) // 16).bit_length())
+
+
+def packed_counts(found: np.ndarray, bits: int) -> bytes:
+    """How many hashes have each value of their first ``bits`` bits, in two or four bytes each."""
+    counts = np.bincount((found >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return counts.astype("<u2" if counts.max() < 1 << 16 else "<u4").tobytes()
+
+
+def unpacked_counts(data: bytes, bits: int) -> np.ndarray:
+    return np.frombuffer(data, "<u2" if len(data) == 2 << bits else "<u4").astype(np.int32)
+
+
+def unpacked_vectors(vectors) -> np.ndarray:
+    """Rows of ``GROUPS`` counts."""
+    if all(len(v) == 2 * GROUPS for v in vectors):
+        flat = np.frombuffer(b"".join(vectors), "<u2").astype(np.int32)
+        return flat.reshape(-1, GROUPS)
+    return np.array([unpacked_counts(v, 6) for v in vectors]).reshape(-1, GROUPS)
+
+
 def frequent(docs: DataFrame, k: int) -> np.ndarray:
     """Sorted hashes of shingles that are frequent in a sample.
 
@@ -98,20 +123,20 @@ def in_sorted(values: np.ndarray, table: np.ndarray) -> np.ndarray:
 
 
 def described(docs: DataFrame, k: int, num: int, den: int, often: np.ndarray) -> DataFrame:
-    """(id, n, digest, vector, first): ``first`` are the shingles of the set's leaves."""
+    """(id, n, digest, vector, fine, first): ``first`` are the shingles of the set's leaves."""
     shared = docs.sparkSession.sparkContext.broadcast(often)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches):
-            sizes, digests, vectors, firsts = [], [], [], []
+            sizes, digests, vectors, fine, firsts = [], [], [], [], []
             for found in text_sets(common.bytes_of(batch.column("text")), k):
                 late = in_sorted(found, shared.value)
                 order = np.concatenate([found[~late], found[late]])
                 keep = leaf_count(len(found), num, den)
-                groups = (found >> np.uint64(58)).astype(np.int64)
                 sizes.append(len(found))
                 digests.append(xxhash.xxh3_128_digest(found.tobytes()))
-                vectors.append(np.bincount(groups, minlength=GROUPS).astype("<i4").tobytes())
+                vectors.append(packed_counts(found, 6))
+                fine.append(packed_counts(found, fine_bits(len(found))))
                 firsts.append(order[:keep].view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -119,13 +144,14 @@ def described(docs: DataFrame, k: int, num: int, den: int, often: np.ndarray) ->
                     pa.array(sizes, pa.int64()),
                     pa.array(digests, pa.binary()),
                     pa.array(vectors, pa.binary()),
+                    pa.array(fine, pa.binary()),
                     pa.array(firsts, pa.list_(pa.int64())),
                 ],
-                ["id", "n", "digest", "vector", "first"],
+                ["id", "n", "digest", "vector", "fine", "first"],
             )
 
     return docs.mapInArrow(
-        run, "id long, n long, digest binary, vector binary, first array<long>"
+        run, "id long, n long, digest binary, vector binary, fine binary, first array<long>"
     )
 
 
@@ -207,7 +233,7 @@ def tree_pairs(left: tuple, right: tuple, num: int, den: int) -> tuple[np.ndarra
 
 def _leaf_pairs(num: int, den: int):
     def side(pdf: pd.DataFrame) -> tuple:
-        points = np.frombuffer(b"".join(pdf["vector"]), "<i4").reshape(len(pdf), GROUPS)
+        points = unpacked_vectors(pdf["vector"].tolist())
         sizes, comps = pdf["n"].to_numpy(np.int64), pdf["component"].to_numpy(np.int64)
         order = packed_order(points, sizes, comps)
         return pdf["id"].to_numpy(np.int64)[order], (points[order], sizes[order], comps[order])
@@ -227,7 +253,7 @@ def _leaf_pairs(num: int, den: int):
             keep = (ids[i] < ids[j]) & (comps[i] != comps[j])
             keep &= (n[i] * num <= n[j] * den) & (n[j] * num <= n[i] * den)
             i, j = i[keep], j[keep]
-            points = np.frombuffer(b"".join(pdf["vector"]), "<i4").reshape(-1, GROUPS)
+            points = unpacked_vectors(pdf["vector"].tolist())
             bound = np.minimum(points[i], points[j]).sum(1, dtype=np.int64)
             keep = bound * (num + den) >= num * (n[i] + n[j])
             return ids[i[keep]], ids[j[keep]]
@@ -347,7 +373,10 @@ def jaccard_components(
     named = rows.where("n > 0 and id is not null")
     classes = store(
         named.groupBy("digest")
-        .agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("vector").alias("vector"))
+        .agg(
+            F.min("id").alias("id"),
+            *[F.first(c).alias(c) for c in ("n", "vector", "fine")],
+        )
         .withColumn("class", F.xxhash64("digest"))
     )
     leaves = (
@@ -373,7 +402,8 @@ def jaccard_components(
         .distinct()
     )
     vectors = classes.select("class", "n", "vector")
-    near = store(_bounded(pivots, vectors, num, den))
+    fine = classes.select("class", "n", "fine")
+    near = store(_bounded(pivots, fine, num, den))
     links = _verified(near, classes, plain, k, num, den)
     merged = components(links)
     placed = (
@@ -401,7 +431,8 @@ def jaccard_components(
         .sortWithinPartitions("leaf", "x", "y")
     )
     found = dealt.mapInPandas(_leaf_pairs(num, den), "a long, b long").distinct()
-    rest = store(found.join(near.select("a", "b"), ["a", "b"], "left_anti"))
+    rest = found.join(near.select("a", "b"), ["a", "b"], "left_anti")
+    rest = store(_bounded(rest, fine, num, den))
     more = _verified(rest, classes, plain, k, num, den)
     groups = components(links.unionAll(more))
     # Back to documents. Rows of one id with several sets join their classes.
@@ -428,24 +459,25 @@ def jaccard_components(
     )
 
 
-def _bounded(pairs: DataFrame, vectors: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs whose summed coordinate minima reach what their sizes demand."""
+def _bounded(pairs: DataFrame, fine: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs whose summed minima over fine count vectors reach what their sizes demand."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            x, y = (
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), "<i4").reshape(-1, GROUPS)
-                for c in ("va", "vb")
-            )
-            bound = np.minimum(x, y).sum(1, dtype=np.int64)
-            need = num * (x.sum(1, dtype=np.int64) + y.sum(1, dtype=np.int64))
-            keep = pa.array(bound * (num + den) >= need)
-            yield batch.select(["a", "b"]).filter(keep)
+        for batch in common.slices(batches):
+            keep = []
+            for row in batch.select(["na", "nb", "va", "vb"]).to_pylist():
+                x = unpacked_counts(row["va"], fine_bits(row["na"]))
+                y = unpacked_counts(row["vb"], fine_bits(row["nb"]))
+                # Groups are leading bits of the hash: neighbours add up to a coarser vector.
+                groups = min(len(x), len(y))
+                x, y = x.reshape(groups, -1).sum(1), y.reshape(groups, -1).sum(1)
+                bound = int(np.minimum(x, y).sum())
+                keep.append(bound * (num + den) >= num * (row["na"] + row["nb"]))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    def side(name: str) -> DataFrame:
+        return fine.select(
+            F.col("class").alias(name), F.col("n").alias(f"n{name}"), F.col("fine").alias(f"v{name}")
+        )
 
-    return (
-        pairs.join(vectors.select(F.col("class").alias("a"), F.col("vector").alias("va")), "a")
-        .join(vectors.select(F.col("class").alias("b"), F.col("vector").alias("vb")), "b")
-        .mapInArrow(run, "a long, b long")
-    )
+    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a long, b long")
