@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 # --- the data model as common table expressions ------------------------------
 
 INTERACTIONS = """interactions as (
@@ -110,20 +112,23 @@ PLAYS = "event_type = 'listen' and played_ratio_pct > 50"
 DECAY_2H = (0.9, 2)
 
 
-def last_listen(source: str, name: str, n: int, decay: float = 0.9, hours: float = 2) -> str:
+def last_listen(
+    source: str, name: str, n: int | None, decay: float = 0.9, hours: float = 2
+) -> str:
     """Own items by decayed weight, at most ``n`` per user."""
+    cut = f" where rank <= {n}" if n else ""
     return decayed(source, f"{name}_conf", decay, hours, PLAYS) + f""",
 {name} as (
   select * from (
-    select *, row_number() over (partition by uid order by round(score, 9) desc, item_id) as rank
+    select *, row_number() over (partition by uid order by order_key(score) desc, item_id) as rank
     from (select uid, item_id, case when conf < 1e-9 then 0 else conf end as score
-          from {name}_conf)) where rank <= {n})"""
+          from {name}_conf)){cut})"""
 
 
 def popular(source: str, name: str, days: int, n: int, users: str) -> str:
     return f"""{name} as (
   select uid, item_id, score, rank from (
-    select *, row_number() over (order by round(score, 9) desc, item_id) as rank from (
+    select *, row_number() over (order by order_key(score) desc, item_id) as rank from (
       select item_id, cast(count(*) as double) as score from {source}
       where event_type = 'like'
         and "timestamp" > (select max("timestamp") from {source}) - {days} * 86400
@@ -298,7 +303,7 @@ bm as (
   from {name} m join bm_item i on m.item_id = i.item_id join bm_user u on m.uid = u.uid),
 similar_items as (
   select item_id, neighbor, similarity, rank from (
-    select *, row_number() over (partition by item_id order by round(similarity, 9) desc, neighbor) as rank
+    select *, row_number() over (partition by item_id order by order_key(similarity) desc, neighbor) as rank
     from (select a.item_id, b.item_id as neighbor, sum(a.w * b.w) as similarity
           from bm a join bm b on a.uid = b.uid where a.w <> 0 and b.w <> 0 group by 1, 2))
   where rank <= {k})"""
@@ -306,7 +311,7 @@ similar_items as (
 
 def bm25_lists(name: str, n: int) -> str:
     return f"""select uid, item_id, round(score, 6) as score, rank from (
-  select *, row_number() over (partition by uid order by round(score, 9) desc, item_id) as rank from (
+  select *, row_number() over (partition by uid order by order_key(score) desc, item_id) as rank from (
     select uid, neighbor as item_id, sum(weight * similarity) as score
     from {name} m join similar_items s on m.item_id = s.item_id group by 1, 2)
   where score > 0) where rank <= {n}"""
@@ -333,7 +338,7 @@ def knn(source: str, truncated: bool) -> str:
 def knn_lists(name: str, n: int) -> str:
     return f"""{name} as (
   select uid, item_id, score, rank from (
-    select *, row_number() over (partition by uid order by round(score, 9) desc, item_id) as rank from (
+    select *, row_number() over (partition by uid order by order_key(score) desc, item_id) as rank from (
       select o.uid, p.item_id, sum(o.weight * p.w) as score
       from overlap o join (
         select uid, item_id, w / sqrt(sum(w * w) over (partition by uid)) as w from plays) p
@@ -379,7 +384,7 @@ def walk_lists(name: str, n: int) -> str:
     """Every user against every track, two steps of the walk."""
     return f"""{name} as (
   select uid, item_id, score, rank from (
-    select *, row_number() over (partition by uid order by round(score, 9) desc, item_id) as rank from (
+    select *, row_number() over (partition by uid order by order_key(score) desc, item_id) as rank from (
       select u.uid, g.id as item_id, g.g + 0.25 * coalesce(s.p, 0) as score
       from (select distinct src as uid from steps where src_type = 0) u
       cross join (select * from g2 where t = 1) g
@@ -399,7 +404,7 @@ def diversified(source: str, meta: str, max_artist: int, max_album: int) -> str:
     ok = f"({fits('artist_id', 'artists', max_artist)} and {fits('album_id', 'albums', max_album)})"
     return f"""places as (
   select r.uid, r.item_id, score, artist_id, album_id,
-    row_number() over (partition by r.uid order by round(score, 9) desc, r.item_id) as pos
+    row_number() over (partition by r.uid order by order_key(score) desc, r.item_id) as pos
   from {source} r left join {meta} m on r.item_id = m.item_id),
 walked as (
   select uid, item_id, score, pos, true as taken, [artist_id] as artists, [album_id] as albums
@@ -417,7 +422,7 @@ diverse as (
 def explored(source: str, k: int = 10, rate: float = 0.2, seed: int = 42) -> str:
     return f"""placed as (
   select uid, item_id, score, least({k}, count(*) over (partition by uid)) as kk,
-    row_number() over (partition by uid order by round(score, 9) desc, item_id) as place from {source}),
+    row_number() over (partition by uid order by order_key(score) desc, item_id) as place from {source}),
 marked as (
   select *, place <= kk - cast(round_even(kk * {rate}, 0) as int) as exploit from placed),
 final as (
@@ -717,11 +722,11 @@ select query_id, item_id, round(score, 6) as score, rank from (
         INTERACTIONS, popular("interactions", "pop", 5, 50, "interactions")) + listed("pop"),
     "new_items": with_(PURCHASES) + """
 select uid, item_id, score, rank from (
-  select *, row_number() over (order by round(score, 9) desc, item_id) as rank from (
+  select *, row_number() over (order by order_key(score) desc, item_id) as rank from (
     select item_id, cast(count(*) as double) as score from purchases group by item_id
     having min("timestamp") >= (select max("timestamp") from purchases) - 2300 * 86400)) p
 cross join (select distinct uid from purchases) u where rank <= 50""",
-    "last_listen": with_(INTERACTIONS, last_listen("interactions", "recs", 2000)) + listed("recs"),
+    "last_listen": with_(INTERACTIONS, last_listen("interactions", "recs", None)) + listed("recs"),
     "user_item_weights": with_(INTERACTIONS, matrix("interactions", "m", True))
     + "select uid, item_id, round(weight, 6) as weight from m",
     "user_item_weights_float": with_(PURCHASES, matrix("purchases", "m", False))
@@ -774,7 +779,7 @@ from rankable""",
     "diversify_artist_album": "with recursive " + ",\n".join(
         [SPLIT, RECS, META, diversified("recs", "meta", 1, 1)]) + "\n" + listed("diverse"),
     "diversify_three_each": "with recursive " + ",\n".join(
-        [PURCHASES, last_listen("purchases", "recs", 2000, hours=24 * 365), META,
+        [PURCHASES, last_listen("purchases", "recs", None, hours=24 * 365), META,
          diversified("recs", "meta", 3, 3)]) + "\n" + listed("diverse"),
     "epsilon_greedy_topk": with_(SPLIT, RECS, explored("recs")) + """
 select uid, item_id, round(score, 6) as score, explored, rank from final""",
@@ -799,8 +804,18 @@ measured as (
   select 'recall' as metric, recall as value, 3.700 as baseline, 1.530 as published from summary
   union all select 'ndcg', ndcg, 7.810, 2.600 from summary
   union all select 'coverage', coverage, 2.570, 0.000 from summary
-  union all select 'cos_sim', cos_sim, 0.0, 46.070 from summary)
+  union all select 'cos_sim', cos_sim, null, 46.070 from summary)
 select 'MostPopular' as model, metric, round(value * 100, 6) as measured,
   cast(baseline as double) as baseline, cast(published as double) as published,
   cast(value * 100 > baseline as int) as above_baseline from measured""",
 }
+
+
+def expanded(sql: str) -> str:
+    """Write out ``order_key(x)``: x at nine significant digits, by which lists are ordered."""
+    scale = r"pow(10.0, 8 - floor(log10(abs(\1))))"
+    key = rf"(case when \1 = 0 then 0 else round(\1 * {scale}) / {scale} end)"
+    return re.sub(r"order_key\((\w+)\)", key, sql)
+
+
+ORACLES = {name: expanded(sql) for name, sql in ORACLES.items()}

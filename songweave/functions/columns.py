@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Scores are sums whose last bits depend on the order of addition. Lists are ordered by the
-# score at this many digits, so equal scores tie and lists do not change with the partitioning.
+# score at this many significant digits, so equal scores tie, lists do not change with the
+# partitioning, and small scores are told apart as well as large ones.
 SCORE_DIGITS = 9
 
 HOUR = 3600
@@ -55,8 +56,10 @@ def hash_order(seed: int, *keys: str) -> Column:
 
 
 def comparable(score: str) -> Column:
-    """The score as lists are ordered by it."""
-    return F.round(F.col(score), SCORE_DIGITS)
+    """The score as lists are ordered by it: rounded to ``SCORE_DIGITS`` significant digits."""
+    value = F.col(score).cast("double")
+    scale = F.pow(F.lit(10.0), SCORE_DIGITS - 1 - F.floor(F.log10(F.abs(value))))
+    return F.when(value == 0, value).otherwise(F.round(value * scale) / scale)
 
 
 def top_per_key(

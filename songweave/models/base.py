@@ -72,7 +72,7 @@ def same_list_for_all(users: DataFrame, top: DataFrame, n: int) -> DataFrame:
     )
 
 
-def ranked(df: DataFrame, n: int) -> DataFrame:
-    """(uid, item_id, score) to the best ``n`` per user with their rank."""
+def ranked(df: DataFrame, n: int | None) -> DataFrame:
+    """(uid, item_id, score) to the best ``n`` (or all) per user with their rank."""
     scored = df.select("uid", "item_id", F.col("score").cast("double").alias("score"))
     return top_per_key(scored, "uid", "score", n)

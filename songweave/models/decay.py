@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from songweave.functions.columns import decay_per_second
-from songweave.models.base import MAX_PREDICTIONS, RetrievalModel, ranked
+from songweave.models.base import RetrievalModel, ranked
 from songweave.operators.interactions import decayed_play_weight
 
 
@@ -23,6 +23,6 @@ class LastListenRecommender(RetrievalModel):
         }
         return self
 
-    def recommend(self, users: DataFrame, n: int = MAX_PREDICTIONS) -> DataFrame:
+    def recommend(self, users: DataFrame, n: int | None = None) -> DataFrame:
         own = self.state["weights"].join(users.select("uid").distinct(), "uid", "left_semi")
         return ranked(own, n)

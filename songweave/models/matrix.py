@@ -11,7 +11,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from songweave.functions.columns import SCORE_DIGITS, top_per_key
+from songweave.functions.columns import top_per_key
 from songweave.functions.vectors import dot
 from songweave.models.base import MAX_PREDICTIONS, RetrievalModel, ranked
 from songweave.operators.interactions import confidence_weights, interaction_counts
@@ -29,7 +29,7 @@ def whole_weights(weight: Column, mode: str) -> Column:
     if mode == "float":
         return weight.cast("double")
     # A weight that is whole up to rounding noise counts as whole.
-    return F.round(weight, SCORE_DIGITS).cast("int").cast("double")
+    return F.round(weight, 9).cast("int").cast("double")
 
 
 def user_item_weights(
@@ -107,12 +107,20 @@ class BM25(RetrievalModel):
     name = "BM25"
 
     def __init__(
-        self, K: int = 200, K1: float = 0.1, B: float = 0.75, weight_mode: str = "truncated"
+        self,
+        K: int = 200,
+        K1: float = 0.1,
+        B: float = 0.75,
+        weight_mode: str = "truncated",
+        last_days: int = 300,
+        min_ratio: float = 50,
     ):
-        super().__init__(K=K, K1=K1, B=B, weight_mode=weight_mode)
+        super().__init__(
+            K=K, K1=K1, B=B, weight_mode=weight_mode, last_days=last_days, min_ratio=min_ratio
+        )
 
     def fit(self, df: DataFrame) -> BM25:
-        weights = cut_lineage(user_item_weights(df, self.weight_mode))
+        weights = cut_lineage(user_item_weights(df, self.weight_mode, self.last_days, self.min_ratio))
         similar = similar_items(bm25_weights(weights, self.K1, self.B), self.K)
         self.state = {"weights": weights, "similar": cut_lineage(similar)}
         return self
@@ -160,6 +168,8 @@ class ALS(FactorModel):
         random_state: int = 42,
         alpha: float = 1.0,
         weight_mode: str = "truncated",
+        last_days: int = 300,
+        min_ratio: float = 50,
     ):
         super().__init__(
             factors=factors,
@@ -168,10 +178,12 @@ class ALS(FactorModel):
             random_state=random_state,
             alpha=alpha,
             weight_mode=weight_mode,
+            last_days=last_days,
+            min_ratio=min_ratio,
         )
 
     def fit(self, df: DataFrame) -> ALS:
-        weights = cut_lineage(user_item_weights(df, self.weight_mode))
+        weights = cut_lineage(user_item_weights(df, self.weight_mode, self.last_days, self.min_ratio))
         users, items = (cut_lineage(m) for m in id_maps(weights))
         ratings = map_with_id_maps(weights, users, items).select(
             F.col("uid").cast("int").alias("user"),
@@ -243,6 +255,8 @@ class BPR(FactorModel):
         iterations: int = 20,
         random_state: int = 42,
         weight_mode: str = "truncated",
+        last_days: int = 300,
+        min_ratio: float = 50,
     ):
         super().__init__(
             factors=factors,
@@ -251,6 +265,8 @@ class BPR(FactorModel):
             iterations=iterations,
             random_state=random_state,
             weight_mode=weight_mode,
+            last_days=last_days,
+            min_ratio=min_ratio,
         )
 
     def _draws(self, heard: DataFrame, items: DataFrame, epoch: int) -> DataFrame:
@@ -294,7 +310,7 @@ class BPR(FactorModel):
         return factors.join(sums, key, "left").select(key, vector.alias("vector"))
 
     def fit(self, df: DataFrame) -> BPR:
-        weights = user_item_weights(df, self.weight_mode)
+        weights = user_item_weights(df, self.weight_mode, self.last_days, self.min_ratio)
         heard = cut_lineage(weights.select("uid", "item_id"))
         numbered = cut_lineage(id_map(heard, "item_id", "item_index"))
         seed, size = self.random_state, self.factors

@@ -138,3 +138,29 @@ def test_final_list_switches(spark, make_log, meta):
     kept = final_list(scored, log, meta, True, True, False)
     assert 0 not in {r["item_id"] for r in kept.collect()}
     assert final_list(scored, log, meta).count() <= 10
+
+
+def test_lists_are_ordered_by_small_scores_too(spark):
+    import numpy as np
+
+    from songweave.functions.columns import top_per_key
+
+    rng = np.random.default_rng(1)
+    scores = [*(rng.random(300) * 1e-10), *(rng.random(300) * 1e5), 0.0, -1e-12]
+    frame = spark.createDataFrame([(1, i, float(s)) for i, s in enumerate(scores)], "uid long, item_id long, score double")
+    got = [r["item_id"] for r in top_per_key(frame, "uid", "score", None).orderBy("rank").collect()]
+    assert got == sorted(range(len(scores)), key=lambda i: -scores[i])
+    noisy = spark.createDataFrame([(1, 2, 1e-10 / 3), (1, 1, 1e-10 / 3 * (1 + 1e-14))], "uid long, item_id long, score double")
+    assert [r["item_id"] for r in top_per_key(noisy, "uid", "score", None).orderBy("rank").collect()] == [1, 2]
+
+
+def test_repeated_metadata_repeats_no_item(spark):
+    from songweave.operators.postprocess import diversify
+
+    lists = spark.createDataFrame([(1, 10, 3.0), (1, 11, 2.0)], "uid long, item_id long, score double")
+    meta = spark.createDataFrame(
+        [(10, 1, 5), (10, 1, 6), (11, 2, None), (11, 2, None)],
+        "item_id long, artist_id long, album_id long",
+    )
+    got = diversify(lists, meta).orderBy("rank").collect()
+    assert [(r["item_id"], r["rank"]) for r in got] == [(10, 1), (11, 2)]
