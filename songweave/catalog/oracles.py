@@ -88,6 +88,8 @@ def with_(*parts: str) -> str:
 
 
 def counts(source: str, name: str = "counts") -> str:
+    """Counts over the last 300 days, or over the whole span of the sparse log."""
+    days = 3650 if source == "purchases" else 300
     return f"""{name} as (
   select uid, item_id, count(*) filter (event_type = 'listen') as listen_count,
     coalesce(max(case when event_type = 'listen' then played_ratio_pct end), 0)
@@ -95,7 +97,7 @@ def counts(source: str, name: str = "counts") -> str:
     max(case when event_type = 'dislike' then 1 else 0 end) as dislike_flag,
     max(case when event_type = 'like' then 1 else 0 end) as like_flag
   from {source}
-  where "timestamp" > (select max("timestamp") from {source}) - 300 * 86400
+  where "timestamp" > (select max("timestamp") from {source}) - {days} * 86400
     and event_type in ('listen','like','dislike')
   group by uid, item_id)"""
 

@@ -49,6 +49,8 @@ QUERIES: dict[str, Query] = {}
 WALK_LISTENS = 0
 # "New" on the sparse log, which spans seven years.
 NEW_DAYS = 2300
+# Matrix models on the sparse log look at its whole span.
+FULL_SPAN = 3650
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -473,7 +475,7 @@ def user_item_weights(spark, folder):
 
 @query
 def user_item_weights_float(spark, folder):
-    return matrix_weights(fixtures.purchases(spark, folder), "float")
+    return matrix_weights(fixtures.purchases(spark, folder), "float", FULL_SPAN)
 
 
 @query
@@ -489,20 +491,20 @@ def id_map_items(spark, folder):
 @query
 def als_recommend(spark, folder):
     log = fixtures.purchases(spark, folder)
-    model = ALS(weight_mode="float").fit(log)
+    model = ALS(weight_mode="float", last_days=FULL_SPAN).fit(log)
     return model.recommend(users_of(log), CANDIDATE_LIMITS["ALS"])
 
 
 @query
 def bm25_similar_items(spark, folder):
-    weights = matrix_weights(fixtures.purchases(spark, folder), "float")
+    weights = matrix_weights(fixtures.purchases(spark, folder), "float", FULL_SPAN)
     return similar_items(bm25_weights(weights))
 
 
 @query
 def bm25_recommend(spark, folder):
     log = fixtures.purchases(spark, folder)
-    model = BM25(weight_mode="float").fit(log)
+    model = BM25(weight_mode="float", last_days=FULL_SPAN).fit(log)
     return model.recommend(users_of(log), CANDIDATE_LIMITS["BM25"])
 
 
@@ -515,7 +517,7 @@ def bm25_recommend_truncated(spark, folder):
 @query
 def bpr_recommend(spark, folder):
     log = fixtures.purchases(spark, folder)
-    model = BPR(weight_mode="float").fit(log)
+    model = BPR(weight_mode="float", last_days=FULL_SPAN).fit(log)
     return model.recommend(users_of(log), CANDIDATE_LIMITS["ALS"])
 
 
