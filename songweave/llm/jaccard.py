@@ -10,10 +10,11 @@ overlap enough, as components.
    shingle's classes are a leaf.
 3. Within a leaf an R-tree over the count vectors finds the pairs whose summed coordinate
    minima, which bound the overlap from above, reach what their sizes demand. Large leaves are
-   first linked to a few pivots; what one component holds then needs no further check.
+   first linked to two pivots, and then, for some rounds, what lies outside a leaf's main
+   component to random members of it; what one component holds needs no further check.
 4. Surviving pairs are bounded once more by count vectors of a group for every 8 to 16
    shingles, which tell long texts apart as well as short ones, and what is left is verified
-   on the shingle sets.
+   on the shingle sets. Texts travel to their pairs compressed, a fraction of their sets' size.
 
 Sets are compared by 64-bit hashes of their shingles. A threshold is a ratio of integers and
 is compared exactly.
@@ -33,6 +34,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,6 +50,12 @@ SAMPLE_OFTEN = 4
 LEAF = 64
 BLOCK = 1024
 FANOUT = 16
+# Members of a main component that outsiders meet in a round, and the most rounds. Both change
+# only the cost: the trees find every link that the rounds leave.
+PIVOTS = 4
+ROUNDS = 3
+# Pairs whose texts are unpacked at once.
+VERIFY_ROWS = 32
 
 
 def text_sets(texts: list[bytes], k: int) -> list[np.ndarray]:
@@ -123,7 +131,7 @@ def in_sorted(values: np.ndarray, table: np.ndarray) -> np.ndarray:
 
 
 def described(docs: DataFrame, k: int, num: int, den: int, often: np.ndarray) -> DataFrame:
-    """(id, n, digest, vector, fine, first): ``first`` are the shingles of the set's leaves."""
+    """(id, mark, n, digest, vector, fine, first): ``first`` are the shingles of the set's leaves."""
     shared = docs.sparkSession.sparkContext.broadcast(often)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,17 +149,19 @@ def described(docs: DataFrame, k: int, num: int, den: int, often: np.ndarray) ->
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id"),
+                    batch.column("mark"),
                     pa.array(sizes, pa.int64()),
                     pa.array(digests, pa.binary()),
                     pa.array(vectors, pa.binary()),
                     pa.array(fine, pa.binary()),
                     pa.array(firsts, pa.list_(pa.int64())),
                 ],
-                ["id", "n", "digest", "vector", "fine", "first"],
+                ["id", "mark", "n", "digest", "vector", "fine", "first"],
             )
 
     return docs.mapInArrow(
-        run, "id long, n long, digest binary, vector binary, fine binary, first array<long>"
+        run,
+        "id long, mark long, n long, digest binary, vector binary, fine binary, first array<long>",
     )
 
 
@@ -304,28 +314,25 @@ def _leaf_pairs(num: int, den: int):
 # --------------------------------------------------------------------------- the join
 
 
-def _sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
-    """(id, found): shingle sets of the wanted documents only."""
+def _packed(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(class, packed): the compressed text of one row of each wanted class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor()
         for batch in common.slices(batches):
-            found = text_sets(common.bytes_of(batch.column("text")), k)
+            texts = common.bytes_of(batch.column("text"))
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("id"),
-                    pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in found], pa.binary()),
-                    pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64())),
-                ],
-                ["id", "digest", "found"],
+                [batch.column("class"), pa.array(map(pack.compress, texts), pa.binary())],
+                ["class", "packed"],
             )
 
-    # Ids may repeat on rows of other texts: the digest picks the right one.
+    # Ids may repeat on rows of other texts: the mark picks the right one.
     return (
-        docs.join(ids.select("id").distinct(), "id", "left_semi")
-        .mapInArrow(run, "id long, digest binary, found array<long>")
-        .join(ids, ["id", "digest"], "left_semi")
-        .groupBy("id", "digest")
-        .agg(F.first("found").alias("found"))
+        docs.join(wanted, ["id", "mark"])
+        .select("class", "text")
+        .mapInArrow(run, "class long, packed binary")
+        .groupBy("class")
+        .agg(F.first("packed").alias("packed"))
     )
 
 
@@ -334,25 +341,72 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, num
     wanted = store(
         pairs.select(F.explode(F.array("a", "b")).alias("class"))
         .distinct()
-        .join(classes.select("class", "id", "digest"), "class")
+        .join(classes.select("class", "id", "mark"), "class")
+    )
+    texts = store(_packed(docs, wanted))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor()
+        for batch in common.slices(batches, VERIFY_ROWS):
+            a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
+            packed = dict(zip(a, batch.column("x").to_pylist()))
+            packed.update(zip(b, batch.column("y").to_pylist()))
+            found = text_sets([unpack.decompress(t) for t in packed.values()], k)
+            sets = dict(zip(packed, found))
+            keep = []
+            for i, j in zip(a, b):
+                x, y = sets[i], sets[j]
+                both = int(in_sorted(x, y).sum())
+                keep.append(both * den >= (len(x) + len(y) - both) * num)
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    both = pairs.join(
+        texts.select(F.col("class").alias("a"), F.col("packed").alias("x")), "a"
+    ).join(texts.select(F.col("class").alias("b"), F.col("packed").alias("y")), "b")
+    return store(both.mapInArrow(run, "a long, b long"))
+
+
+def _joined(merged: DataFrame, links: DataFrame) -> DataFrame:
+    """Components of links between what earlier components hold."""
+    stars = merged.where("id <> component")
+    return components(stars.select(F.col("id").alias("a"), F.col("component").alias("b")).unionAll(links))
+
+
+def _outsiders(big: DataFrame, merged: DataFrame, turn: int) -> DataFrame:
+    """Pairs (a, b) of classes outside the main component of a large leaf and a few of its
+    members, which a hash that changes with ``turn`` draws. Main is the component that most of
+    a leaf's classes are in, if it is large itself. Nothing but sums and minima are gathered."""
+    placed = big.join(merged.withColumnRenamed("id", "class"), "class", "left").select(
+        "leaf", "class", F.coalesce("component", "class").alias("component")
     )
-    sets = store(
-        _sets(docs, wanted.select("id", "digest"), k)
-        .join(wanted, ["id", "digest"])
-        .select("class", "found")
+
+    def drawn(j: int):
+        key = F.xxhash64("class", F.lit(turn * PIVOTS + j))
+        return F.min(F.struct(key.alias("key"), F.col("class").alias("class")))["class"]
+
+    parts = placed.groupBy("leaf", "component").agg(
+        F.count(F.lit(1)).alias("rows"), F.array(*map(drawn, range(PIVOTS))).alias("pivots")
     )
-    both = (
-        pairs.join(sets.select(F.col("class").alias("a"), F.col("found").alias("x")), "a")
-        .join(sets.select(F.col("class").alias("b"), F.col("found").alias("y")), "b")
-        .select(
-            "a",
-            "b",
-            F.size(F.array_intersect("x", "y")).cast("long").alias("both"),
-            (F.size("x") + F.size("y")).cast("long").alias("all"),
+    main = (
+        parts.groupBy("leaf")
+        .agg(
+            F.max(F.struct("rows", "component", "pivots")).alias("main"),
+            F.count(F.lit(1)).alias("parts"),
         )
+        .where((F.col("parts") > 1) & (F.col("main.rows") >= LEAF))
+        .select("leaf", F.col("main.component").alias("main"), F.col("main.pivots").alias("pivots"))
+    )
+    # A class meets the same component in many leaves: one draw of each kind is enough.
+    met = (
+        placed.join(main, "leaf")
+        .where("component <> main")
+        .groupBy("class", "main")
+        .agg(F.array(*[F.min(F.col("pivots")[j]) for j in range(PIVOTS)]).alias("pivots"))
+        .select("class", F.explode("pivots").alias("pivot"))
     )
-    union = F.col("all") - F.col("both")
-    return store(both.where(F.col("both") * den >= union * num).select("a", "b"))
+    return met.select(
+        F.least("class", "pivot").alias("a"), F.greatest("class", "pivot").alias("b")
+    ).distinct()
 
 
 def jaccard_components(
@@ -366,7 +420,11 @@ def jaccard_components(
     """(id, n_shingles, component_id) of every row: links are pairs whose intersection * den
     is at least their union * num, and a component is named by its smallest id.
     """
-    plain = docs.select(F.col(id_).cast("long").alias("id"), F.col(text).alias("text"))
+    plain = docs.select(
+        F.col(id_).cast("long").alias("id"),
+        F.col(text).alias("text"),
+        F.xxhash64(text).alias("mark"),
+    )
     rows = store(described(plain, k, num, den, frequent(plain, k)))
     # A class is a distinct set, named by the smallest id that has it; ids that repeat with
     # other texts can't name two classes, so classes have numbers of their own: the digest's.
@@ -374,10 +432,10 @@ def jaccard_components(
     classes = store(
         named.groupBy("digest")
         .agg(
-            F.min("id").alias("id"),
+            F.min(F.struct("id", "mark")).alias("row"),
             *[F.first(c).alias(c) for c in ("n", "vector", "fine")],
         )
-        .withColumn("class", F.xxhash64("digest"))
+        .select("digest", "row.*", "n", "vector", "fine", F.xxhash64("digest").alias("class"))
     )
     leaves = (
         named.join(classes.select("digest", "id"), ["digest", "id"], "left_semi")
@@ -386,30 +444,31 @@ def jaccard_components(
         .select(F.explode("first").alias("leaf"), F.xxhash64("digest").alias("class"))
     )
     leaves = store(leaves)
-    sizes = store(
-        leaves.groupBy("leaf")
-        .agg(F.count(F.lit(1)).alias("rows"), F.min("class").alias("one"), F.max("class").alias("two"))
-        .where("rows > 1")
-    )
-    members = store(leaves.join(sizes, "leaf").select("leaf", "class", "rows", "one", "two"))
+    sizes = leaves.groupBy("leaf").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    members = store(leaves.join(store(sizes), "leaf").select("leaf", "class", "rows"))
     # Large leaves: everyone against two pivots, verified, so that most are linked already.
-    big = members.where(F.col("rows") > LEAF)
+    big = members.where(F.col("rows") > LEAF).select("leaf", "class")
+    ends = big.groupBy("leaf").agg(F.array(F.min("class"), F.max("class")).alias("ends"))
     pivots = (
-        big.select(F.col("class").alias("a"), F.col("one").alias("b"))
-        .unionAll(big.select(F.col("class").alias("a"), F.col("two").alias("b")))
-        .where("a <> b")
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        big.join(ends, "leaf")
+        .select("class", F.explode("ends").alias("end"))
+        .where("class <> end")
+        .select(F.least("class", "end").alias("a"), F.greatest("class", "end").alias("b"))
         .distinct()
     )
     vectors = classes.select("class", "n", "vector")
     fine = classes.select("class", "n", "fine")
     near = store(_bounded(pivots, fine, num, den))
-    links = _verified(near, classes, plain, k, num, den)
-    merged = components(links)
-    placed = (
-        members.join(merged.withColumnRenamed("id", "class"), "class", "left")
-        .withColumn("component", F.coalesce("component", "class"))
-        .drop("one", "two")
+    merged = components(_verified(near, classes, plain, k, num, den))
+    for turn in range(ROUNDS):
+        proposed = _outsiders(big, merged, turn).join(near, ["a", "b"], "left_anti")
+        proposed = store(_bounded(proposed, fine, num, den))
+        if proposed.isEmpty():
+            break
+        near = near.unionAll(proposed)
+        merged = _joined(merged, _verified(proposed, classes, plain, k, num, den))
+    placed = members.join(merged.withColumnRenamed("id", "class"), "class", "left").withColumn(
+        "component", F.coalesce("component", "class")
     )
     open_ = (
         placed.groupBy("leaf")
@@ -431,10 +490,9 @@ def jaccard_components(
         .sortWithinPartitions("leaf", "x", "y")
     )
     found = dealt.mapInPandas(_leaf_pairs(num, den), "a long, b long").distinct()
-    rest = found.join(near.select("a", "b"), ["a", "b"], "left_anti")
+    rest = found.join(near, ["a", "b"], "left_anti")
     rest = store(_bounded(rest, fine, num, den))
-    more = _verified(rest, classes, plain, k, num, den)
-    groups = components(links.unionAll(more))
+    groups = _joined(merged, _verified(rest, classes, plain, k, num, den))
     # Back to documents. Rows of one id with several sets join their classes.
     labelled = classes.select("digest", F.col("class").alias("id")).join(groups, "id", "left")
     labelled = labelled.select("digest", F.coalesce("component", "id").alias("component"))

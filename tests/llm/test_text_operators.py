@@ -260,9 +260,10 @@ def test_jaccard_join_of_nothing(no_docs):
     assert jaccard.jaccard_components(no_docs, 3, 90, 100).count() == 0
 
 
-def test_jaccard_join_of_a_large_near_group(spark, monkeypatch):
+@pytest.mark.parametrize("rounds", [0, 3])
+def test_jaccard_join_of_a_large_near_group(spark, monkeypatch, rounds):
     """Many near copies, of which far ones don't link directly: pivots, blocks and trees."""
-    for name, value in (("LEAF", 8), ("BLOCK", 16), ("FANOUT", 4)):
+    for name, value in (("LEAF", 8), ("BLOCK", 16), ("FANOUT", 4), ("ROUNDS", rounds)):
         monkeypatch.setattr(jaccard, name, value)
     rng = random.Random(9)
     base = words(rng, 80, 10**6).split()
