@@ -23,6 +23,8 @@ def components(edges: DataFrame) -> DataFrame:
     the longest path. No vertex's neighbours are ever collected.
     """
     current = store(_directed(edges).distinct())
+    if current.isEmpty():
+        return current.select(F.col("a").alias("id"), F.col("b").alias("component"))
     while True:
         both = current.unionAll(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         # Large star: links to neighbours above a vertex go to the least of it and its neighbours.
@@ -43,11 +45,9 @@ def components(edges: DataFrame) -> DataFrame:
         )
         following = store(small.distinct())
         # Stars: every vertex has one link, and no centre has a link of its own.
-        twice = following.groupBy("a").count().where("count > 1").limit(1)
-        inner = following.join(
-            following.select(F.col("a").alias("b")), "b", "left_semi"
-        ).limit(1)
-        if not twice.count() and not inner.count():
+        twice = following.groupBy("a").count().where("count > 1").select("a")
+        inner = following.join(following.select(F.col("a").alias("b")), "b", "left_semi")
+        if not twice.unionAll(inner.select("a")).limit(1).count():
             break
         current = following
     centres = following.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()

@@ -2,19 +2,20 @@
 overlap enough, as components.
 
 1. Every text becomes its set of hashed shingles, their number, a digest of the set, and a
-   count vector: shingles are hashed to ``GROUPS`` groups and counted. Documents with equal
-   sets are one class from then on, so copies cost nothing further.
+   count vector: shingles are hashed to groups, one for every 4 to 8 shingles, and counted.
+   Documents with equal sets are one class from then on, so copies cost nothing further.
 2. Leaves: two sets that are similar enough share a shingle among the first few of each in any
-   one order of all shingles (as many as the sets may differ in, plus one). Shingles that a
-   bounded sample finds often come last in that order; the sample changes only the cost. A
-   shingle's classes are a leaf.
-3. Within a leaf an R-tree over the count vectors finds the pairs whose summed coordinate
-   minima, which bound the overlap from above, reach what their sizes demand. Large leaves are
-   first linked to two pivots, and then, for some rounds, what lies outside a leaf's main
-   component to random members of it; what one component holds needs no further check.
-4. Surviving pairs are bounded once more by count vectors of a group for every 8 to 16
-   shingles, which tell long texts apart as well as short ones, and what is left is verified
-   on the shingle sets. Texts travel to their pairs compressed, a fraction of their sets' size.
+   one order of all shingles (as many as the sets may differ in, plus one). Shingles come in the
+   order of how often a bounded sample finds them; the sample changes only the cost. A shingle's
+   classes are a leaf, and of leaves with the same classes one is kept.
+3. Within a leaf an R-tree over count vectors of ``GROUPS`` groups finds the pairs whose summed
+   coordinate minima, which bound the overlap from above, reach what their sizes demand; at its
+   points the vectors' finer groups decide. Large leaves are first linked to two pivots, and
+   then what lies outside a leaf's main component to random members of it; what one component
+   holds needs no further check.
+4. Surviving pairs are bounded once more by all groups of their vectors, which tells very long
+   texts apart too, and what is left is verified on the shingle sets. Texts travel to their
+   pairs compressed, a fraction of their sets' size.
 
 Sets are compared by 64-bit hashes of their shingles. A threshold is a ratio of integers and
 is compared exactly.
@@ -42,7 +43,10 @@ from songweave.llm import common
 from songweave.llm.common import store
 from songweave.llm.components import components
 
-GROUPS = 64
+GROUP_BITS = 6
+GROUPS = 1 << GROUP_BITS
+# log2 of the most groups of the vectors that go to the leaves, so their size is bounded.
+LEAF_BITS = 9
 # Documents that are looked through for frequent shingles, and how often makes frequent.
 SAMPLE_DOCS = 16_000
 SAMPLE_OFTEN = 4
@@ -53,7 +57,7 @@ FANOUT = 16
 # Members of a main component that outsiders meet in a round, and the most rounds. Both change
 # only the cost: the trees find every link that the rounds leave.
 PIVOTS = 4
-ROUNDS = 3
+ROUNDS = 1
 # Pairs whose texts are unpacked at once.
 VERIFY_ROWS = 32
 
@@ -70,38 +74,57 @@ def leaf_count(n: int, num: int, den: int) -> int:
     return spare + 1 if spare or n * den // num > n else 0
 
 
-def fine_bits(n: int) -> int:
-    """log2 of the groups of a set's fine count vector."""
-    return max(6, (max(n - 1, 0) // 16).bit_length())
+def fine_bits(n: np.ndarray) -> np.ndarray:
+    """log2 of the groups of sets' whole count vectors: the bits of (n - 1) // 8."""
+    bits = np.frexp(np.maximum(np.asarray(n) - 1, 0) // 8)[1]
+    return np.maximum(bits, GROUP_BITS).astype(np.int64)
 
 
 def packed_counts(found: np.ndarray, bits: int) -> bytes:
-    """How many hashes have each value of their first ``bits`` bits, in two or four bytes each."""
+    """How many hashes have each value of their first ``bits`` bits, in one, two or four bytes
+    each."""
     counts = np.bincount((found >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
-    return counts.astype("<u2" if counts.max() < 1 << 16 else "<u4").tobytes()
-
-
-def unpacked_counts(data: bytes, bits: int) -> np.ndarray:
-    return np.frombuffer(data, "<u2" if len(data) == 2 << bits else "<u4").astype(np.int32)
-
-
-def unpacked_vectors(vectors) -> np.ndarray:
-    """Rows of ``GROUPS`` counts."""
-    if all(len(v) == 2 * GROUPS for v in vectors):
-        flat = np.frombuffer(b"".join(vectors), "<u2").astype(np.int32)
-        return flat.reshape(-1, GROUPS)
-    return np.array([unpacked_counts(v, 6) for v in vectors]).reshape(-1, GROUPS)
-
-
-def frequent(docs: DataFrame, k: int) -> np.ndarray:
-    """Sorted hashes of shingles that are frequent in a sample.
+    most = counts.max()
+    return counts.astype("u1" if most < 1 << 8 else "<u2" if most < 1 << 16 else "<u4").tobytes()
+
+
+def unpacked_counts(vectors: list[bytes], bits: np.ndarray, to: int) -> np.ndarray:
+    """Rows of ``2 ** to`` counts of vectors of ``2 ** bits``: groups are leading bits of a
+    hash, so neighbours add up to a coarser vector."""
+    out = np.empty((len(vectors), 1 << to), np.int32)
+    width = np.fromiter(map(len, vectors), np.int64, len(vectors)) >> bits
+    for b, w in set(zip(bits.tolist(), width.tolist())):
+        rows = np.flatnonzero((bits == b) & (width == w))
+        flat = np.frombuffer(b"".join([vectors[i] for i in rows.tolist()]), f"<u{w}")
+        out[rows] = flat.reshape(len(rows), 1 << to, -1).sum(2, dtype=np.int64)
+    return out
+
+
+def may_link(vectors: list[bytes], bits: np.ndarray, n: np.ndarray, i, j, num: int, den: int):
+    """Whether the summed minima of each pair (i, j) of vectors reach what its sizes demand."""
+    shared = np.minimum(bits[i], bits[j])
+    keep = np.ones(len(i), np.bool_)
+    for to in np.unique(shared).tolist():
+        at = np.flatnonzero(shared == to)
+        step = max(1, (1 << 21) >> to)
+        for part in (at[k : k + step] for k in range(0, len(at), step)):
+            rows, place = np.unique(np.concatenate([i[part], j[part]]), return_inverse=True)
+            counts = unpacked_counts([vectors[r] for r in rows.tolist()], bits[rows], to)
+            x, y = place[: len(part)], place[len(part) :]
+            bound = np.minimum(counts[x], counts[y]).sum(1, dtype=np.int64)
+            keep[part] = bound * (num + den) >= num * (n[i[part]] + n[j[part]])
+    return keep
+
+
+def frequent(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of shingles that are frequent in a sample, and the bits of their counts.
 
     At most ``SAMPLE_DOCS`` rows are expected in the sample, so the list is bounded whatever
     the table's size.
     """
     rows = docs.count()
     if not rows:
-        return np.empty(0, np.uint64)
+        return np.empty(0, np.uint64), np.empty(0, np.uint8)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches):
@@ -117,10 +140,20 @@ def frequent(docs: DataFrame, k: int) -> np.ndarray:
         .groupBy("shingle")
         .agg(F.sum("rows").alias("rows"))
         .where(F.col("rows") >= SAMPLE_OFTEN)
-        .select("shingle")
         .toArrow()
     )
-    return np.sort(often.column(0).to_numpy().view(np.uint64))
+    found = often.column("shingle").to_numpy().view(np.uint64)
+    levels = np.frexp(often.column("rows").to_numpy())[1].astype(np.uint8)
+    order = np.argsort(found)
+    return found[order], levels[order]
+
+
+def levels_of(values: np.ndarray, table: np.ndarray, levels: np.ndarray) -> np.ndarray:
+    """The levels of values that the sorted table holds, 0 for others."""
+    if not len(table):
+        return np.zeros(len(values), np.uint8)
+    at = np.minimum(np.searchsorted(table, values), len(table) - 1)
+    return np.where(table[at] == values, levels[at], np.uint8(0))
 
 
 def in_sorted(values: np.ndarray, table: np.ndarray) -> np.ndarray:
@@ -130,21 +163,22 @@ def in_sorted(values: np.ndarray, table: np.ndarray) -> np.ndarray:
     return table[at] == values
 
 
-def described(docs: DataFrame, k: int, num: int, den: int, often: np.ndarray) -> DataFrame:
-    """(id, mark, n, digest, vector, fine, first): ``first`` are the shingles of the set's leaves."""
+def described(docs: DataFrame, k: int, num: int, den: int, often: tuple) -> DataFrame:
+    """(id, mark, n, digest, vector, fine, first): ``first`` are the shingles of the set's
+    leaves; ``fine`` is the whole count vector where ``vector`` has fewer groups, else null."""
     shared = docs.sparkSession.sparkContext.broadcast(often)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches):
             sizes, digests, vectors, fine, firsts = [], [], [], [], []
             for found in text_sets(common.bytes_of(batch.column("text")), k):
-                late = in_sorted(found, shared.value)
-                order = np.concatenate([found[~late], found[late]])
+                order = found[np.argsort(levels_of(found, *shared.value), kind="stable")]
                 keep = leaf_count(len(found), num, den)
+                bits = int(fine_bits(len(found)))
                 sizes.append(len(found))
                 digests.append(xxhash.xxh3_128_digest(found.tobytes()))
-                vectors.append(packed_counts(found, 6))
-                fine.append(packed_counts(found, fine_bits(len(found))))
+                vectors.append(packed_counts(found, min(bits, LEAF_BITS)))
+                fine.append(packed_counts(found, bits) if bits > LEAF_BITS else None)
                 firsts.append(order[:keep].view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -242,11 +276,15 @@ def tree_pairs(left: tuple, right: tuple, num: int, den: int) -> tuple[np.ndarra
 
 
 def _leaf_pairs(num: int, den: int):
+    def leaf_bits(sizes: np.ndarray) -> np.ndarray:
+        return np.minimum(fine_bits(sizes), LEAF_BITS)
+
     def side(pdf: pd.DataFrame) -> tuple:
-        points = unpacked_vectors(pdf["vector"].tolist())
+        """Row numbers and (points, sizes, components), in the tree's order."""
         sizes, comps = pdf["n"].to_numpy(np.int64), pdf["component"].to_numpy(np.int64)
+        points = unpacked_counts(pdf["vector"].tolist(), leaf_bits(sizes), GROUP_BITS)
         order = packed_order(points, sizes, comps)
-        return pdf["id"].to_numpy(np.int64)[order], (points[order], sizes[order], comps[order])
+        return order, (points[order], sizes[order], comps[order])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Rows come sorted by leaf and block pair; a block pair's rows are bounded."""
@@ -263,9 +301,7 @@ def _leaf_pairs(num: int, den: int):
             keep = (ids[i] < ids[j]) & (comps[i] != comps[j])
             keep &= (n[i] * num <= n[j] * den) & (n[j] * num <= n[i] * den)
             i, j = i[keep], j[keep]
-            points = unpacked_vectors(pdf["vector"].tolist())
-            bound = np.minimum(points[i], points[j]).sum(1, dtype=np.int64)
-            keep = bound * (num + den) >= num * (n[i] + n[j])
+            keep = may_link(pdf["vector"].tolist(), leaf_bits(n), n, i, j, num, den)
             return ids[i[keep]], ids[j[keep]]
 
         def pairs(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -282,15 +318,21 @@ def _leaf_pairs(num: int, den: int):
                 for start, size in zip(starts[~small].tolist(), sizes[~small].tolist()):
                     rows = pdf.iloc[start : start + size]
                     x, y = keys[start, 1], keys[start, 2]
-                    ids, left = side(rows[rows["block"] == x])
-                    others, right = (ids, left) if x == y else side(rows[rows["block"] == y])
-                    if not len(ids) or not len(others):
+                    places = rows["block"].to_numpy()
+                    mine, yours = np.flatnonzero(places == x), np.flatnonzero(places == y)
+                    if not len(mine) or not len(yours):
                         continue
+                    order, left = side(rows.iloc[mine])
+                    other, right = (order, left) if x == y else side(rows.iloc[yours])
                     i, j = tree_pairs(left, right, num, den)
-                    a, b = ids[i], others[j]
-                    keep = a < b if x == y else a != b
-                    out_a.append(np.minimum(a, b)[keep])
-                    out_b.append(np.maximum(a, b)[keep])
+                    i, j = mine[order[i]], yours[other[j]]
+                    ids, n = rows["id"].to_numpy(np.int64), rows["n"].to_numpy(np.int64)
+                    keep = ids[i] < ids[j] if x == y else ids[i] != ids[j]
+                    i, j = i[keep], j[keep]
+                    keep = may_link(rows["vector"].tolist(), leaf_bits(n), n, i, j, num, den)
+                    a, b = ids[i[keep]], ids[j[keep]]
+                    out_a.append(np.minimum(a, b))
+                    out_b.append(np.maximum(a, b))
             return pd.DataFrame({"a": np.concatenate(out_a), "b": np.concatenate(out_b)})
 
         for batch in batches:
@@ -444,7 +486,19 @@ def jaccard_components(
         .select(F.explode("first").alias("leaf"), F.xxhash64("digest").alias("class"))
     )
     leaves = store(leaves)
-    sizes = leaves.groupBy("leaf").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    # Leaves with the same classes, known by 128 bits of their hashes, lead to the same pairs.
+    sizes = (
+        leaves.groupBy("leaf")
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.bit_xor("class").alias("one"),
+            F.bit_xor(F.xxhash64("class")).alias("two"),
+        )
+        .where("rows > 1")
+        .groupBy("rows", "one", "two")
+        .agg(F.min("leaf").alias("leaf"))
+        .select("leaf", "rows")
+    )
     members = store(leaves.join(store(sizes), "leaf").select("leaf", "class", "rows"))
     # Large leaves: everyone against two pivots, verified, so that most are linked already.
     big = members.where(F.col("rows") > LEAF).select("leaf", "class")
@@ -457,7 +511,7 @@ def jaccard_components(
         .distinct()
     )
     vectors = classes.select("class", "n", "vector")
-    fine = classes.select("class", "n", "fine")
+    fine = classes.select("class", "n", F.coalesce("fine", "vector").alias("fine"))
     near = store(_bounded(pivots, fine, num, den))
     merged = components(_verified(near, classes, plain, k, num, den))
     for turn in range(ROUNDS):
@@ -522,15 +576,11 @@ def _bounded(pairs: DataFrame, fine: DataFrame, num: int, den: int) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches):
-            keep = []
-            for row in batch.select(["na", "nb", "va", "vb"]).to_pylist():
-                x = unpacked_counts(row["va"], fine_bits(row["na"]))
-                y = unpacked_counts(row["vb"], fine_bits(row["nb"]))
-                # Groups are leading bits of the hash: neighbours add up to a coarser vector.
-                groups = min(len(x), len(y))
-                x, y = x.reshape(groups, -1).sum(1), y.reshape(groups, -1).sum(1)
-                bound = int(np.minimum(x, y).sum())
-                keep.append(bound * (num + den) >= num * (row["na"] + row["nb"]))
+            vectors = batch.column("va").to_pylist() + batch.column("vb").to_pylist()
+            n = np.concatenate([batch.column(c).to_numpy() for c in ("na", "nb")])
+            first = np.arange(batch.num_rows)
+            second = first + batch.num_rows
+            keep = may_link(vectors, fine_bits(n), n, first, second, num, den)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     def side(name: str) -> DataFrame:
