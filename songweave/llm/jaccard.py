@@ -486,20 +486,16 @@ def jaccard_components(
         .select(F.explode("first").alias("leaf"), F.xxhash64("digest").alias("class"))
     )
     leaves = store(leaves)
+    sizes = leaves.groupBy("leaf").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    shared = store(leaves.join(store(sizes), "leaf").select("leaf", "class", "rows"))
     # Leaves with the same classes, known by 128 bits of their hashes, lead to the same pairs.
-    sizes = (
-        leaves.groupBy("leaf")
-        .agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.bit_xor("class").alias("one"),
-            F.bit_xor(F.xxhash64("class")).alias("two"),
-        )
-        .where("rows > 1")
+    kept = (
+        shared.groupBy("leaf", "rows")
+        .agg(F.bit_xor("class").alias("one"), F.bit_xor(F.xxhash64("class")).alias("two"))
         .groupBy("rows", "one", "two")
         .agg(F.min("leaf").alias("leaf"))
-        .select("leaf", "rows")
     )
-    members = store(leaves.join(store(sizes), "leaf").select("leaf", "class", "rows"))
+    members = store(shared.join(kept.select("leaf"), "leaf", "left_semi"))
     # Large leaves: everyone against two pivots, verified, so that most are linked already.
     big = members.where(F.col("rows") > LEAF).select("leaf", "class")
     ends = big.groupBy("leaf").agg(F.array(F.min("class"), F.max("class")).alias("ends"))
