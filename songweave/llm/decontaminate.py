@@ -1,12 +1,16 @@
 """Benchmark decontamination: SimHash of item-sized windows, Hamming blocks, exact check.
 
-A window is as many words of a document as an item has. Its fingerprint is a 64-bit SimHash of
+A window is as many words of a document as an item has, or all words of a shorter one. Its fingerprint is a 64-bit SimHash of
 its shingles, each weighted by how often it occurs. Items are indexed under four 16-bit blocks
 of their fingerprints: two fingerprints within ``RADIUS`` bits differ by at most a quarter of
 that in one of the blocks, so an index that lists, for every block value, the items within that
 many bits finds all of them. What is found is verified by the weighted Jaccard similarity of
 the shingle counts, at least ``num / den``.
 
+An item that is longer than the document meets the whole document as its one window, if their
+sizes allow the threshold at all. Few shingles of unequal number would give fingerprints too
+far apart, so none are used: a list from shingles to items gives each item's exact overlap.
+
 Windows are only fingerprinted where they can reach the threshold at all: two sides of ``s``
 shingles each have to share at least 2 * s * num / (num + den), so a window has to hold that
 many shingles that some item has. This loses nothing.
@@ -21,6 +25,7 @@ empty table on either side gives no rows. Columns beside id and text are not loo
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -75,6 +80,15 @@ class Index:
         shingles = [common.shingle_hashes(w, k) for _, w in found]
         self.counts = [Counter(s.tolist()) for s in shingles]
         self.known = np.unique(np.concatenate(shingles)) if shingles else np.empty(0, np.uint64)
+        # The items that hold known[i], and how often, are at listed_from[i] : listed_from[i + 1].
+        listed = [np.unique(s, return_counts=True) for s in shingles]
+        held = np.concatenate([u for u, _ in listed]) if listed else np.empty(0, np.uint64)
+        order = np.argsort(held, kind="stable")
+        self.listed_from = np.append(np.searchsorted(held[order], self.known), len(held))
+        owner = np.repeat(np.arange(len(listed)), [len(u) for u, _ in listed])
+        self.listed_item = owner[order].astype(np.int64)
+        times = np.concatenate([n for _, n in listed]) if listed else np.empty(0, np.int64)
+        self.listed_times = times[order].astype(np.int64)
         # A bitmap over 20 bits of the hash spares most shingles the search.
         self.maybe = np.zeros(1 << 20, np.bool_)
         self.maybe[(self.known >> np.uint64(44)).astype(np.int64)] = True
@@ -111,9 +125,9 @@ class Index:
         pairs = np.unique(np.stack([np.concatenate(rows), np.concatenate(items)]), axis=1)
         return pairs[0], pairs[1]
 
-    def matches(self, words: np.ndarray) -> dict[int, tuple[float, int]]:
-        """Best (similarity, first word) of each item that the words contain."""
-        best: dict[int, tuple[float, int]] = {}
+    def matches(self, words: np.ndarray) -> dict[int, tuple[float, int, int]]:
+        """Best (similarity, first word, words) of each item that the words contain."""
+        best: dict[int, tuple[float, int, int]] = {}
         # Items shorter than a shingle are one shingle of their own length.
         for length in [*self.short, self.k]:
             if length > len(words):
@@ -124,6 +138,8 @@ class Index:
             hits = int(hit.sum())
             if not hits:
                 continue
+            if length == self.k:
+                self._whole(shingles, hit, len(words), best)
             sums = np.concatenate([[0], np.cumsum(hit)])
             for size in [length] if length < self.k else self.long:
                 width = size - length + 1
@@ -135,6 +151,29 @@ class Index:
                     self._windows(shingles, starts[at : at + 1024], width, size, best)
         return best
 
+    def _whole(self, shingles: np.ndarray, hit: np.ndarray, n_words: int, best) -> None:
+        """Items longer than the document, against all of it."""
+        width = len(shingles)
+        at = bisect_right(self.long, n_words)
+        if at == len(self.long):
+            return
+        # The least that any of them demands: sizes are sorted.
+        least = self.num * (width + self.long[at] - self.k + 1)
+        if int(hit.sum()) * (self.num + self.den) < least:
+            return
+        own, times = np.unique(shingles[hit], return_counts=True)
+        place = np.searchsorted(self.known, own)
+        first, n = self.listed_from[place], self.listed_from[place + 1] - self.listed_from[place]
+        rows = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        both = np.zeros(len(self.sizes), np.int64)
+        np.add.at(
+            both, self.listed_item[rows], np.minimum(np.repeat(times, n), self.listed_times[rows])
+        )
+        either = width + (self.sizes - self.k + 1) - both
+        found = (self.sizes > n_words) & (both > 0) & (both * self.den >= either * self.num)
+        for item in np.flatnonzero(found).tolist():
+            best[item] = (float(both[item] / either[item]), 0, n_words)
+
     def _windows(self, shingles, starts, width, size, best) -> None:
         within = np.concatenate([[0], np.cumsum(np.diff(starts) - 1 > width)])
         for run in np.split(starts, np.flatnonzero(np.diff(within)) + 1):
@@ -151,7 +190,7 @@ class Index:
                 if both * self.den >= either * self.num:
                     similarity = both / either
                     if item not in best or similarity > best[item][0]:
-                        best[item] = (similarity, start)
+                        best[item] = (similarity, start, size)
 
 
 def benchmark_hits(
@@ -191,10 +230,8 @@ def benchmark_hits(
                 names = batch.column(0).to_pylist()
                 out: list[tuple] = []
                 for name, words in zip(names, words_of(common.texts_of(batch.column(1)))):
-                    for item, (similarity, start) in own.matches(words).items():
-                        out.append(
-                            (name, own.ids[item], start, int(own.sizes[item]), similarity)
-                        )
+                    for item, (similarity, start, size) in own.matches(words).items():
+                        out.append((name, own.ids[item], start, size, similarity))
                 columns = list(zip(*out)) if out else [[]] * 5
                 kinds = [*[pa.int64()] * 4, pa.float64()]
                 yield pa.RecordBatch.from_arrays(

@@ -345,6 +345,53 @@ def test_leaks_equal_brute_force(spark):
     assert len(got) == len(want) and {1, 2, 3, 5, 8} <= {w[0] for w in want}
 
 
+def test_leaks_of_documents_shorter_than_the_item(spark):
+    rng = random.Random(14)
+    items = [(i, words(rng, n, 10**6)) for i, n in enumerate([6, 9, 12, 20, 50, 50, 59, 3])]
+    items += [(20, items[4][1]), (21, " ".join(["same"] * 40)), (22, items[4][1] + " and more")]
+    rows = []
+    for _, text in items:
+        given = text.split()
+        for cut in range(1, min(len(given), 14)):
+            rows += [" ".join(given[:-cut]), " ".join(given[cut:]), " ".join(given[cut:-1])]
+        rows.append(" ".join([*given[: len(given) // 2], "changed", *given[len(given) // 2 + 2 :]]))
+
+    def grams(found, k=5):
+        size = min(k, len(found))
+        return Counter(tuple(found[i : i + size]) for i in range(len(found) - size + 1))
+
+    want, shorter = set(), 0
+    for number, text in enumerate(rows):
+        own = text.split()
+        for item, wanted in items:
+            given = wanted.split()
+            size = min(len(own), len(given))
+            best = max(
+                (
+                    (a & b).total() / (a | b).total()
+                    for a, b in (
+                        (grams(own[at : at + size]), grams(given))
+                        for at in range(len(own) - size + 1 if own else 0)
+                    )
+                ),
+                default=0.0,
+            )
+            if best >= 0.8:
+                want.add((number, item, size, round(best, 9)))
+                shorter += len(own) < len(given)
+    frame = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.benchmark_hits(frame, bench).collect()
+    found = {(r["doc_id"], r["item_id"], r["n_words"], round(r["similarity"], 9)) for r in got}
+    assert found == want and len(got) == len(want) and shorter > 50
+    # The finding's own case: the first 45 of 50 words.
+    rest = spark.createDataFrame([(1, " ".join(items[4][1].split()[:45]))], "doc_id long, text string")
+    one = decontaminate.benchmark_hits(rest, bench.where("item_id = 4")).collect()
+    assert [(r["word"], r["n_words"], round(r["similarity"], 9)) for r in one] == [
+        (0, 45, round(41 / 46, 9))
+    ]
+
+
 def test_leaks_in_several_passes(spark, monkeypatch):
     rng = random.Random(5)
     items = [(i, words(rng, 20, 10**6)) for i in range(9)]
