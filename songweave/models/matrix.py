@@ -5,6 +5,8 @@ The matrix is a long table (uid, item_id, weight); no matrix object exists anywh
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.recommendation import ALS as ImplicitALS
 from pyspark.ml.stat import Summarizer
@@ -240,9 +242,12 @@ class BPR(FactorModel):
     """Bayesian personalised ranking: heard items should score above unheard ones.
 
     An epoch pairs every heard (uid, item) with one item drawn by hash, drops draws the user
-    has heard, and applies the summed gradients at once: joins fetch the factors, a vector sum
-    per user and per item combines map-side. Items carry a bias as a last vector entry, which
-    meets a constant 1 in the user vector.
+    has heard, and deals the draws by hash to mini-batches. A batch applies its whole summed
+    gradients: joins fetch the factors, a vector sum per user and per item combines map-side.
+    There are as many batches as it takes for no vector to be in more than about
+    ``batch_draws`` draws of one, so the number grows with the most popular item or the
+    longest history; a batch of too many draws of one vector overshoots. Items carry a bias as
+    a last vector entry, which meets a constant 1 in the user vector.
     """
 
     name = "BPR"
@@ -254,6 +259,7 @@ class BPR(FactorModel):
         regularization: float = 0.01,
         iterations: int = 20,
         random_state: int = 42,
+        batch_draws: int = 128,
         weight_mode: str = "truncated",
         last_days: int = 300,
         min_ratio: float = 50,
@@ -264,19 +270,35 @@ class BPR(FactorModel):
             regularization=regularization,
             iterations=iterations,
             random_state=random_state,
+            batch_draws=batch_draws,
             weight_mode=weight_mode,
             last_days=last_days,
             min_ratio=min_ratio,
         )
 
-    def _draws(self, heard: DataFrame, items: DataFrame, epoch: int) -> DataFrame:
-        """(uid, item_id, other): one unheard item per heard pair."""
+    def _batches(self, heard: DataFrame) -> int:
+        """Mini-batches of an epoch; an item is drawn as ``other`` as often as the mean item."""
+        per_item = heard.groupBy("item_id").agg(F.count(F.lit(1)).alias("_n"))
+        per_user = heard.groupBy("uid").agg(F.count(F.lit(1)).alias("_n"))
+        most = per_item.agg((F.max("_n") + F.avg("_n")).alias("_n")).unionByName(
+            per_user.agg(F.max("_n").cast("double").alias("_n"))
+        )
+        return max(1, math.ceil((most.agg(F.max("_n")).first()[0] or 0) / self.batch_draws))
+
+    def _draws(self, heard: DataFrame, items: DataFrame, epoch: int, batches: int) -> DataFrame:
+        """(uid, item_id, other, batch): one unheard item per heard pair."""
         n_items = items.agg(F.count(F.lit(1))).scalar()
         drawn = F.pmod(F.xxhash64(F.lit(self.random_state), F.lit(epoch), "uid", "item_id"), n_items)
         other = items.select(F.col("item_id").alias("other"), "item_index")
         pairs = heard.withColumn("item_index", drawn).join(other, "item_index").drop("item_index")
         known = heard.select("uid", F.col("item_id").alias("other"))
-        return pairs.join(known, ["uid", "other"], "left_anti").select("uid", "item_id", "other")
+        batch = F.pmod(
+            F.xxhash64(F.lit(self.random_state), F.lit(epoch), F.lit("batch"), "uid", "item_id"),
+            F.lit(batches),
+        )
+        return pairs.join(known, ["uid", "other"], "left_anti").select(
+            "uid", "item_id", "other", batch.alias("batch")
+        )
 
     def _gradients(self, draws: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
         """Per draw: the user vector, the item difference and how wrong the order is."""
@@ -288,19 +310,13 @@ class BPR(FactorModel):
         return met.withColumn("_z", 1.0 / (1.0 + F.exp(dot(F.col("_vu"), F.col("_d")))))
 
     def _step(self, factors: DataFrame, parts: DataFrame, key: str, fixed: bool) -> DataFrame:
-        """Move each vector along its summed gradient.
-
-        A vector in n draws would take n small steps one after the other. Taken at once they
-        count as at most 1 / learning_rate steps of the mean gradient, so that vectors in very
-        many draws do not overshoot.
-        """
+        """Move each vector along its summed gradient, one step for each of its draws."""
         total = vector_to_array(Summarizer.sum(array_to_vector(F.col("_g"))))
         sums = parts.groupBy(key).agg(total.alias("_g"), F.count(F.lit(1)).alias("_n"))
         rate, reg = self.learning_rate, self.regularization
-        steps = F.least(F.col("_n").cast("double"), F.lit(1.0 / rate))
 
         def moved(x: Column, g: Column) -> Column:
-            return x + rate * steps * (g / F.col("_n") - reg * x)
+            return x + rate * (g - F.col("_n") * reg * x)
 
         stepped = F.zip_with("vector", "_g", moved)
         if fixed:
@@ -309,6 +325,19 @@ class BPR(FactorModel):
         vector = F.when(F.col("_g").isNull(), F.col("vector")).otherwise(stepped)
         return factors.join(sums, key, "left").select(key, vector.alias("vector"))
 
+    def _moved(self, draws: DataFrame, users: DataFrame, items: DataFrame):
+        """(users, items) after one batch."""
+        met = cut_lineage(self._gradients(draws, users, items))
+        up = met.select("uid", _scaled(F.col("_d"), F.col("_z")).alias("_g"))
+        plus = met.select("item_id", _scaled(F.col("_vu"), F.col("_z")).alias("_g"))
+        minus = met.select(
+            F.col("other").alias("item_id"), _scaled(F.col("_vu"), -F.col("_z")).alias("_g")
+        )
+        return (
+            cut_lineage(self._step(users, up, "uid", True)),
+            cut_lineage(self._step(items, plus.unionByName(minus), "item_id", False)),
+        )
+
     def fit(self, df: DataFrame) -> BPR:
         weights = user_item_weights(df, self.weight_mode, self.last_days, self.min_ratio)
         heard = cut_lineage(weights.select("uid", "item_id"))
@@ -317,15 +346,12 @@ class BPR(FactorModel):
         users = _start_factors(heard.select("uid").distinct(), "uid", size, seed, 1.0)
         items = _start_factors(numbered.select("item_id"), "item_id", size, seed, 0.0)
         users, items = cut_lineage(users), cut_lineage(items)
+        batches = self._batches(heard)
         for epoch in range(self.iterations):
-            draws = self._draws(heard, numbered, epoch)
-            met = cut_lineage(self._gradients(draws, users, items))
-            up = met.select("uid", _scaled(F.col("_d"), F.col("_z")).alias("_g"))
-            plus = met.select("item_id", _scaled(F.col("_vu"), F.col("_z")).alias("_g"))
-            minus = met.select(
-                F.col("other").alias("item_id"), _scaled(F.col("_vu"), -F.col("_z")).alias("_g")
-            )
-            users = cut_lineage(self._step(users, up, "uid", True))
-            items = cut_lineage(self._step(items, plus.unionByName(minus), "item_id", False))
+            draws = self._draws(heard, numbered, epoch, batches)
+            if batches > 1:
+                draws = cut_lineage(draws)
+            for batch in range(batches):
+                users, items = self._moved(draws.where(F.col("batch") == batch), users, items)
         self.state = {"users": users, "items": items}
         return self

@@ -3,7 +3,7 @@ import pytest
 from conftest import rows
 
 from songweave.functions.columns import decay_per_second
-from songweave.models.matrix import ALS, BM25, BPR, id_maps, map_with_id_maps
+from songweave.models.matrix import ALS, BM25, BPR, id_map, id_maps, map_with_id_maps
 from songweave.models.overlap import ItemKNN
 from songweave.models.registry import MODELS, initialize_model
 from songweave.models.taste import (
@@ -254,6 +254,31 @@ def test_factor_models_rank_heard_items_higher(make_log, users):
         assert np.mean(right) > 0.8, model.name
 
 
+def test_bpr_applies_every_draw(spark, make_log):
+    model = BPR(factors=2, learning_rate=0.1, regularization=0.01)
+    factors = spark.createDataFrame([(1, [0.5, -1.0, 0.0])], "item_id long, vector array<double>")
+    parts = spark.range(100).selectExpr("1L item_id", "array(1.0D, id / 100D, -0.5D) _g")
+    got = model._step(factors, parts, "item_id", False).first()["vector"]
+    gradient, start = np.array([100.0, 49.5, -50.0]), np.array([0.5, -1.0, 0.0])
+    assert got == pytest.approx(start + 0.1 * (gradient - 100 * 0.01 * start))
+    # No vector is in many more draws of a batch than asked for, and no draw is lost.
+    heard = spark.range(60).selectExpr("id uid", "0L item_id").unionAll(
+        spark.range(60).selectExpr("id uid", "id + 1 item_id")
+    )
+    model = BPR(factors=2, batch_draws=10)
+    batches = model._batches(heard)
+    assert batches == 7
+    numbered = id_map(heard, "item_id", "item_index")
+    draws = model._draws(heard, numbered, 0, batches).collect()
+    whole = model._draws(heard, numbered, 0, 1).collect()
+    assert sorted(d[:3] for d in draws) == sorted(d[:3] for d in whole)
+    hot = np.bincount([d["batch"] for d in draws if d["item_id"] == 0], minlength=batches)
+    assert (hot > 0).all() and hot.max() <= 20
+    log = make_log([(u, i, 5 * u, "listen", 90.0) for u in range(6) for i in (0, u + 1)])
+    fitted = BPR(factors=2, iterations=2, batch_draws=3, weight_mode="float").fit(log)
+    assert fitted.state["items"].count() == 7 and fitted.state["users"].count() == 6
+
+
 def test_save_and_load(spark, tmp_path, log, users):
     for model in (BM25(K=3), ItemKNN()):
         model.fit(log).save(f"{tmp_path}/{model.name}")
