@@ -103,7 +103,8 @@ def op7_warc(spark: SparkSession, folder: str) -> DataFrame:
     pages = common.read_table(spark, folder, "pages")
     captures = warc.write_archives(pages, common.shared_folder(spark, "warc"))
     index = warc.write_index(captures)
-    return warc.read_records(warc.all_captures(index), payload=False).select(
+    found = warc.find_captures(index, pages.select("url").distinct())
+    return warc.read_records(found, payload=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
 

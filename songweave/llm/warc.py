@@ -272,34 +272,34 @@ def find_captures(index: DataFrame, urls: DataFrame, url: str = "url") -> DataFr
     def entries(key: tuple, wanted: pd.DataFrame, blocks: pd.DataFrame) -> pd.DataFrame:
         blocks = blocks.sort_values("block")
         first, last = blocks["first_key"].tolist(), blocks["last_key"].tolist()
+        named: dict[int, list[str]] = {}
+        for k in wanted["key"]:
+            for at in range(bisect_left(last, k), bisect_right(first, k)):
+                named.setdefault(int(blocks["block"].iloc[at]), []).append(k)
+        # Keys of a block travel together, so that its data is copied once for many of them.
         rows = [
-            (key[0], int(blocks["block"].iloc[at]), k)
-            for k in wanted["key"]
-            for at in range(bisect_left(last, k), bisect_right(first, k))
+            (key[0], block, found[at : at + BLOCK_LINES])
+            for block, found in named.items()
+            for at in range(0, len(found), BLOCK_LINES)
         ]
-        return pd.DataFrame(rows, columns=["part", "block", "key"])
+        return pd.DataFrame(rows, columns=["part", "block", "keys"])
 
     named = (
         keys.groupBy("part")
         .cogroup(directory.groupBy("part"))
-        .applyInPandas(entries, "part int, block int, key string")
+        .applyInPandas(entries, "part int, block int, keys array<string>")
     )
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        unpacked: tuple = (None, [], [])
         for batch in batches:
-            rows = []
-            for part, block, key, data in batch[["part", "block", "key", "data"]].itertuples(
-                index=False
-            ):
-                if unpacked[0] != (part, block):
-                    lines = _lines(data)
-                    unpacked = ((part, block), lines, [line[0] for line in lines])
-                lo, hi = bisect_left(unpacked[2], key), bisect_right(unpacked[2], key)
-                rows += unpacked[1][lo:hi]
-            yield pd.DataFrame(
-                rows, columns=["key", "page_id", "uri", "offset", "size", "type"]
-            ).astype({"page_id": "Int64", "offset": "int64", "size": "int64"})
+            for keys, data in batch[["keys", "data"]].itertuples(index=False):
+                lines = _lines(data)
+                held, rows = [line[0] for line in lines], []
+                for key in keys:
+                    rows += lines[bisect_left(held, key) : bisect_right(held, key)]
+                yield pd.DataFrame(
+                    rows, columns=["key", "page_id", "uri", "offset", "size", "type"]
+                ).astype({"page_id": "Int64", "offset": "int64", "size": "int64"})
 
     return named.join(index, ["part", "block"]).mapInPandas(read, CAPTURES)
 

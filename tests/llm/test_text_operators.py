@@ -611,6 +611,24 @@ def test_archives_round_trip(spark, pages, monkeypatch):
     assert sorted(r["page_id"] for r in found) == [3, 61, 70, 71, 80, 81]
 
 
+def test_every_capture_is_found_once_by_its_url(spark, pages, monkeypatch):
+    monkeypatch.setattr(warc, "BLOCK_LINES", 4)
+    index = warc.write_index(warc.write_archives(pages, common.shared_folder(spark, "warc")))
+    order = ("uri", "offset")
+    every = warc.all_captures(index).orderBy(*order).collect()
+    found = warc.find_captures(index, pages.select("url").distinct()).orderBy(*order).collect()
+    assert found == every and len(every) == pages.count()
+
+
+@has_data
+def test_warc_query_searches_the_index(spark, monkeypatch):
+    asked = []
+    find = warc.find_captures
+    monkeypatch.setattr(warc, "find_captures", lambda *args: asked.append(1) or find(*args))
+    found = queries.op7_warc(spark, DATA)
+    assert asked and found.count() == spark.read.parquet(f"{DATA}/pages.parquet").count()
+
+
 def test_archive_of_nothing(spark, pages):
     captures = warc.write_archives(pages.limit(0), common.shared_folder(spark, "warc"))
     assert warc.read_records(warc.all_captures(warc.write_index(captures))).count() == 0
