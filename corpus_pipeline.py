@@ -22,20 +22,24 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each component of the n-gram Jaccard join.
+    """The document with the smallest id of each component of the n-gram Jaccard join of texts.
 
     Documents without words link with nothing and stay, as do rows with a null id. Of rows
-    that repeat one id, one row of each text stays."""
+    that repeat one id, one row of each text stays, unless its own text's component has a
+    smaller id."""
     groups = common.store(
-        jaccard.jaccard_components(docs, SHINGLE, NUM, DEN).select("doc_id", "component_id")
+        jaccard.jaccard_components(docs, SHINGLE, NUM, DEN, by_text=True).select(
+            "doc_id", "component_id", F.col("mark").alias("_mark")
+        )
     )
     dropped = common.store(
-        groups.where("doc_id <> component_id").select("doc_id").distinct()
+        groups.where("doc_id <> component_id").select("doc_id", "_mark").distinct()
     )
     repeated = common.store(
         groups.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
     )
-    kept = docs.join(dropped, "doc_id", "left_anti")
+    marked = docs.withColumn("_mark", F.xxhash64("text"))
+    kept = marked.join(dropped, ["doc_id", "_mark"], "left_anti")
     single = kept.join(repeated, "doc_id", "left_anti")
     several = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     return single.unionByName(several).select(*docs.columns)

@@ -458,9 +458,13 @@ def jaccard_components(
     den: int,
     id_: str = "doc_id",
     text: str = "text",
+    by_text: bool = False,
 ) -> DataFrame:
     """(id, n_shingles, component_id) of every row: links are pairs whose intersection * den
     is at least their union * num, and a component is named by its smallest id.
+
+    Texts that share an id are in one component; not so ``by_text``, where a row has the
+    component of its own text, and ``mark``, the text's xxhash64, tells rows of an id apart.
     """
     plain = docs.select(
         F.col(id_).cast("long").alias("id"),
@@ -547,6 +551,10 @@ def jaccard_components(
     labelled = classes.select("digest", F.col("class").alias("id")).join(groups, "id", "left")
     labelled = labelled.select("digest", F.coalesce("component", "id").alias("component"))
     rows_in = named.join(labelled, "digest")
+    if by_text:
+        names = rows_in.groupBy("component").agg(F.min("id").alias("component_id"))
+        by_digest = labelled.join(names, "component")
+        return _with_components(rows, by_digest, id_, "mark")
     several = rows_in.groupBy("id").agg(
         F.min("component").alias("lo"), F.max("component").alias("hi")
     )
@@ -558,12 +566,18 @@ def jaccard_components(
     ).select("id", "digest", F.coalesce("bridge", "component").alias("component"))
     names = bridged.groupBy("component").agg(F.min("id").alias("component_id"))
     by_digest = bridged.select("digest", "component").distinct().join(names, "component")
+    return _with_components(rows, by_digest, id_)
+
+
+def _with_components(rows: DataFrame, by_digest: DataFrame, id_: str, *more: str) -> DataFrame:
+    """The operator's columns, and ``more`` of the described rows, for every row."""
     return rows.join(by_digest.select("digest", "component_id"), "digest", "left").select(
         F.col("id").alias(id_),
         F.col("n").alias("n_shingles"),
         F.when(F.col("id").isNull() | (F.col("n") == 0), F.col("id"))
         .otherwise(F.col("component_id"))
         .alias("component_id"),
+        *more,
     )
 
 

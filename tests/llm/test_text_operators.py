@@ -650,6 +650,19 @@ def test_query_equals_sql(spark, name):
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
+def test_texts_of_a_repeated_id_are_kept_by_their_own_component(spark):
+    import corpus_pipeline as pipeline
+
+    rng = random.Random(15)
+    a, b, c = (words(rng, 40, 10**6) for _ in range(3))
+    rows = [(5, a), (9, a), (9, b), (9, b), (12, b), (12, c), (13, None), (None, a)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = pipeline.keep_one_of_each_group(spark, frame, DATA)
+    assert kept.columns == ["doc_id", "text"]
+    got = [tuple(r) for r in kept.collect()]
+    assert sorted(got, key=str) == sorted([(5, a), (9, b), (12, c), (13, None), (None, a)], key=str)
+
+
 @has_data
 def test_pipeline_stages(spark, docs, no_docs):
     import corpus_pipeline as pipeline
