@@ -15,6 +15,8 @@ from songweave.llm import (
     counts,
     decontaminate,
     jaccard,
+    merkle,
+    oracles,
     packing,
     quality,
     shardtable,
@@ -159,6 +161,38 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's leaf, proof and the root it folds to, a third of them tampered with."""
+    docs = common.read_table(spark, folder, "documents")
+    fields = ["doc_id", "source", "lang", "n_chars"]
+    lowered = F.when(
+        F.crc32(F.col("doc_id").cast("string")) % 3 == 0,
+        merkle.leaf_digest(*fields, merkle.ascii_lower(F.col("text"))),
+    )
+    manifest = merkle.build(
+        docs,
+        merkle.leaf_digest(*fields, "text"),
+        tree="lang",
+        order=["doc_id"],
+        doc_id=F.col("doc_id"),
+        tampered=lowered,
+    )
+    root = F.lit(manifest.root)
+    found = merkle.proofs(manifest).withColumn(
+        "folded_root", merkle.folded(F.coalesce("tampered", "leaf"), F.col("proof"))
+    )
+    return found.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        root.alias("root"),
+        F.sha2(merkle.siblings(F.col("proof")), 256).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == root).alias("verified"),
+    )
+
+
 # The table's fill takes turns, which SQL can't state shortly, so its text is put in; placing
 # documents by it is plain SQL.
 ORACLES: dict[str, str] = {
@@ -175,6 +209,7 @@ ORACLES: dict[str, str] = {
         select doc_id, keyed.slot, 'shard-' || lpad(number, 2, '0') as shard
         from keyed join slots using (slot)
     """,
+    "op11_merkle_manifest": oracles.merkle(),
     "op7_warc": f"""
         with records as (
             select page_id, strlen(coalesce(html, '')) as payload_bytes,
