@@ -21,6 +21,7 @@ from songweave.llm import (
     quality,
     shardtable,
     warc,
+    whiten,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -193,6 +194,13 @@ def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """All vectors on the sixteen leading components, scaled to unit variance."""
+    vectors = common.read_table(spark, folder, "embeddings")
+    return whiten.whitened(vectors, whiten.fit(vectors, components=16))
+
+
 # The table's fill takes turns, which SQL can't state shortly, so its text is put in; placing
 # documents by it is plain SQL.
 ORACLES: dict[str, str] = {
