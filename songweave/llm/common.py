@@ -6,6 +6,7 @@ import json
 import os
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -315,6 +316,19 @@ def store(df: DataFrame, compression: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Within it, Python gets at most ``rows`` rows of a stored step at once: for rows that are
+    large themselves. The session's setting comes back after it."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def texts_of(column: pa.Array) -> list[str]:
     """The strings of a column; null counts as empty."""
     return [t or "" for t in column.to_pylist()]

@@ -18,6 +18,7 @@ from songweave.llm import (
     merkle,
     oracles,
     packing,
+    pivots,
     quality,
     shardtable,
     warc,
@@ -201,6 +202,13 @@ def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whiten.whitened(vectors, whiten.fit(vectors, components=16))
 
 
+@query
+def op13_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """Five largest integer inner products of every fiftieth vector with all others."""
+    index = pivots.build_index(common.read_table(spark, folder, "embeddings"))
+    return pivots.search(index, F.col("id") % 50 == 0, k=5)
+
+
 # The table's fill takes turns, which SQL can't state shortly, so its text is put in; placing
 # documents by it is plain SQL.
 ORACLES: dict[str, str] = {
@@ -218,6 +226,23 @@ ORACLES: dict[str, str] = {
         from keyed join slots using (slot)
     """,
     "op11_merkle_manifest": oracles.merkle(),
+    "op13_exact_topk": """
+        with rows as (
+            select vec_id, list_transform(embedding,
+                       lambda c: cast(floor(256 * cast(c as double)) as bigint)) as x
+            from embeddings
+            where embedding is not null
+              and len(list_filter(embedding, lambda c: c is null or not isfinite(c))) = 0
+        ), scored as (
+            select q.vec_id as query_id, c.vec_id,
+                   list_sum(list_transform(list_zip(q.x, c.x), lambda p: p[1] * p[2]))::bigint as score
+            from rows q join rows c on q.vec_id % 50 = 0 and c.vec_id <> q.vec_id
+        ), ranked as (
+            select *, row_number() over (partition by query_id order by score desc, vec_id) as rank
+            from scored
+        )
+        select query_id, rank::int as rank, vec_id, score from ranked where rank <= 5
+    """,
     "op7_warc": f"""
         with records as (
             select page_id, strlen(coalesce(html, '')) as payload_bytes,
