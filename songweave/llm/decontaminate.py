@@ -1,7 +1,7 @@
 """Benchmark decontamination: SimHash of item-sized windows, Hamming blocks, exact check.
 
-A window is as many words of a document as an item has, or all words of a shorter one. Its fingerprint is a 64-bit SimHash of
-its shingles, each weighted by how often it occurs. Items are indexed under four 16-bit blocks
+A window is as many words of a document as an item has, or all words of a shorter one. Its
+fingerprint is a 64-bit SimHash of its shingles, each weighted by how often it occurs. Items are indexed under four 16-bit blocks
 of their fingerprints: two fingerprints within ``RADIUS`` bits differ by at most a quarter of
 that in one of the blocks, so an index that lists, for every block value, the items within that
 many bits finds all of them. What is found is verified by the weighted Jaccard similarity of
@@ -15,7 +15,8 @@ Windows are only fingerprinted where they can reach the threshold at all: two si
 shingles each have to share at least 2 * s * num / (num + den), so a window has to hold that
 many shingles that some item has. This loses nothing.
 
-Words are runs of letters and digits in lower case, whatever the signs between them.
+Words are runs of letters, their marks and digits in lower case, whatever the signs between
+them: quotes, dashes and other signs of any alphabet part words as those of ASCII do.
 
 Edge cases: an item or a document that is null, empty or without words matches nothing; items
 of fewer than ``k`` words are one shingle of all their words; equal items are all reported; rows
@@ -25,9 +26,11 @@ empty table on either side gives no rows. Columns beside id and text are not loo
 
 from __future__ import annotations
 
+import unicodedata
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -46,8 +49,23 @@ ITEMS = 4096
 HITS = "doc_id long, item_id long, word long, n_words long, similarity double"
 
 
+@cache
+def is_sign(character: str) -> bool:
+    """Whether a character beyond ASCII is no letter, digit or mark of a letter."""
+    return not character.isalnum() and unicodedata.category(character)[0] != "M"
+
+
+def without_signs(text: str) -> str:
+    """The text with a space for each sign beyond ASCII."""
+    if not text.isascii():
+        for character in set(text):
+            if character > "\x7f" and is_sign(character):
+                text = text.replace(character, " ")
+    return text
+
+
 def words_of(texts: list[str]) -> list[np.ndarray]:
-    return common.hash_words([t.lower().encode() for t in texts], common.WORDISH)
+    return common.hash_words([without_signs(t.lower()).encode() for t in texts], common.WORDISH)
 
 
 def bit_signs(shingles: np.ndarray) -> np.ndarray:
