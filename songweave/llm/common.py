@@ -10,6 +10,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,36 +45,40 @@ def mix(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(32))
 
 
-class RunHashes:
-    """Hashes of many byte runs of one buffer from prefix sums of byte * base ** position.
+# A run's bytes are read as little-endian integers of eight bytes, the last one cut off.
+CUT = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+# Runs longer than this are hashed one by one.
+LONG_RUN = 256
+
+
+def padded(raw: bytes) -> np.ndarray:
+    """The bytes and eight more, so that eight bytes can be read at any place."""
+    return np.frombuffer(raw + bytes(8), np.uint8)
 
-    Arithmetic is modulo 2 ** 64, where an odd base has an inverse, so a run's hash doesn't
-    depend on its place. The length goes into the final scrambling.
-    """
 
-    def __init__(self, base: int):
-        self.base = np.uint64(base)
-        self.inverse = np.uint64(pow(base, -1, 1 << 64))
-        self.powers = self.inverses = np.ones(1, np.uint64)
+def eights(buffer: np.ndarray) -> np.ndarray:
+    """The integer of the eight bytes at each place of a padded buffer, without a copy."""
+    return np.ndarray((len(buffer) - 7,), "<u8", buffer=buffer, strides=(1,))
 
-    def _grow(self, size: int) -> None:
-        if len(self.powers) < size:
-            room = 1 << (size - 1).bit_length()
-            steps = np.full(room, self.base, np.uint64)
-            back = np.full(room, self.inverse, np.uint64)
-            steps[0] = back[0] = 1
-            self.powers, self.inverses = np.cumprod(steps), np.cumprod(back)
 
-    def __call__(self, buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        self._grow(len(buffer) + 1)
-        sums = np.zeros(len(buffer) + 1, np.uint64)
-        np.cumsum((buffer + np.uint64(1)) * self.powers[: len(buffer)], out=sums[1:])
-        found = (sums[ends] - sums[starts]) * self.inverses[starts]
-        return mix(found + (ends - starts).astype(np.uint64))
+def run_hashes(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of runs of a padded buffer.
 
+    A run's length and its groups of eight bytes are scrambled in, one after the other. Runs of
+    one length of up to eight bytes never share a hash.
+    """
+    at, sizes = eights(buffer), ends - starts
+    found = mix(mix(sizes.astype(np.uint64)) ^ (at[starts] & CUT[np.minimum(sizes, 8)]))
+    rest, done = np.flatnonzero((sizes > 8) & (sizes <= LONG_RUN)), 8
+    while len(rest):
+        left = np.minimum(sizes[rest] - done, 8)
+        found[rest] = mix(found[rest] ^ (at[starts[rest] + done] & CUT[left]))
+        done += 8
+        rest = rest[sizes[rest] > done]
+    for i in np.flatnonzero(sizes > LONG_RUN).tolist():
+        found[i] = xxhash.xxh3_64_intdigest(buffer[starts[i] : ends[i]].tobytes())
+    return found
 
-HASH = RunHashes(0x9E3779B97F4A7C15)
-SECOND = RunHashes(0xC2B2AE3D27D4EB4F)
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
@@ -90,13 +95,13 @@ def hash_words(texts: list[bytes], inside: np.ndarray = NOT_SPACE) -> list[np.nd
 
     A to Z count as lower case.
     """
-    buffer = LOWER[np.frombuffer(b" ".join(texts) + b" ", np.uint8)]
+    buffer = LOWER[padded(b" ".join(texts) + b" ")]
     cuts = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
-    member = np.zeros(len(buffer) + 1, np.bool_)
-    member[1:] = inside[buffer]
+    member = np.zeros(len(buffer) - 7, np.bool_)
+    member[1:] = inside[buffer[:-8]]
     edges = np.flatnonzero(member[1:] != member[:-1])
     starts, ends = edges[0::2], edges[1::2]
-    return np.split(HASH(buffer, starts, ends), np.searchsorted(starts, cuts[:-1]))
+    return np.split(run_hashes(buffer, starts, ends), np.searchsorted(starts, cuts[:-1]))
 
 
 def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:
@@ -128,8 +133,8 @@ STOPS = np.isin(np.arange(256), [ord("."), ord(",")])
 class Encoder:
     """Token ids of whole texts by a tokenizer file of the ``tokenizers`` library.
 
-    Each distinct run of a text is encoded once by the library and remembered under two
-    independent 64-bit hashes; texts are put together from their runs. Runs begin at white
+    Each distinct run of a text is encoded once by the library and remembered by its bytes, which
+    are compared whole; texts are put together from their runs. Runs begin at white
     space that follows something else and at a full stop or comma that follows an ASCII
     letter or digit: a byte-level pre-tokenizer that splits by its pattern cuts there
     whatever stands around, so the result equals the library's on the whole text. Other
@@ -157,9 +162,11 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.keys = np.zeros(1 << TABLE_BITS, np.uint64)
-        self.seconds = np.zeros(1 << TABLE_BITS, np.uint64)
-        self.values = np.zeros(1 << TABLE_BITS, np.int32)
+        # By slot: the first 16 bytes of a run, and its number and length, 0 where free.
+        self.low = np.zeros(1 << TABLE_BITS, np.uint64)
+        self.high = np.zeros(1 << TABLE_BITS, np.uint64)
+        self.places = np.zeros(1 << TABLE_BITS, np.int32)
+        self.longer: dict[bytes, int] = {}
         self.ids = np.empty(0, np.int32)
         self.starts = np.empty(0, np.int64)
         self.counts = np.empty(0, np.int64)
@@ -172,34 +179,73 @@ class Encoder:
         odd = ODD[:4] if text.isascii() else ODD
         return any(c in text for c in odd) or any(s in text for s in self.special)
 
-    def _slots(self, first: np.ndarray) -> np.ndarray:
-        return (first >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
-
-    def _find(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-        """Numbers of known runs, -1 for others."""
-        out = np.full(len(first), -1, np.int64)
-        slots, left = self._slots(first), np.arange(len(first))
+    def _keys(self, buffer: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple:
+        """(low, high, slot) of runs of at most 16 bytes: with their size, all that they are."""
+        at = eights(buffer)
+        low = at[starts] & CUT[np.minimum(sizes, 8)]
+        high = at[np.minimum(starts + 8, len(at) - 1)] & CUT[np.clip(sizes - 8, 0, 8)]
+        mixed = mix(low ^ mix(high + sizes.astype(np.uint64)))
+        return low, high, (mixed >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+
+    def _find(self, low, high, slots, sizes) -> np.ndarray:
+        """Numbers of known runs of at most 16 bytes, -1 for others."""
+        out, left = np.full(len(low), -1, np.int64), np.arange(len(low))
         while len(left):
-            keys = self.keys[slots]
-            hit = (keys == first[left]) & (self.seconds[slots] == second[left])
-            out[left[hit]] = self.values[slots[hit]]
-            on = ~hit & (keys != 0)
+            places = self.places[slots]
+            hit = (self.low[slots] == low[left]) & (self.high[slots] == high[left])
+            hit &= places & 31 == sizes[left]
+            out[left[hit]] = places[hit] >> 5
+            on = ~hit & (places != 0)
             left, slots = left[on], (slots[on] + 1) & ((1 << TABLE_BITS) - 1)
         return out
 
-    def _remember(self, first: np.ndarray, second: np.ndarray, numbers: np.ndarray) -> None:
-        slots, left = self._slots(first), np.arange(len(first))
+    def _remember(self, low, high, slots, sizes, numbers: np.ndarray) -> None:
+        left = np.arange(len(low))
         while len(left):
-            free = self.keys[slots] == 0
+            free = self.places[slots] == 0
             _, one = np.unique(slots[free], return_index=True)
             take = np.flatnonzero(free)[one]
-            self.keys[slots[take]] = first[left[take]]
-            self.seconds[slots[take]] = second[left[take]]
-            self.values[slots[take]] = numbers[left[take]]
+            self.low[slots[take]], self.high[slots[take]] = low[left[take]], high[left[take]]
+            self.places[slots[take]] = numbers[left[take]] << 5 | sizes[left[take]]
             on = np.ones(len(left), np.bool_)
             on[take] = False
             left, slots = left[on], (slots[on] + 1) & ((1 << TABLE_BITS) - 1)
 
+    def _numbers(self, joined: bytes, buffer: np.ndarray, starts, ends) -> np.ndarray:
+        """The number of each run; new ones are encoded."""
+        sizes = ends - starts
+        short, long = np.flatnonzero(sizes <= 16), np.flatnonzero(sizes > 16)
+        keys = (*self._keys(buffer, starts[short], sizes[short]), sizes[short])
+        numbers = np.full(len(starts), -1, np.int64)
+        numbers[short] = self._find(*keys)
+        runs = [joined[s:e] for s, e in zip(starts[long].tolist(), ends[long].tolist())]
+        numbers[long] = [self.longer.get(r, -1) for r in runs]
+        new = np.flatnonzero(numbers[short] < 0)
+        low, high, _, size = (k[new] for k in keys)
+        order = np.lexsort([low, high, size])
+        same = (np.diff(low[order]) == 0) & (np.diff(high[order]) == 0) & (np.diff(size[order]) == 0)
+        one = new[order[np.append(np.ones(min(len(order), 1), np.bool_), ~same)]]
+        fresh = list(dict.fromkeys(r for r, n in zip(runs, numbers[long].tolist()) if n < 0))
+        if not len(one) and not fresh:
+            return numbers
+        known = len(self.starts)
+        if known and known + len(one) + len(fresh) > CACHE_ENTRIES:
+            self._forget()
+            return self._numbers(joined, buffer, starts, ends)
+        first, last = starts[short][one].tolist(), ends[short][one].tolist()
+        ids = self._library([joined[s:e].decode() for s, e in zip(first, last)])
+        ids += self._library([r.decode() for r in fresh])
+        counts = np.fromiter(map(len, ids), np.int64, len(ids))
+        last = len(self.ids) + np.cumsum(counts)
+        self._remember(*[k[one] for k in keys], known + np.arange(len(one)))
+        self.longer.update(zip(fresh, range(known + len(one), known + len(ids))))
+        self.ids = np.concatenate([self.ids, *ids])
+        self.starts = np.concatenate([self.starts, last - counts])
+        self.counts = np.concatenate([self.counts, counts])
+        numbers[short[new]] = self._find(*[k[new] for k in keys])
+        numbers[long] = [self.longer[r] for r in runs]
+        return numbers
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids (int32) of each text."""
         out: list = [None] * len(texts)
@@ -216,41 +262,20 @@ class Encoder:
             for i in by_run:
                 out[i] = np.empty(0, np.int32)
             return out
-        buffer = np.frombuffer(joined, np.uint8)
-        space = SPACE[buffer]
-        cut = np.zeros(len(buffer), np.bool_)
-        cut[1:] = (space[1:] & ~space[:-1]) | (STOPS[buffer[1:]] & ALNUM[buffer[:-1]])
+        buffer = padded(joined)
+        text = buffer[:-8]
+        space = SPACE[text]
+        cut = np.zeros(len(text), np.bool_)
+        cut[1:] = (space[1:] & ~space[:-1]) | (STOPS[text[1:]] & ALNUM[text[:-1]])
         begins = np.cumsum(sizes) - sizes
         cut[begins[sizes > 0]] = True
         starts = np.flatnonzero(cut)
-        ends = np.append(starts[1:], len(buffer))
-        first, second = HASH(buffer, starts, ends), SECOND(buffer, starts, ends)
-        first |= np.uint64(1)  # 0 marks a free slot
-        known = self._find(first, second)
-        new = np.flatnonzero(known < 0)
-        if len(new):
-            _, one = np.unique(first[new], return_index=True)
-            one = new[one]
-            if len(self.starts) + len(one) > CACHE_ENTRIES:
-                self._forget()
-                known = np.full(len(first), -1, np.int64)
-                _, one = np.unique(first, return_index=True)
-            ids = self._library(
-                [joined[s:e].decode() for s, e in zip(starts[one].tolist(), ends[one].tolist())]
-            )
-            counts = np.fromiter(map(len, ids), np.int64, len(ids))
-            last = len(self.ids) + np.cumsum(counts)
-            self._remember(first[one], second[one], len(self.starts) + np.arange(len(one)))
-            self.ids = np.concatenate([self.ids, *ids])
-            self.starts = np.concatenate([self.starts, last - counts])
-            self.counts = np.concatenate([self.counts, counts])
-            rest = np.flatnonzero(known < 0)
-            known[rest] = self._find(first[rest], second[rest])
+        known = self._numbers(joined, buffer, starts, np.append(starts[1:], len(text)))
         counts = self.counts[known]
         last = np.cumsum(counts)
         place = np.repeat(self.starts[known] - (last - counts), counts) + np.arange(last[-1])
         ids = self.ids[place]
-        runs_before = np.searchsorted(starts, np.append(begins, len(buffer)))
+        runs_before = np.searchsorted(starts, np.append(begins, len(text)))
         tokens_before = np.append(0, last)[runs_before]
         for j, i in enumerate(by_run):
             out[i] = ids[tokens_before[j] : tokens_before[j + 1]]

@@ -60,12 +60,12 @@ class Model:
 def text_features(texts: list[bytes], bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashed features of all texts in a row, and how many belong to each text."""
     # A space after each text ends its last word and keeps pairs within the text.
-    buffer = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
+    buffer = common.padded(b" ".join(texts) + b" ")
     sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
-    kind = CLASSES[buffer]
+    kind = CLASSES[buffer[:-8]]
     starts = np.flatnonzero(np.diff(kind, prepend=np.int8(0)) * kind)
     ends = np.flatnonzero(np.diff(kind, append=np.int8(0)) * kind) + 1
-    words = common.HASH(buffer, starts, ends)
+    words = common.run_hashes(buffer, starts, ends)
     owner = np.searchsorted(np.cumsum(sizes), starts, side="right")
     pairs = common.mix(words[:-1] + np.uint64(7)) + words[1:]
     pairs[words[:-1] == words[1:]] = REPEATED
