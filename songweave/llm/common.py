@@ -5,14 +5,16 @@ from __future__ import annotations
 import json
 import os
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
 from songweave.session import apply_settings, ensure_checkpoint_dir
 
@@ -334,13 +336,56 @@ def open_file(uri: str) -> pa.NativeFile:
     return store.open_input_file(path)
 
 
-def store(df: DataFrame, compression: str = "zstd") -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back (a lineage cut that is small)."""
+# The tables stored within each open scope, the innermost last.
+_SCOPES: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
+
+
+@contextmanager
+def scope() -> Iterator[None]:
+    """Tables stored within it are deleted when it ends, but for those stored ``outer``."""
+    own: list[str] = []
+    before = _SCOPES.set((*_SCOPES.get(), own))
+    try:
+        yield
+    finally:
+        _SCOPES.reset(before)
+        for uri in own:
+            files, path = filesystem(uri)
+            files.delete_dir(path)
+
+
+def store(df: DataFrame, compression: str = "zstd", outer: bool = False) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back (a lineage cut that is small).
+
+    The table lives as long as the scope it is stored in; ``outer``, as the one around that.
+    """
     path = shared_folder(df.sparkSession, "table")
     df.write.option("compression", compression).parquet(path)
+    scopes = _SCOPES.get()[:-1] if outer else _SCOPES.get()
+    if scopes:
+        scopes[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Tasks' results that one task puts together.
+FAN = 8
+
+
+def merged_parts(states: DataFrame, together: Callable, schema: str) -> Row | None:
+    """The only row left after merging states in groups of ``FAN`` parts, round by round.
+
+    A state has its task's number as ``part``; ``together`` makes one, of part // ``FAN``, of a
+    pandas frame of those of a group. None without any.
+    """
+    states = store(states)
+    most = states.agg(F.max("part")).first()[0]
+    while most is not None and most > 0:
+        group = F.floor(F.col("part") / FAN).alias("group")
+        states = store(states.groupBy(group).applyInPandas(together, schema))
+        most //= FAN
+    return states.first()
+
+
 @contextmanager
 def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
     """Within it, Python gets at most ``rows`` rows of a stored step at once: for rows that are

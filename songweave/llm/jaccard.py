@@ -6,19 +6,24 @@ overlap enough, as components.
    Documents with equal sets are one class from then on, so copies cost nothing further.
 2. Leaves: two sets that are similar enough share a shingle among the first few of each in any
    one order of all shingles (as many as the sets may differ in, plus one). Shingles come in the
-   order of how often a bounded sample finds them; the sample changes only the cost. A shingle's
+   order of how many documents have them, as a table of ``2 ** SKETCH_BITS`` counters over all
+   documents says, whose size doesn't depend on the data; it changes only the cost. A shingle's
    classes are a leaf, and of leaves with the same classes one is kept.
-3. Within a leaf an R-tree over count vectors of ``GROUPS`` groups finds the pairs whose summed
+3. Large leaves are first linked to two pivots, then what lies outside a leaf's main component
+   to random members of it, until that finds no link; what one component holds needs no further
+   check.
+4. Within a leaf an R-tree over count vectors of ``GROUPS`` groups finds the pairs whose summed
    coordinate minima, which bound the overlap from above, reach what their sizes demand; at its
-   points the vectors' finer groups decide. Large leaves are first linked to two pivots, and
-   then what lies outside a leaf's main component to random members of it; what one component
-   holds needs no further check.
-4. Surviving pairs are bounded once more by all groups of their vectors, which tells very long
-   texts apart too, and what is left is verified on the shingle sets. Texts travel to their
-   pairs compressed, a fraction of their sets' size.
+   points the vectors' finer groups decide. A pair counts in the first leaf that both are in.
+   Nothing but the classes that are in such a pair leaves the task, never the pairs.
+5. Those classes meet in their leaf once more, with their texts, compressed: all overlaps of the
+   leaf's sets are counted and compared, and a task emits no more links than join its components.
+
+A large leaf is cut into blocks that meet in pairs, each in one task; members of its main
+component don't meet each other, only what is outside.
 
 Sets are compared by 64-bit hashes of their shingles. A threshold is a ratio of integers and
-is compared exactly.
+is compared exactly. Tables stored on the way are deleted at the end.
 
 Edge cases: texts that are null, empty or without words have an empty set and link with
 nothing; fewer words than ``k`` make one shingle of the whole sequence; repeated rows of one
@@ -36,7 +41,8 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from songweave.llm import common
@@ -45,21 +51,23 @@ from songweave.llm.components import components
 
 GROUP_BITS = 6
 GROUPS = 1 << GROUP_BITS
-# log2 of the most groups of the vectors that go to the leaves, so their size is bounded.
+# log2 of the most groups of a vector, so its size is bounded.
 LEAF_BITS = 9
-# Documents that are looked through for frequent shingles, and how often makes frequent.
-SAMPLE_DOCS = 16_000
-SAMPLE_OFTEN = 4
-# Leaves above this size are linked to pivots first; a task's block of a leaf.
+# log2 of the counters that order shingles by how common they are.
+SKETCH_BITS = 22
+# Leaves above this size are linked to pivots first.
 LEAF = 64
+# A task's block of a leaf: the classes, and the shingles of all their sets.
 BLOCK = 1024
+BLOCK_SHINGLES = 1 << 22
 FANOUT = 16
 # Members of a main component that outsiders meet in a round, and the most rounds. Both change
 # only the cost: the trees find every link that the rounds leave.
 PIVOTS = 4
-ROUNDS = 1
-# Pairs whose texts are unpacked at once.
+ROUNDS = 4
+# Pairs whose texts are unpacked at once, and texts that a task of leaves is handed at once.
 VERIFY_ROWS = 32
+TEXT_ROWS = 1000
 
 
 def text_sets(texts: list[bytes], k: int) -> list[np.ndarray]:
@@ -75,9 +83,9 @@ def leaf_count(n: int, num: int, den: int) -> int:
 
 
 def fine_bits(n: np.ndarray) -> np.ndarray:
-    """log2 of the groups of sets' whole count vectors: the bits of (n - 1) // 8."""
+    """log2 of the groups of sets' count vectors: the bits of (n - 1) // 8, within bounds."""
     bits = np.frexp(np.maximum(np.asarray(n) - 1, 0) // 8)[1]
-    return np.maximum(bits, GROUP_BITS).astype(np.int64)
+    return np.clip(bits, GROUP_BITS, LEAF_BITS).astype(np.int64)
 
 
 def packed_counts(found: np.ndarray, bits: int) -> bytes:
@@ -116,44 +124,31 @@ def may_link(vectors: list[bytes], bits: np.ndarray, n: np.ndarray, i, j, num: i
     return keep
 
 
-def frequent(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes of shingles that are frequent in a sample, and the bits of their counts.
-
-    At most ``SAMPLE_DOCS`` rows are expected in the sample, so the list is bounded whatever
-    the table's size.
-    """
-    rows = docs.count()
-    if not rows:
-        return np.empty(0, np.uint64), np.empty(0, np.uint8)
+def levels_of(docs: DataFrame, k: int) -> np.ndarray:
+    """How common the shingles of each counter are, over all documents: about 4 * log2 of their
+    number, in a byte. Tasks count for themselves, and their tables are added up in groups."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << SKETCH_BITS, np.int64)
         for batch in common.slices(batches):
-            sets = text_sets(common.bytes_of(batch.column("text")), k)
-            found, counts = np.unique(np.concatenate(sets), return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(found.view(np.int64)), pa.array(counts)], ["shingle", "rows"]
-            )
-
-    sampled = docs.select("text").sample(min(1.0, SAMPLE_DOCS / rows), seed=5)
-    often = (
-        sampled.mapInArrow(run, "shingle long, rows long")
-        .groupBy("shingle")
-        .agg(F.sum("rows").alias("rows"))
-        .where(F.col("rows") >= SAMPLE_OFTEN)
-        .toArrow()
-    )
-    found = often.column("shingle").to_numpy().view(np.uint64)
-    levels = np.frexp(often.column("rows").to_numpy())[1].astype(np.uint8)
-    order = np.argsort(found)
-    return found[order], levels[order]
+            for found in text_sets(common.bytes_of(batch.column("text")), k):
+                np.add.at(counts, (found >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
+        packed = zstandard.compress(counts.astype("<i8").tobytes(), 1)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([TaskContext.get().partitionId()]), pa.array([packed])], ["part", "counts"]
+        )
 
+    def added(pdf: pd.DataFrame) -> pd.DataFrame:
+        counts = sum(np.frombuffer(zstandard.decompress(c), "<i8") for c in pdf["counts"])
+        part = int(pdf["part"].iloc[0]) // common.FAN
+        return pd.DataFrame({"part": [part], "counts": [zstandard.compress(counts.tobytes(), 1)]})
 
-def levels_of(values: np.ndarray, table: np.ndarray, levels: np.ndarray) -> np.ndarray:
-    """The levels of values that the sorted table holds, 0 for others."""
-    if not len(table):
-        return np.zeros(len(values), np.uint8)
-    at = np.minimum(np.searchsorted(table, values), len(table) - 1)
-    return np.where(table[at] == values, levels[at], np.uint8(0))
+    schema = "part long, counts binary"
+    one = common.merged_parts(docs.select("text").mapInArrow(run, schema), added, schema)
+    if one is None:
+        return np.zeros(1 << SKETCH_BITS, np.uint8)
+    counts = np.frombuffer(zstandard.decompress(one["counts"]), "<i8")
+    return np.minimum(4 * np.log2(counts + 1.0), 255).astype(np.uint8)
 
 
 def in_sorted(values: np.ndarray, table: np.ndarray) -> np.ndarray:
@@ -163,22 +158,20 @@ def in_sorted(values: np.ndarray, table: np.ndarray) -> np.ndarray:
     return table[at] == values
 
 
-def described(docs: DataFrame, k: int, num: int, den: int, often: tuple) -> DataFrame:
-    """(id, mark, n, digest, vector, fine, first): ``first`` are the shingles of the set's
-    leaves; ``fine`` is the whole count vector where ``vector`` has fewer groups, else null."""
-    shared = docs.sparkSession.sparkContext.broadcast(often)
+def described(docs: DataFrame, k: int, num: int, den: int, levels: np.ndarray) -> DataFrame:
+    """(id, mark, n, digest, vector, first): ``first`` are the shingles of the set's leaves."""
+    shared = docs.sparkSession.sparkContext.broadcast(levels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches):
-            sizes, digests, vectors, fine, firsts = [], [], [], [], []
+            sizes, digests, vectors, firsts = [], [], [], []
             for found in text_sets(common.bytes_of(batch.column("text")), k):
-                order = found[np.argsort(levels_of(found, *shared.value), kind="stable")]
+                level = shared.value[(found >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
+                order = found[np.argsort(level, kind="stable")]
                 keep = leaf_count(len(found), num, den)
-                bits = int(fine_bits(len(found)))
                 sizes.append(len(found))
                 digests.append(xxhash.xxh3_128_digest(found.tobytes()))
-                vectors.append(packed_counts(found, min(bits, LEAF_BITS)))
-                fine.append(packed_counts(found, bits) if bits > LEAF_BITS else None)
+                vectors.append(packed_counts(found, int(fine_bits(len(found)))))
                 firsts.append(order[:keep].view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -187,15 +180,13 @@ def described(docs: DataFrame, k: int, num: int, den: int, often: tuple) -> Data
                     pa.array(sizes, pa.int64()),
                     pa.array(digests, pa.binary()),
                     pa.array(vectors, pa.binary()),
-                    pa.array(fine, pa.binary()),
                     pa.array(firsts, pa.list_(pa.int64())),
                 ],
-                ["id", "mark", "n", "digest", "vector", "fine", "first"],
+                ["id", "mark", "n", "digest", "vector", "first"],
             )
 
     return docs.mapInArrow(
-        run,
-        "id long, mark long, n long, digest binary, vector binary, fine binary, first array<long>",
+        run, "id long, mark long, n long, digest binary, vector binary, first array<long>"
     )
 
 
@@ -275,80 +266,186 @@ def tree_pairs(left: tuple, right: tuple, num: int, den: int) -> tuple[np.ndarra
     return i, j
 
 
-def _leaf_pairs(num: int, den: int):
-    def leaf_bits(sizes: np.ndarray) -> np.ndarray:
-        return np.minimum(fine_bits(sizes), LEAF_BITS)
+def first_meetings(earlier: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Which pairs of rows have none of their earlier leaves in common."""
+    keep = np.ones(len(i), np.bool_)
+    sizes = np.fromiter(map(len, earlier), np.int64, len(earlier))
+    if not len(i) or not sizes.any():
+        return keep
+    _, code = np.unique(np.concatenate(earlier), return_inverse=True)
+    most = int(code.max()) + 1
+    owner = np.repeat(np.arange(len(earlier)), sizes)
+    have = np.sort(owner * most + code)
+    starts = np.cumsum(sizes) - sizes
+    for at in range(0, len(i), 1 << 16):
+        mine, yours = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
+        n = sizes[mine]
+        pair = np.repeat(np.arange(len(mine)), n)
+        place = np.arange(len(pair)) - np.repeat(np.cumsum(n) - n, n) + starts[mine][pair]
+        met = in_sorted(yours[pair] * most + code[place], have)
+        keep[at + pair[met]] = False
+    return keep
+
+
+def _candidates(num: int, den: int):
+    """From rows of leaves, sorted by leaf and block pair, the ones that are in a pair that may
+    link, isn't in one component and meets first in this leaf. A block pair's rows are bounded."""
 
     def side(pdf: pd.DataFrame) -> tuple:
         """Row numbers and (points, sizes, components), in the tree's order."""
         sizes, comps = pdf["n"].to_numpy(np.int64), pdf["component"].to_numpy(np.int64)
-        points = unpacked_counts(pdf["vector"].tolist(), leaf_bits(sizes), GROUP_BITS)
+        points = unpacked_counts(pdf["vector"].tolist(), fine_bits(sizes), GROUP_BITS)
         order = packed_order(points, sizes, comps)
         return order, (points[order], sizes[order], comps[order])
 
+    def survivors(pdf: pd.DataFrame, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """The rows of the pairs that finer groups and earlier leaves leave."""
+        n = pdf["n"].to_numpy(np.int64)
+        found = np.zeros(len(pdf), np.bool_)
+        keep = first_meetings(pdf["earlier"].tolist(), i, j)
+        i, j = i[keep], j[keep]
+        keep = may_link(pdf["vector"].tolist(), fine_bits(n), n, i, j, num, den)
+        found[i[keep]] = found[j[keep]] = True
+        return found
+
+    def nodes(pdf: pd.DataFrame, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Leaves of a single node, all at once: every pair within a node is bounded."""
+        area = sizes * sizes
+        k = np.arange(area.sum()) - np.repeat(np.cumsum(area) - area, area)
+        row, width = np.repeat(starts, area), np.repeat(sizes, area)
+        i, j = row + k // width, row + k % width
+        n, comps = pdf["n"].to_numpy(np.int64), pdf["component"].to_numpy(np.int64)
+        keep = (i < j) & (comps[i] != comps[j])
+        keep &= (n[i] * num <= n[j] * den) & (n[j] * num <= n[i] * den)
+        return survivors(pdf, i[keep], j[keep])
+
+    def large(rows: pd.DataFrame, x: int, y: int) -> np.ndarray:
+        places = rows["block"].to_numpy()
+        mine, yours = np.flatnonzero(places == x), np.flatnonzero(places == y)
+        if not len(mine) or not len(yours):
+            return np.zeros(len(rows), np.bool_)
+        order, left = side(rows.iloc[mine])
+        other, right = (order, left) if x == y else side(rows.iloc[yours])
+        i, j = tree_pairs(left, right, num, den)
+        i, j = mine[order[i]], yours[other[j]]
+        if x == y:
+            i, j = i[i < j], j[i < j]
+        return survivors(rows, i, j)
+
+    def found(pdf: pd.DataFrame) -> pd.DataFrame:
+        names = ["leaf", "x", "y", "id", "component"]
+        if not len(pdf):
+            return pdf[names]
+        keys = pdf[["leaf", "x", "y"]].to_numpy(np.int64)
+        starts = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(1)))
+        sizes = np.diff(np.append(starts, len(pdf)))
+        small = (sizes <= FANOUT) & (keys[starts, 1] == keys[starts, 2])
+        keep = nodes(pdf, starts[small], sizes[small])
+        for start, size in zip(starts[~small].tolist(), sizes[~small].tolist()):
+            rows = pdf.iloc[start : start + size]
+            keep[start : start + size] = large(rows, keys[start, 1], keys[start, 2])
+        return pdf.loc[keep, names]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Rows come sorted by leaf and block pair; a block pair's rows are bounded."""
-        held = None
-
-        def nodes(pdf: pd.DataFrame, starts: np.ndarray, sizes: np.ndarray):
-            """Leaves of a single node, all at once: every pair within a node is bounded."""
-            row = np.repeat(starts, sizes * sizes)
-            k = np.arange(len(row)) - np.repeat(np.cumsum(sizes * sizes) - sizes * sizes, sizes * sizes)
-            width = np.repeat(sizes, sizes * sizes)
-            i, j = row + k // width, row + k % width
-            n, comps = pdf["n"].to_numpy(np.int64), pdf["component"].to_numpy(np.int64)
-            ids = pdf["id"].to_numpy(np.int64)
-            keep = (ids[i] < ids[j]) & (comps[i] != comps[j])
-            keep &= (n[i] * num <= n[j] * den) & (n[j] * num <= n[i] * den)
-            i, j = i[keep], j[keep]
-            keep = may_link(pdf["vector"].tolist(), leaf_bits(n), n, i, j, num, den)
-            return ids[i[keep]], ids[j[keep]]
-
-        def pairs(pdf: pd.DataFrame) -> pd.DataFrame:
-            out_a, out_b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-            if len(pdf):
-                keys = pdf[["leaf", "x", "y"]].to_numpy(np.int64)
-                new = np.append(True, (keys[1:] != keys[:-1]).any(1))
-                starts = np.flatnonzero(new)
-                sizes = np.diff(np.append(starts, len(pdf)))
-                small = (sizes <= FANOUT) & (keys[starts, 1] == keys[starts, 2])
-                a, b = nodes(pdf, starts[small], sizes[small])
-                out_a.append(a)
-                out_b.append(b)
-                for start, size in zip(starts[~small].tolist(), sizes[~small].tolist()):
-                    rows = pdf.iloc[start : start + size]
-                    x, y = keys[start, 1], keys[start, 2]
-                    places = rows["block"].to_numpy()
-                    mine, yours = np.flatnonzero(places == x), np.flatnonzero(places == y)
-                    if not len(mine) or not len(yours):
-                        continue
-                    order, left = side(rows.iloc[mine])
-                    other, right = (order, left) if x == y else side(rows.iloc[yours])
-                    i, j = tree_pairs(left, right, num, den)
-                    i, j = mine[order[i]], yours[other[j]]
-                    ids, n = rows["id"].to_numpy(np.int64), rows["n"].to_numpy(np.int64)
-                    keep = ids[i] < ids[j] if x == y else ids[i] != ids[j]
-                    i, j = i[keep], j[keep]
-                    keep = may_link(rows["vector"].tolist(), leaf_bits(n), n, i, j, num, den)
-                    a, b = ids[i[keep]], ids[j[keep]]
-                    out_a.append(np.minimum(a, b))
-                    out_b.append(np.maximum(a, b))
-            return pd.DataFrame({"a": np.concatenate(out_a), "b": np.concatenate(out_b)})
-
-        for batch in batches:
-            if not len(batch):
-                continue
-            held = batch if held is None else pd.concat([held, batch], ignore_index=True)
-            last = held.iloc[-1]
-            open_ = (
-                (held["leaf"] == last["leaf"])
-                & (held["x"] == last["x"])
-                & (held["y"] == last["y"])
-            )
-            yield pairs(held[~open_])
-            held = held[open_]
-        if held is not None:
-            yield pairs(held)
+        for pdf in whole_groups(batches):
+            yield found(pdf)
+
+    return run
+
+
+def whole_groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Batches of rows that are sorted by leaf and block pair, cut between them."""
+    held = None
+    for batch in batches:
+        if not len(batch):
+            continue
+        held = batch if held is None else pd.concat([held, batch], ignore_index=True)
+        last = held.iloc[-1]
+        open_ = held["leaf"] == last["leaf"]
+        open_ &= (held["x"] == last["x"]) & (held["y"] == last["y"])
+        if not open_.all():
+            yield held[~open_].reset_index(drop=True)
+            held = held[open_].reset_index(drop=True)
+    if held is not None:
+        yield held
+
+
+# --------------------------------------------------------------------------- verification
+
+
+def overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """The sizes of all intersections. Shingles of many sets count by a matrix product, those of
+    a few by their pairs."""
+    m = len(sets)
+    out = np.zeros(m * m, np.float32)
+    values = np.concatenate(sets)
+    rows = np.repeat(np.arange(m), [len(s) for s in sets])
+    order = np.argsort(values, kind="stable")
+    values, rows = values[order], rows[order]
+    starts = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
+    counts = np.diff(np.append(starts, len(values)))
+    heavy = counts > max(8, m // 14)
+    light = np.flatnonzero(~heavy & (counts > 1))
+    area = np.cumsum(counts[light] ** 2)
+    for part in np.split(light, np.searchsorted(area, np.arange(1 << 21, area[-1] if len(area) else 0, 1 << 21))):
+        n = np.repeat(counts[part], counts[part] ** 2)
+        k = np.arange(len(n)) - np.repeat(np.cumsum(counts[part] ** 2) - counts[part] ** 2, counts[part] ** 2)
+        first = np.repeat(starts[part], counts[part] ** 2)
+        np.add.at(out, rows[first + k // n] * m + rows[first + k % n], 1)
+    out = out.reshape(m, m)
+    columns = np.flatnonzero(heavy)
+    step = max(1, (1 << 22) // m)
+    for part in (columns[at : at + step] for at in range(0, len(columns), step)):
+        n = counts[part]
+        place = np.repeat(starts[part] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        held = np.zeros((m, len(part)), np.float32)
+        held[rows[place], np.repeat(np.arange(len(part)), n)] = 1
+        out += held @ held.T
+    return out.astype(np.int64)
+
+
+def joining_links(sets: list[np.ndarray], comps: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
+    """Pairs of sets that link and, together, join all components that links join: fewer than
+    there are components."""
+    both = overlaps(sets)
+    n = np.fromiter(map(len, sets), np.int64, len(sets))
+    link = both * den >= (n[:, None] + n - both) * num
+    names, comp = np.unique(comps, return_inverse=True)
+    i, j = np.nonzero(link & (comp[:, None] < comp))
+    # One link for every two components, then a tree over them.
+    _, one = np.unique(comp[i] * len(names) + comp[j], return_index=True)
+    i, j = i[one], j[one]
+    joined = np.full((len(names), len(names)), -1, np.int64)
+    joined[comp[i], comp[j]] = joined[comp[j], comp[i]] = np.arange(len(i))
+    seen, out = np.zeros(len(names), np.bool_), []
+    for start in range(len(names)):
+        front = np.array([start]) if not seen[start] else np.empty(0, np.int64)
+        seen[front] = True
+        while len(front):
+            at = joined[front]
+            new = np.flatnonzero((at >= 0).any(0) & ~seen)
+            used = at[:, new].max(0)
+            out += zip(i[used].tolist(), j[used].tolist())
+            seen[new] = True
+            front = new
+    return out
+
+
+def _links(k: int, num: int, den: int):
+    """Links (a, b) within leaves' block pairs, from rows with their texts."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        unpack = zstandard.ZstdDecompressor()
+        for pdf in whole_groups(batches):
+            keys = pdf[["leaf", "x", "y"]].to_numpy(np.int64)
+            starts = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(1)))
+            ids, comps = pdf["id"].to_numpy(np.int64), pdf["component"].to_numpy(np.int64)
+            packed, out = pdf["packed"].tolist(), [np.empty((0, 2), np.int64)]
+            for s, e in zip(starts.tolist(), np.append(starts[1:], len(pdf)).tolist()):
+                sets = text_sets([unpack.decompress(t) for t in packed[s:e]], k)
+                pairs = joining_links(sets, comps[s:e], num, den)
+                out.append(ids[s:e][np.array(pairs, np.int64).reshape(-1, 2)])
+            yield pd.DataFrame(np.concatenate(out), columns=["a", "b"])
 
     return run
 
@@ -357,35 +454,29 @@ def _leaf_pairs(num: int, den: int):
 
 
 def _packed(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(class, packed): the compressed text of one row of each wanted class."""
+    """(class, packed): the compressed text of the row that names each wanted class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor()
         for batch in common.slices(batches):
-            texts = common.bytes_of(batch.column("text"))
+            texts = map(pack.compress, common.bytes_of(batch.column("text")))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("class"), pa.array(map(pack.compress, texts), pa.binary())],
-                ["class", "packed"],
+                [batch.column("id"), batch.column("mark"), pa.array(texts, pa.binary())],
+                ["id", "mark", "packed"],
             )
 
     # Ids may repeat on rows of other texts: the mark picks the right one.
+    packed = docs.mapInArrow(run, "id long, mark long, packed binary")
     return (
-        docs.join(wanted, ["id", "mark"])
-        .select("class", "text")
-        .mapInArrow(run, "class long, packed binary")
-        .groupBy("class")
-        .agg(F.first("packed").alias("packed"))
+        packed.join(wanted, ["id", "mark"])
+        .groupBy("id", "mark")
+        .agg(F.first("class").alias("class"), F.first("packed").alias("packed"))
+        .select("class", "packed")
     )
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, num: int, den: int):
+def _verified(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """The pairs (a, b) of classes that link, decided on their shingle sets."""
-    wanted = store(
-        pairs.select(F.explode(F.array("a", "b")).alias("class"))
-        .distinct()
-        .join(classes.select("class", "id", "mark"), "class")
-    )
-    texts = store(_packed(docs, wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
@@ -405,7 +496,8 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, num
     both = pairs.join(
         texts.select(F.col("class").alias("a"), F.col("packed").alias("x")), "a"
     ).join(texts.select(F.col("class").alias("b"), F.col("packed").alias("y")), "b")
-    return store(both.mapInArrow(run, "a long, b long"))
+    with common.small_batches(pairs.sparkSession, TEXT_ROWS):
+        return store(both.mapInArrow(run, "a long, b long"))
 
 
 def _joined(merged: DataFrame, links: DataFrame) -> DataFrame:
@@ -451,55 +543,85 @@ def _outsiders(big: DataFrame, merged: DataFrame, turn: int) -> DataFrame:
     ).distinct()
 
 
-def jaccard_components(
-    docs: DataFrame,
-    k: int,
-    num: int,
-    den: int,
-    id_: str = "doc_id",
-    text: str = "text",
-    by_text: bool = False,
-) -> DataFrame:
-    """(id, n_shingles, component_id) of every row: links are pairs whose intersection * den
-    is at least their union * num, and a component is named by its smallest id.
-
-    Texts that share an id are in one component; not so ``by_text``, where a row has the
-    component of its own text, and ``mark``, the text's xxhash64, tells rows of an id apart.
-    """
-    plain = docs.select(
-        F.col(id_).cast("long").alias("id"),
-        F.col(text).alias("text"),
-        F.xxhash64(text).alias("mark"),
+def _leaves(classes: DataFrame) -> DataFrame:
+    """(leaf, class, n, rows, weight): the classes of every leaf that several share, with the
+    leaf's classes and shingles. Of leaves with the same classes, known by 128 bits of their
+    hashes, one stays: the others lead to the same pairs."""
+    leaves = classes.select(F.explode("first").alias("leaf"), "class", "n")
+    sizes = leaves.groupBy("leaf").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("n").alias("weight")
     )
-    rows = store(described(plain, k, num, den, frequent(plain, k)))
-    # A class is a distinct set, named by the smallest id that has it; ids that repeat with
-    # other texts can't name two classes, so classes have numbers of their own: the digest's.
-    named = rows.where("n > 0 and id is not null")
-    classes = store(
-        named.groupBy("digest")
-        .agg(
-            F.min(F.struct("id", "mark")).alias("row"),
-            *[F.first(c).alias(c) for c in ("n", "vector", "fine")],
+    with common.scope():
+        shared = store(leaves.join(store(sizes.where("rows > 1")), "leaf"))
+        kept = (
+            shared.groupBy("leaf", "rows")
+            .agg(*[F.bit_xor(F.xxhash64("class", F.lit(seed))).alias(f"h{seed}") for seed in (1, 2)])
+            .groupBy("rows", "h1", "h2")
+            .agg(F.min("leaf").alias("leaf"))
+        )
+        return store(shared.join(kept.select("leaf"), "leaf", "left_semi"), outer=True)
+
+
+def _blocks(placed: DataFrame) -> DataFrame:
+    """``placed`` (leaf, class, component, n, rows, weight) with the block pairs (x, y) that a
+    row has to be in, and its own block.
+
+    A leaf of several blocks has those of its main component first: they meet all others but
+    not each other."""
+    parts = F.ceil(F.greatest(F.col("rows") / BLOCK, F.col("weight") / BLOCK_SHINGLES)).cast("int")
+    placed = placed.withColumn("parts", parts)
+    main = (
+        placed.where("parts > 1")
+        .groupBy("leaf", "component", "parts", "rows")
+        .agg(F.count(F.lit(1)).alias("own"))
+        .groupBy("leaf", "parts", "rows")
+        .agg(F.max(F.struct("own", "component")).alias("main"))
+        .select(
+            "leaf",
+            F.col("main.component").alias("main"),
+            F.ceil(F.col("main.own") * F.col("parts") / F.col("rows")).cast("int").alias("inner"),
+            F.ceil((F.col("rows") - F.col("main.own")) * F.col("parts") / F.col("rows"))
+            .cast("int")
+            .alias("outer"),
         )
-        .select("digest", "row.*", "n", "vector", "fine", F.xxhash64("digest").alias("class"))
     )
-    leaves = (
-        named.join(classes.select("digest", "id"), ["digest", "id"], "left_semi")
-        .groupBy("digest")
-        .agg(F.first("first").alias("first"))
-        .select(F.explode("first").alias("leaf"), F.xxhash64("digest").alias("class"))
+    number = F.xxhash64("class")
+    inside = F.col("component") == F.col("main")
+    last = F.col("inner") + F.col("outer") - 1
+
+    def drawn(blocks: str) -> Column:
+        return F.pmod(number, F.col(blocks)).cast("int")
+
+    block = (
+        F.when(F.col("main").isNull(), 0)
+        .when(inside, drawn("inner"))
+        .otherwise(F.col("inner") + drawn("outer"))
+    )
+    met = (
+        F.when(F.col("main").isNull(), F.array(F.lit(0)))
+        .when(inside, F.sequence("inner", last))
+        .otherwise(F.sequence(F.lit(0), last))
     )
-    leaves = store(leaves)
-    sizes = leaves.groupBy("leaf").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
-    shared = store(leaves.join(store(sizes), "leaf").select("leaf", "class", "rows"))
-    # Leaves with the same classes, known by 128 bits of their hashes, lead to the same pairs.
-    kept = (
-        shared.groupBy("leaf", "rows")
-        .agg(F.bit_xor("class").alias("one"), F.bit_xor(F.xxhash64("class")).alias("two"))
-        .groupBy("rows", "one", "two")
-        .agg(F.min("leaf").alias("leaf"))
+    return (
+        placed.join(main, "leaf", "left")
+        .select(*placed.columns, block.alias("block"), F.explode(met).alias("met"))
+        .withColumns({"x": F.least("block", "met"), "y": F.greatest("block", "met")})
+        .drop("met", "parts")
     )
-    members = store(shared.join(kept.select("leaf"), "leaf", "left_semi"))
+
+
+def _in_leaves(rows: DataFrame) -> DataFrame:
+    """Rows dealt to tasks by leaf and block pair, and sorted by them."""
+    return rows.repartition("leaf", "x", "y").sortWithinPartitions("leaf", "x", "y")
+
+
+def _class_components(docs: DataFrame, classes: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """(id, component) of every class that links with another."""
+    spark = docs.sparkSession
+    members = _leaves(classes)
+    wanted = members.select("class").distinct().join(classes.select("class", "id", "mark"), "class")
+    texts = store(_packed(docs, store(wanted)))
+    vectors = classes.select("class", "n", "vector")
     # Large leaves: everyone against two pivots, verified, so that most are linked already.
     big = members.where(F.col("rows") > LEAF).select("leaf", "class")
     ends = big.groupBy("leaf").agg(F.array(F.min("class"), F.max("class")).alias("ends"))
@@ -510,17 +632,16 @@ def jaccard_components(
         .select(F.least("class", "end").alias("a"), F.greatest("class", "end").alias("b"))
         .distinct()
     )
-    vectors = classes.select("class", "n", "vector")
-    fine = classes.select("class", "n", F.coalesce("fine", "vector").alias("fine"))
-    near = store(_bounded(pivots, fine, num, den))
-    merged = components(_verified(near, classes, plain, k, num, den))
+    near = store(_bounded(pivots, vectors, num, den))
+    merged = components(_verified(near, texts, k, num, den))
     for turn in range(ROUNDS):
         proposed = _outsiders(big, merged, turn).join(near, ["a", "b"], "left_anti")
-        proposed = store(_bounded(proposed, fine, num, den))
-        if proposed.isEmpty():
+        proposed = store(_bounded(proposed, vectors, num, den))
+        links = _verified(proposed, texts, k, num, den)
+        if links.isEmpty():
             break
         near = near.unionAll(proposed)
-        merged = _joined(merged, _verified(proposed, classes, plain, k, num, den))
+        merged = _joined(merged, links)
     placed = members.join(merged.withColumnRenamed("id", "class"), "class", "left").withColumn(
         "component", F.coalesce("component", "class")
     )
@@ -530,42 +651,88 @@ def jaccard_components(
         .where("lo <> hi")
         .select("leaf")
     )
-    # Blocks of a leaf meet in pairs, each pair of blocks in one task.
-    blocks = F.ceil(F.col("rows") / BLOCK).cast("int")
-    block = F.pmod(F.xxhash64("class"), blocks).cast("int")
-    met = F.explode(F.sequence(F.lit(0), blocks - 1)).alias("met")
+    placed = store(placed.join(open_, "leaf", "left_semi"))
+    # A class has at most ``leaf_count`` leaves.
+    before = Window.partitionBy("class").orderBy("leaf").rowsBetween(Window.unboundedPreceding, -1)
     dealt = (
-        placed.join(open_, "leaf", "left_semi")
+        _blocks(placed.withColumn("earlier", F.collect_list("leaf").over(before)))
+        .drop("n")
         .join(vectors, "class")
-        .select("leaf", F.col("class").alias("id"), "n", "vector", "component", block.alias("block"), met)
-        .withColumns({"x": F.least("block", "met"), "y": F.greatest("block", "met")})
-        .drop("met")
-        .repartition("leaf", "x", "y")
-        .sortWithinPartitions("leaf", "x", "y")
+        .select("leaf", "x", "y", "block", F.col("class").alias("id"), "n", "vector", "component", "earlier")
     )
-    found = dealt.mapInPandas(_leaf_pairs(num, den), "a long, b long").distinct()
-    rest = found.join(near, ["a", "b"], "left_anti")
-    rest = store(_bounded(rest, fine, num, den))
-    groups = _joined(merged, _verified(rest, classes, plain, k, num, den))
-    # Back to documents. Rows of one id with several sets join their classes.
-    labelled = classes.select("digest", F.col("class").alias("id")).join(groups, "id", "left")
-    labelled = labelled.select("digest", F.coalesce("component", "id").alias("component"))
-    rows_in = named.join(labelled, "digest")
+    schema = "leaf long, x int, y int, id long, component long"
+    met = store(_in_leaves(dealt).mapInPandas(_candidates(num, den), schema))
+    with_texts = met.join(texts.withColumnRenamed("class", "id"), "id")
+    with common.small_batches(spark, TEXT_ROWS):
+        links = store(_in_leaves(with_texts).mapInPandas(_links(k, num, den), "a long, b long"))
+    return _joined(merged, links.distinct())
+
+
+def jaccard_components(
+    docs: DataFrame,
+    k: int,
+    num: int,
+    den: int,
+    id_: str = "doc_id",
+    text: str = "text",
+    by_text: bool = False,
+) -> DataFrame:
+    """(id, n_shingles, component_id) of every row: links are pairs whose intersection * den
+    is at least their union * num, and a component is named by its smallest id.
+
+    Texts that share an id are in one component; not so ``by_text``, where a row has the
+    component of its own text, and ``mark``, the text's xxhash64, tells rows of an id apart.
+    """
+    plain = docs.select(
+        F.col(id_).cast("long").alias("id"),
+        F.col(text).alias("text"),
+        F.xxhash64(text).alias("mark"),
+    )
+    with common.scope():
+        levels = levels_of(plain, k)
+        every = store(described(plain, k, num, den, levels))
+        # A class is a distinct set; ids that repeat with other texts can't name two classes, so
+        # classes are numbered. The row with the smallest id stands for its text.
+        named = every.where("n > 0 and id is not null")
+        classes = store(
+            named.groupBy("digest")
+            .agg(
+                F.min(F.struct("id", "mark")).alias("row"),
+                *[F.first(c).alias(c) for c in ("n", "vector", "first")],
+            )
+            .select("digest", "row.*", "n", "vector", "first", F.monotonically_increasing_id().alias("class"))
+        )
+        rows = store(every.select("id", "mark", "n", "digest"), outer=True)
+        groups = _class_components(plain, classes, k, num, den)
+        labelled = classes.select("digest", F.col("class").alias("id")).join(groups, "id", "left")
+        labelled = store(labelled.select("digest", F.coalesce("component", "id").alias("component")))
+        return _named(rows, labelled, id_, by_text)
+
+
+def _named(rows: DataFrame, labelled: DataFrame, id_: str, by_text: bool) -> DataFrame:
+    """Back to documents from (digest, component). Rows of one id with several sets join their
+    classes, if not ``by_text``."""
+    rows_in = rows.where("n > 0 and id is not null").join(labelled, "digest")
     if by_text:
         names = rows_in.groupBy("component").agg(F.min("id").alias("component_id"))
-        by_digest = labelled.join(names, "component")
+        by_digest = store(labelled.join(names, "component"), outer=True)
         return _with_components(rows, by_digest, id_, "mark")
     several = rows_in.groupBy("id").agg(
         F.min("component").alias("lo"), F.max("component").alias("hi")
     )
     bridges = components(several.where("lo <> hi").select(F.col("lo").alias("a"), F.col("hi").alias("b")))
-    bridged = rows_in.join(
+    bridged = labelled.join(
         bridges.select(F.col("id").alias("component"), F.col("component").alias("bridge")),
         "component",
         "left",
-    ).select("id", "digest", F.coalesce("bridge", "component").alias("component"))
-    names = bridged.groupBy("component").agg(F.min("id").alias("component_id"))
-    by_digest = bridged.select("digest", "component").distinct().join(names, "component")
+    ).select("digest", F.coalesce("bridge", "component").alias("component"))
+    names = (
+        rows_in.select("id", "digest")
+        .join(bridged, "digest")
+        .groupBy("component")
+        .agg(F.min("id").alias("component_id"))
+    )
+    by_digest = store(bridged.join(names, "component"), outer=True)
     return _with_components(rows, by_digest, id_)
 
 
@@ -581,21 +748,20 @@ def _with_components(rows: DataFrame, by_digest: DataFrame, id_: str, *more: str
     )
 
 
-def _bounded(pairs: DataFrame, fine: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs whose summed minima over fine count vectors reach what their sizes demand."""
+def _bounded(pairs: DataFrame, vectors: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs whose summed minima over count vectors reach what their sizes demand."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches):
-            vectors = batch.column("va").to_pylist() + batch.column("vb").to_pylist()
+            found = batch.column("va").to_pylist() + batch.column("vb").to_pylist()
             n = np.concatenate([batch.column(c).to_numpy() for c in ("na", "nb")])
             first = np.arange(batch.num_rows)
-            second = first + batch.num_rows
-            keep = may_link(vectors, fine_bits(n), n, first, second, num, den)
+            keep = may_link(found, fine_bits(n), n, first, first + batch.num_rows, num, den)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     def side(name: str) -> DataFrame:
-        return fine.select(
-            F.col("class").alias(name), F.col("n").alias(f"n{name}"), F.col("fine").alias(f"v{name}")
+        return vectors.select(
+            F.col("class").alias(name), F.col("n").alias(f"n{name}"), F.col("vector").alias(f"v{name}")
         )
 
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a long, b long")
