@@ -35,6 +35,7 @@ from songweave.llm.common import store
 
 REVISIT_BYTES = 100
 BLOCK_LINES = 3000
+TASK_BYTES = 32 << 20  # of archives, read by a task
 READ_BYTES = 4 << 20  # neighbouring records are read together up to this
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
@@ -305,10 +306,16 @@ def find_captures(index: DataFrame, urls: DataFrame, url: str = "url") -> DataFr
 
 
 def read_records(captures: DataFrame, payload: bool = True) -> DataFrame:
-    """Records by range reads of the archives; neighbours in a file are read together."""
+    """Records by range reads of the archives; neighbours in a file are read together.
+
+    Captures are a few numbers a record: tasks are dealt by the bytes that they read.
+    """
+    captures = common.store(captures.select("uri", "offset", "size"))
+    total, rows = captures.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("uri")).first()
+    cores = captures.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, -(-total // TASK_BYTES), min(cores, rows))
     ordered = (
-        captures.select("uri", "offset", "size")
-        .repartitionByRange("uri", "offset")
+        captures.repartitionByRange(int(tasks), "uri", "offset")
         .sortWithinPartitions("uri", "offset")
     )
     names = [f.split()[0] for f in RECORDS.split(", ")]
