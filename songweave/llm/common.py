@@ -16,7 +16,12 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from songweave.session import apply_settings, ensure_checkpoint_dir
+from songweave.session import (
+    apply_settings,
+    ensure_checkpoint_dir,
+    small_batches,  # noqa: F401 - used by the operators
+)
+
 
 # Rows of one Arrow batch that are worked on at once: bounds the memory of long texts.
 SLICE_ROWS = 256
@@ -386,17 +391,17 @@ def merged_parts(states: DataFrame, together: Callable, schema: str) -> Row | No
     return states.first()
 
 
-@contextmanager
-def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
-    """Within it, Python gets at most ``rows`` rows of a stored step at once: for rows that are
-    large themselves. The session's setting comes back after it."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(rows))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` doesn't have, in any case of letters: ``name``, lengthened."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def quoted(name: str) -> str:
+    """A column's name as Spark reads it, dots and all."""
+    return "`" + name.replace("`", "``") + "`"
 
 
 def texts_of(column: pa.Array) -> list[str]:

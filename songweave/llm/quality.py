@@ -181,7 +181,12 @@ def score(
 def with_score(
     docs: DataFrame, model: Model, text: str = "text", out: str = "_score"
 ) -> DataFrame:
-    """All columns of ``docs`` and its score, row by row, without a join."""
+    """All columns of ``docs`` and its score as ``out``, row by row, without a join.
+
+    A column named ``out`` would be lost, so ``docs`` mustn't have one: ``common.fresh`` makes up
+    a name."""
+    if out.lower() in map(str.lower, docs.columns):
+        raise ValueError(f"the documents have a column {out} already")
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
