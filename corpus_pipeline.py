@@ -14,11 +14,12 @@ END_ID = 1
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier doesn't reject. Rows keep all their columns; a
-    null or empty text scores by the bias; repeated rows share one fate."""
+    """Documents that the quality classifier doesn't reject. Rows keep all their columns,
+    whatever their names; a null or empty text scores by the bias; repeated rows share one fate."""
     model = quality_model(spark, docs, sf_dir)
-    scored = quality.with_score(docs, model, out="_score")
-    return scored.where(F.col("_score") >= QUALITY_THRESHOLD).drop("_score")
+    score = common.fresh(docs, "score")
+    scored = quality.with_score(docs, model, out=score)
+    return scored.where(F.col(score) >= QUALITY_THRESHOLD).select(*map(common.quoted, docs.columns))
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,37 +27,39 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
     Documents without words link with nothing and stay, as do rows with a null id. Of rows
     that repeat one id, one row of each text stays, unless its own text's component has a
-    smaller id."""
+    smaller id. Rows keep all their columns, whatever their names."""
+    mark = common.fresh(docs, "mark")
     groups = common.store(
         jaccard.jaccard_components(docs, SHINGLE, NUM, DEN, by_text=True).select(
-            "doc_id", "component_id", F.col("mark").alias("_mark")
+            "doc_id", "component_id", F.col("mark").alias(mark)
         )
     )
-    dropped = common.store(
-        groups.where("doc_id <> component_id").select("doc_id", "_mark").distinct()
-    )
+    dropped = common.store(groups.where("doc_id <> component_id").select("doc_id", mark).distinct())
     repeated = common.store(
         groups.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
     )
-    marked = docs.withColumn("_mark", F.xxhash64("text"))
-    kept = marked.join(dropped, ["doc_id", "_mark"], "left_anti")
-    single = kept.join(repeated, "doc_id", "left_anti")
-    several = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return single.unionByName(several).select(*docs.columns)
+    kept = docs.withColumn(mark, F.xxhash64("text")).join(dropped, ["doc_id", mark], "left_anti")
+    if not repeated.isEmpty():
+        single = kept.join(repeated, "doc_id", "left_anti")
+        several = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+        kept = single.unionByName(several)
+    return kept.select(*map(common.quoted, docs.columns))
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain no benchmark item. Rows with a null id can't be named and stay;
-    rows that share an id with a leaking row go with it."""
+    rows that share an id with a leaking row go with it. Rows keep all their columns, whatever
+    their names."""
     items = common.read_table(spark, sf_dir, "benchmark")
     leaks = common.store(
         decontaminate.benchmark_hits(docs, items, SHINGLE, NUM, DEN).select("doc_id").distinct()
     )
-    return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(leaks, "doc_id", "left_anti").select(*map(common.quoted, docs.columns))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of windows of 2048 tokens, with their ids and the ids' checksum."""
+    """Pieces of windows of 2048 tokens, with their ids and the ids' checksum. Nothing but id and
+    text is looked at; a null text is its end id alone."""
     pieces = packing.pack(docs, common.tokenizer_path(BYTE_BPE), end_id=END_ID)
     return pieces.withColumn("ids_crc32", F.crc32("ids"))
 
@@ -73,8 +76,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is written and read again."""
+    """All stages over ``documents``; each result is written and read again, and what a stage
+    stored for itself is deleted."""
     docs = common.read_table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = common.store(stage(spark, docs, sf_dir))
+    for _, stage in STAGES[:-1]:
+        with common.scope():
+            docs = common.store(stage(spark, docs, sf_dir), outer=True)
     return STAGES[-1][1](spark, docs, sf_dir)
