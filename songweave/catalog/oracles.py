@@ -621,6 +621,11 @@ select uid, item_id, listen_count, round(played_ratio_max, 6) as played_ratio_ma
     + f"select {PROFILE_COLS} from profile",
     "pair_profile_null_owners": with_(PURCHASES, META, pair_profile("purchases", "meta"))
     + f"select {PROFILE_COLS} from profile",
+    "pair_profile_repeated_meta": with_(PURCHASES, META, """once as (
+  select item_id, min(artist_id) as artist_id, min(album_id) as album_id from (
+    select item_id, artist_id, album_id from meta union all
+    select item_id, artist_id + 1000, album_id + 1000 from meta) group by 1)""",
+        pair_profile("purchases", "once")) + f"select {PROFILE_COLS} from profile",
     "item_time_profile": with_(INTERACTIONS) + time_profile(*ITEM_TIME, "interactions"),
     "item_time_profile_documented": with_(PURCHASES) + time_profile(*ITEM_TIME, "purchases", 1),
     "user_time_profile": with_(INTERACTIONS) + time_profile(*USER_TIME, "interactions"),
@@ -714,6 +719,12 @@ from stretched, unnest(range(1, len(v) + 1)) as t(pos)""",
 select cast(pos - 1 as int) as pos,
   round(x / greatest(sqrt((select sum(x * x) from m)), 1e-12), 6) as value from m""",
     "embedding_topk": with_(EMB) + """
+select query_id, item_id, round(score, 6) as score, rank from (
+  select *, row_number() over (partition by query_id order by score desc, item_id) as rank from (
+    select a.item_id as query_id, b.item_id, round(list_inner_product(
+      a.normalized_embed::double[], b.normalized_embed::double[]), 12) as score
+    from emb a cross join emb b)) where rank <= 10""",
+    "embedding_topk_cells": with_(EMB) + """
 select query_id, item_id, round(score, 6) as score, rank from (
   select *, row_number() over (partition by query_id order by score desc, item_id) as rank from (
     select a.item_id as query_id, b.item_id, round(list_inner_product(

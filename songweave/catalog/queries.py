@@ -21,6 +21,7 @@ from songweave.models.popular import MostPopular, NewItemsLastNDays
 from songweave.models.taste import KMeansEmbedding, track_kmeans
 from songweave.models.walk import RandomWalkWithRestart, readable, transition, walk_edges
 from songweave.operators import cleaning, features, interactions, metrics, postprocess, profiling
+from songweave.operators.buckets import cell_topk, lsh_topk
 from songweave.operators.similarity import vector_topk
 from songweave.operators.splits import time_split_with_gap, with_split
 from songweave.plans import preprocessing
@@ -268,6 +269,15 @@ def pair_profile_null_owners(spark, folder):
     )
 
 
+@query
+def pair_profile_repeated_meta(spark, folder):
+    meta = fixtures.items_meta(spark, folder)
+    again = meta.withColumns(
+        {"artist_id": F.col("artist_id") + 1000, "album_id": F.col("album_id") + 1000}
+    )
+    return features.pair_profile(fixtures.purchases(spark, folder), meta.unionByName(again))
+
+
 @query
 def item_time_profile(spark, folder):
     return features.item_time_profile(fixtures.interactions(spark, folder))
@@ -446,6 +456,20 @@ def embedding_topk(spark, folder):
     return vector_topk(wanted, emb, 10, ["query_id"], query_vector="normalized_embed")
 
 
+@query
+def embedding_topk_cells(spark, folder):
+    emb = fixtures.embeddings(spark, folder)
+    wanted = emb.select(F.col("item_id").alias("query_id"), "normalized_embed")
+    return cell_topk(wanted, emb, 10, ["query_id"], query_vector="normalized_embed")
+
+
+@query
+def embedding_topk_lsh(spark, folder):
+    emb = fixtures.embeddings(spark, folder)
+    wanted = emb.select(F.col("item_id").alias("query_id"), "normalized_embed")
+    return lsh_topk(wanted, emb, 10, ["query_id"], query_vector="normalized_embed")
+
+
 # --- models ----------------------------------------------------------------
 
 

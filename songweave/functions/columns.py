@@ -56,10 +56,13 @@ def hash_order(seed: int, *keys: str) -> Column:
 
 
 def comparable(score: str) -> Column:
-    """The score as lists are ordered by it: rounded to ``SCORE_DIGITS`` significant digits."""
+    """The score as lists are ordered by it: rounded to ``SCORE_DIGITS`` significant digits.
+
+    Scores too small to be scaled up stay as they are.
+    """
     value = F.col(score).cast("double")
     scale = F.pow(F.lit(10.0), SCORE_DIGITS - 1 - F.floor(F.log10(F.abs(value))))
-    return F.when(value == 0, value).otherwise(F.round(value * scale) / scale)
+    return F.when(F.abs(value) < 1e-290, value).otherwise(F.round(value * scale) / scale)
 
 
 def top_per_key(

@@ -9,10 +9,11 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from songweave.functions.columns import top_per_key
+from songweave.session import cut_lineage
 
 # Longest list a model returns unless asked otherwise.
 MAX_PREDICTIONS = 2000
@@ -34,7 +35,7 @@ class RetrievalModel:
     def fit(self, df: DataFrame) -> RetrievalModel:
         raise NotImplementedError
 
-    def recommend(self, users: DataFrame, n: int = MAX_PREDICTIONS) -> DataFrame:
+    def recommend(self, users: DataFrame, n: int | None = MAX_PREDICTIONS) -> DataFrame:
         raise NotImplementedError
 
     def save(self, path: str) -> None:
@@ -56,11 +57,19 @@ class RetrievalModel:
         return model
 
 
-def same_list_for_all(users: DataFrame, top: DataFrame, n: int) -> DataFrame:
-    """Give every user the ``n`` best rows of ``top`` (item_id, score).
+# Entries of a shared list that travel together.
+LIST_SLICE = 4096
 
-    The list has at most ``n`` entries and reaches the users as a scalar array, not as a join.
+
+def same_list_for_all(users: DataFrame, top: DataFrame, n: int | None) -> DataFrame:
+    """Give every user the ``n`` best rows of ``top`` (item_id, score), or all of them.
+
+    A list of at most ``n`` entries reaches the users as a scalar array, not as a join. Without
+    a limit the list has the length of the catalogue: its entries are numbered by a range sort
+    and meet the users slice by slice.
     """
+    if n is None:
+        return _whole_list_for_all(users, top)
     entry = F.struct((-F.col("score")).alias("key"), "item_id", "score")
     best = top.orderBy(F.desc("score"), F.asc("item_id")).limit(n)
     listed = best.agg(F.sort_array(F.collect_list(entry))).scalar()
@@ -72,6 +81,39 @@ def same_list_for_all(users: DataFrame, top: DataFrame, n: int) -> DataFrame:
     )
 
 
+def _whole_list_for_all(users: DataFrame, top: DataFrame) -> DataFrame:
+    scored = top.select("item_id", F.col("score").cast("double").alias("score"))
+    key = F.col("score").desc(), F.col("item_id").asc()
+    bits = F.lit((1 << 33) - 1)
+    dealt = cut_lineage(
+        scored.repartitionByRange(*key)
+        .sortWithinPartitions(*key)
+        .withColumns(
+            {
+                "_task": F.spark_partition_id(),
+                "_at": F.monotonically_increasing_id().bitwiseAND(bits),
+            }
+        )
+    )
+    before = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    # A row for every task.
+    tasks = dealt.groupBy("_task").agg(F.count(F.lit(1)).alias("_n"))
+    tasks = tasks.select("_task", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    placed = dealt.join(tasks, "_task").withColumn("rank", F.col("_before") + F.col("_at") + 1)
+    slices = cut_lineage(
+        placed.groupBy(F.floor((F.col("rank") - 1) / LIST_SLICE).alias("_slice")).agg(
+            F.collect_list(F.struct("item_id", "score", F.col("rank").cast("int").alias("rank"))).alias("_e")
+        )
+    )
+    many = slices.agg(F.coalesce(F.max("_slice"), F.lit(-1))).scalar()
+    return (
+        users.select("uid", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(many, F.lit(0)))).alias("_slice"))
+        .join(slices, "_slice")
+        .select("uid", F.explode("_e").alias("_e"))
+        .select("uid", "_e.*")
+    )
+
+
 def ranked(df: DataFrame, n: int | None) -> DataFrame:
     """(uid, item_id, score) to the best ``n`` (or all) per user with their rank."""
     scored = df.select("uid", "item_id", F.col("score").cast("double").alias("score"))

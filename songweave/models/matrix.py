@@ -6,7 +6,10 @@ The matrix is a long table (uid, item_id, weight); no matrix object exists anywh
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.recommendation import ALS as ImplicitALS
 from pyspark.ml.stat import Summarizer
@@ -90,19 +93,80 @@ def bm25_weights(weights: DataFrame, k1: float = 0.1, b: float = 0.75) -> DataFr
 
 
 def similar_items(weighted: DataFrame, k: int = 200) -> DataFrame:
-    """The ``k`` items with the largest inner product per item, itself included."""
-    entries = weighted.where(F.col("weight") != 0)
-    products = product_sum(
-        entries.select("uid", "item_id", "weight"),
-        entries.select("uid", F.col("item_id").alias("neighbor"), "weight"),
+    """The ``k`` items with the largest inner product per item, itself included.
+
+    Products are summed for one order of each two items and mirrored.
+    """
+    entries = cut_lineage(weighted.where(F.col("weight") != 0).select("uid", "item_id", "weight"))
+    half = product_sum(
+        entries,
+        entries.withColumnRenamed("item_id", "neighbor"),
         "uid",
         "item_id",
         "neighbor",
         "similarity",
+        where=F.col("_i") <= F.col("_j"),
     )
+    turned = F.struct(F.col("neighbor").alias("item_id"), F.col("item_id").alias("neighbor"))
+    ends = F.array(F.struct("item_id", "neighbor"), turned)
+    both = F.when(F.col("item_id") == F.col("neighbor"), F.slice(ends, 1, 1)).otherwise(ends)
+    products = half.select(F.explode(both).alias("_e"), "similarity").select("_e.*", "similarity")
     return top_per_key(products, "item_id", "similarity", k, tie="neighbor")
 
 
+def summed_lists(rows: DataFrame, n: int | None) -> DataFrame:
+    """(uid, item_id, score): each user's sums of weight * similarity over the lists of its rows
+    (uid, weight, items, similarities), and of those at least the ``n`` largest above 0.
+
+    A user's rows follow each other in one task, which keeps a sum for every item met so far;
+    what is below the ``n``-th by more than rounding goes before anything is sorted.
+    """
+    ordered = rows.repartition("uid").sortWithinPartitions("uid")
+
+    def compact(users, items, scores):
+        order = np.lexsort([items, users])
+        users, items, scores = users[order], items[order], scores[order]
+        new = np.append(True, (np.diff(users) != 0) | (np.diff(items) != 0)) if len(users) else []
+        starts = np.flatnonzero(new)
+        return users[starts], items[starts], np.add.reduceat(scores, starts) if len(starts) else scores
+
+    def best(users, items, scores) -> pa.RecordBatch:
+        keep = scores > 0
+        users, items, scores = users[keep], items[keep], scores[keep]
+        starts = np.flatnonzero(np.append(True, np.diff(users) != 0)) if len(users) else np.empty(0, int)
+        kept = []
+        for s, e in zip(starts.tolist(), np.append(starts[1:], len(users)).tolist()):
+            own = scores[s:e]
+            if n is None or e - s <= n:
+                kept.append(np.arange(s, e))
+            else:
+                least = np.partition(own, e - s - n)[e - s - n]
+                kept.append(s + np.flatnonzero(own >= least * (1 - 1e-7)))
+        kept = np.concatenate(kept) if kept else np.empty(0, np.int64)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(users[kept]), pa.array(items[kept]), pa.array(scores[kept])],
+            ["uid", "item_id", "score"],
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+        for batch in batches:
+            lists = batch.column("items")
+            sizes = lists.value_lengths().to_numpy()
+            users = np.repeat(batch.column("uid").to_numpy(), sizes)
+            scores = np.repeat(batch.column("weight").to_numpy(), sizes)
+            scores = scores * batch.column("similarities").flatten().to_numpy()
+            found = users, lists.flatten().to_numpy(), scores
+            held = compact(*[np.concatenate(c) for c in zip(held, found)])
+            if len(held[0]):
+                done = np.searchsorted(held[0], held[0][-1])
+                yield best(*[c[:done] for c in held])
+                held = tuple(c[done:] for c in held)
+        yield best(*held)
+
+    return ordered.mapInArrow(run, "uid long, item_id long, score double")
+
+
 class BM25(RetrievalModel):
     """Item neighbours by BM25-weighted co-listening; a list is the user's row times them."""
 
@@ -127,20 +191,18 @@ class BM25(RetrievalModel):
         self.state = {"weights": weights, "similar": cut_lineage(similar)}
         return self
 
-    def recommend(self, users: DataFrame, n: int = MAX_PREDICTIONS) -> DataFrame:
+    def recommend(self, users: DataFrame, n: int | None = MAX_PREDICTIONS) -> DataFrame:
         rows = self.state["weights"].where(F.col("weight") > 0)
         rows = rows.join(users.select("uid").distinct(), "uid", "left_semi")
         # At most K neighbours per item travel as one array.
-        lists = self.state["similar"].groupBy("item_id").agg(
-            F.collect_list(F.struct("neighbor", "similarity")).alias("_near")
-        )
-        met = rows.join(lists, "item_id").select(
-            "uid", "weight", F.explode("_near").alias("_e")
-        )
-        scores = met.groupBy("uid", F.col("_e.neighbor").alias("item_id")).agg(
-            F.sum(F.col("weight") * F.col("_e.similarity")).alias("score")
+        lists = (
+            self.state["similar"]
+            .groupBy("item_id")
+            .agg(F.collect_list(F.struct("neighbor", "similarity")).alias("near"))
+            .select("item_id", F.col("near.neighbor").alias("items"), F.col("near.similarity").alias("similarities"))
         )
-        return ranked(scores.where(F.col("score") > 0), n)
+        met = rows.join(lists, "item_id").select("uid", "weight", "items", "similarities")
+        return ranked(summed_lists(met, n), n)
 
 
 class FactorModel(RetrievalModel):

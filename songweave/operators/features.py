@@ -183,7 +183,8 @@ def pair_profile(df: DataFrame, meta: DataFrame) -> DataFrame:
     """Signals per (uid, item_id) plus the user's listens of the item's artist and album.
 
     Raw rows are reduced to pairs before anything is joined. Both artist and album sums run
-    on one partitioning by user, where a user has at most one row per catalogue item.
+    on one partitioning by user, where a user has at most one row per catalogue item. An item
+    that the metadata repeats belongs to the smallest artist and the smallest album of its rows.
     """
     heard = F.col("event_type") == LISTEN
     listens = F.count_if(heard)
@@ -204,7 +205,9 @@ def pair_profile(df: DataFrame, meta: DataFrame) -> DataFrame:
             ),
         )
     )
-    owners = meta.select("item_id", "artist_id", "album_id")
+    owners = meta.groupBy("item_id").agg(
+        F.min("artist_id").alias("artist_id"), F.min("album_id").alias("album_id")
+    )
     tagged = pairs.join(owners, "item_id", "left").repartition("uid")
 
     def listens_of(owner: str) -> Column:

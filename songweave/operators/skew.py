@@ -9,7 +9,7 @@ plan itself. ``product_sum`` bounds what one key can cost when both sides are lo
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # A key is hot when it holds more than this share of the rows, so there can be at most
@@ -75,13 +75,15 @@ def product_sum(
     right_id: str,
     value: str = "value",
     chunk: int = CHUNK,
+    where: Column | None = None,
 ) -> DataFrame:
     """Sparse matrix product: sum over ``key`` of left(key, left_id) * right(key, right_id).
 
     Both inputs have one row per cell and a ``weight`` column. Products stream from the join
     straight into the map-side partial sum, so single pairs never reach a shuffle. A long key
     is cut into slices of about ``chunk`` entries on both sides and every pair of slices is
-    its own join key, which bounds the work of one key's task by chunk².
+    its own join key, which bounds the work of one key's task by chunk². ``where`` picks cells of
+    the product, by their ids ``_i`` and ``_j``.
     """
     # Slices per key and side; keys that one side lacks produce nothing.
     chunks = (
@@ -106,6 +108,8 @@ def product_sum(
     pairs = sliced(left, left_id, "_i", "a", "b").join(
         sliced(right, right_id, "_j", "b", "a"), [key, "a", "b"]
     )
+    if where is not None:
+        pairs = pairs.where(where)
     return pairs.groupBy(F.col("_i").alias(left_id), F.col("_j").alias(right_id)).agg(
         F.sum(F.col("_iw") * F.col("_jw")).alias(value)
     )
