@@ -8,10 +8,20 @@ from pyspark.sql import functions as F
 from songweave.llm.common import store
 
 
-def _directed(edges: DataFrame) -> DataFrame:
-    return edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where(
-        "a <> b"
+def _turned(edges: DataFrame) -> DataFrame:
+    return edges.select(F.col("b").alias("a"), F.col("a").alias("b"))
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every vertex has one link down, and no centre has one of its own."""
+    ends = edges.select(F.col("a").alias("v"), F.col("b").alias("down")).unionAll(
+        edges.select(F.col("b").alias("v"), F.lit(None).cast("long").alias("down"))
     )
+    down, centre = F.count("down"), F.count_if(F.col("down").isNull())
+    seen = ends.groupBy("v").agg(
+        (F.min("down") < F.max("down")).alias("two"), ((down > 0) & (centre > 0)).alias("inner")
+    )
+    return seen.where("two or inner").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -22,33 +32,24 @@ def components(edges: DataFrame) -> DataFrame:
     The rounds end when only stars are left, after a number that grows with the logarithm of
     the longest path. No vertex's neighbours are ever collected.
     """
-    current = store(_directed(edges).distinct())
+    down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    current = store(down.where("a <> b").distinct())
     if current.isEmpty():
         return current.select(F.col("a").alias("id"), F.col("b").alias("component"))
-    while True:
-        both = current.unionAll(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    while not _are_stars(current):
         # Large star: links to neighbours above a vertex go to the least of it and its neighbours.
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("least"))
-        large = (
-            current.select(F.col("b").alias("v"), F.col("a").alias("above"))
-            .join(least.withColumnRenamed("a", "v"), "v")
-            .select(F.col("above").alias("a"), F.col("least").alias("b"))
+        least = current.unionAll(_turned(current)).groupBy("a").agg(
+            F.least(F.min("b"), F.first("a")).alias("least")
         )
-        large = store(large.distinct())
+        above = _turned(current).withColumnRenamed("b", "above").join(least, "a")
+        large = store(above.select(F.col("above").alias("a"), F.col("least").alias("b")))
         # Small star: a vertex and its neighbours below it go to the least of them.
         least = large.groupBy("a").agg(F.min("b").alias("least"))
-        below = large.join(least, "a")
-        small = (
-            below.select(F.col("b").alias("a"), F.col("least").alias("b"))
-            .unionAll(least.select("a", F.col("least").alias("b")))
-            .where("a <> b")
+        moved = large.join(least, "a").select(
+            "a", F.explode(F.array("a", "b")).alias("v"), F.col("least").alias("to")
+        )
+        current = store(
+            moved.where("v <> to").select(F.col("v").alias("a"), F.col("to").alias("b")).distinct()
         )
-        following = store(small.distinct())
-        # Stars: every vertex has one link, and no centre has a link of its own.
-        twice = following.groupBy("a").count().where("count > 1").select("a")
-        inner = following.join(following.select(F.col("a").alias("b")), "b", "left_semi")
-        if not twice.unionAll(inner.select("a")).limit(1).count():
-            break
-        current = following
-    centres = following.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
-    return following.select(F.col("a").alias("id"), F.col("b").alias("component")).unionAll(centres)
+    centres = current.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
+    return current.select(F.col("a").alias("id"), F.col("b").alias("component")).unionAll(centres)

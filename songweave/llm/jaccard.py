@@ -9,9 +9,9 @@ overlap enough, as components.
    order of how many documents have them, as a table of ``2 ** SKETCH_BITS`` counters over all
    documents says, whose size doesn't depend on the data; it changes only the cost. A shingle's
    classes are a leaf, and of leaves with the same classes one is kept.
-3. Large leaves are first linked to two pivots, then what lies outside a leaf's main component
-   to random members of it, until that finds no link; what one component holds needs no further
-   check.
+3. Large leaves are first linked to two pivots. In leaves of several blocks, what lies outside the
+   main component is then linked to random members of it, until that finds no link; what one
+   component holds needs no further check.
 4. Within a leaf an R-tree over count vectors of ``GROUPS`` groups finds the pairs whose summed
    coordinate minima, which bound the overlap from above, reach what their sizes demand; at its
    points the vectors' finer groups decide. A pair counts in the first leaf that both are in.
@@ -54,7 +54,7 @@ GROUPS = 1 << GROUP_BITS
 # log2 of the most groups of a vector, so its size is bounded.
 LEAF_BITS = 9
 # log2 of the counters that order shingles by how common they are.
-SKETCH_BITS = 22
+SKETCH_BITS = 24
 # Leaves above this size are linked to pivots first.
 LEAF = 64
 # A task's block of a leaf: the classes, and the shingles of all their sets.
@@ -129,17 +129,17 @@ def levels_of(docs: DataFrame, k: int) -> np.ndarray:
     number, in a byte. Tasks count for themselves, and their tables are added up in groups."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << SKETCH_BITS, np.int64)
+        counts = np.zeros(1 << SKETCH_BITS, np.uint32)
         for batch in common.slices(batches):
             for found in text_sets(common.bytes_of(batch.column("text")), k):
                 np.add.at(counts, (found >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
-        packed = zstandard.compress(counts.astype("<i8").tobytes(), 1)
+        packed = zstandard.compress(counts.astype("<f4").tobytes(), 1)
         yield pa.RecordBatch.from_arrays(
             [pa.array([TaskContext.get().partitionId()]), pa.array([packed])], ["part", "counts"]
         )
 
     def added(pdf: pd.DataFrame) -> pd.DataFrame:
-        counts = sum(np.frombuffer(zstandard.decompress(c), "<i8") for c in pdf["counts"])
+        counts = sum(np.frombuffer(zstandard.decompress(c), "<f4") for c in pdf["counts"])
         part = int(pdf["part"].iloc[0]) // common.FAN
         return pd.DataFrame({"part": [part], "counts": [zstandard.compress(counts.tobytes(), 1)]})
 
@@ -147,8 +147,8 @@ def levels_of(docs: DataFrame, k: int) -> np.ndarray:
     one = common.merged_parts(docs.select("text").mapInArrow(run, schema), added, schema)
     if one is None:
         return np.zeros(1 << SKETCH_BITS, np.uint8)
-    counts = np.frombuffer(zstandard.decompress(one["counts"]), "<i8")
-    return np.minimum(4 * np.log2(counts + 1.0), 255).astype(np.uint8)
+    counts = np.frombuffer(zstandard.decompress(one["counts"]), "<f4")
+    return np.minimum(4 * np.log2(counts + 1), 255).astype(np.uint8)
 
 
 def in_sorted(values: np.ndarray, table: np.ndarray) -> np.ndarray:
@@ -453,7 +453,7 @@ def _links(k: int, num: int, den: int):
 # --------------------------------------------------------------------------- the join
 
 
-def _packed(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def _texts(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
     """(class, packed): the compressed text of the row that names each wanted class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -461,18 +461,15 @@ def _packed(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         for batch in common.slices(batches):
             texts = map(pack.compress, common.bytes_of(batch.column("text")))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("mark"), pa.array(texts, pa.binary())],
-                ["id", "mark", "packed"],
+                [batch.column("class"), pa.array(texts, pa.binary())], ["class", "packed"]
             )
 
     # Ids may repeat on rows of other texts: the mark picks the right one.
-    packed = docs.mapInArrow(run, "id long, mark long, packed binary")
-    return (
-        packed.join(wanted, ["id", "mark"])
-        .groupBy("id", "mark")
-        .agg(F.first("class").alias("class"), F.first("packed").alias("packed"))
-        .select("class", "packed")
+    rows = store(wanted.distinct().join(classes.select("class", "id", "mark"), "class"))
+    packed = docs.join(rows, ["id", "mark"]).select("class", "text").mapInArrow(
+        run, "class long, packed binary"
     )
+    return store(packed.groupBy("class").agg(F.first("packed").alias("packed")))
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
@@ -500,10 +497,17 @@ def _verified(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int) ->
         return store(both.mapInArrow(run, "a long, b long"))
 
 
-def _joined(merged: DataFrame, links: DataFrame) -> DataFrame:
-    """Components of links between what earlier components hold."""
-    stars = merged.where("id <> component")
-    return components(stars.select(F.col("id").alias("a"), F.col("component").alias("b")).unionAll(links))
+def _nearer(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(id, component) after one more step over some links: the least label of a class and its
+    neighbours. Classes with one label are connected; that others aren't, it doesn't say."""
+    both = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    if labels is None:
+        own = both.select(F.col("a").alias("id"), F.least("a", "b").alias("component"))
+    else:
+        met = both.join(labels.withColumnRenamed("id", "b"), "b", "left")
+        own = met.select(F.col("a").alias("id"), F.least("a", F.coalesce("component", "b")).alias("component"))
+        own = own.unionAll(labels)
+    return store(own.groupBy("id").agg(F.min("component").alias("component")))
 
 
 def _outsiders(big: DataFrame, merged: DataFrame, turn: int) -> DataFrame:
@@ -543,23 +547,41 @@ def _outsiders(big: DataFrame, merged: DataFrame, turn: int) -> DataFrame:
     ).distinct()
 
 
-def _leaves(classes: DataFrame) -> DataFrame:
+def _leaves(classes: DataFrame, num: int, den: int) -> DataFrame:
     """(leaf, class, n, rows, weight): the classes of every leaf that several share, with the
-    leaf's classes and shingles. Of leaves with the same classes, known by 128 bits of their
+    leaf's classes and shingles.
+
+    A class whose set no other of its leaf comes near in size goes: next to it in the order of
+    sizes stands the one that would. Of leaves with the same classes, known by 128 bits of their
     hashes, one stays: the others lead to the same pairs."""
     leaves = classes.select(F.explode("first").alias("leaf"), "class", "n")
-    sizes = leaves.groupBy("leaf").agg(
-        F.count(F.lit(1)).alias("rows"), F.sum("n").alias("weight")
-    )
+    sizes = leaves.groupBy("leaf").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    by_size = Window.partitionBy("leaf").orderBy("n", "class")
+    before, after = F.lag("n").over(by_size), F.lead("n").over(by_size)
+    fits = (before * den >= F.col("n") * num) | (F.col("n") * den >= after * num)
     with common.scope():
-        shared = store(leaves.join(store(sizes.where("rows > 1")), "leaf"))
+        shared = leaves.join(store(sizes), "leaf")
+        small = shared.where(F.col("rows") <= BLOCK).withColumn("fits", fits).where("fits")
+        large = shared.where(F.col("rows") > BLOCK)
+        names = ["leaf", "class", "n"]
+        shared = store(small.select(*names).unionAll(large.select(*names)))
         kept = (
-            shared.groupBy("leaf", "rows")
-            .agg(*[F.bit_xor(F.xxhash64("class", F.lit(seed))).alias(f"h{seed}") for seed in (1, 2)])
-            .groupBy("rows", "h1", "h2")
+            shared.groupBy("leaf")
+            .agg(
+                F.count(F.lit(1)).alias("rows"),
+                F.sum("n").alias("weight"),
+                *[F.bit_xor(F.xxhash64("class", F.lit(seed))).alias(f"h{seed}") for seed in (1, 2)],
+            )
+            .groupBy("rows", "weight", "h1", "h2")
             .agg(F.min("leaf").alias("leaf"))
         )
-        return store(shared.join(kept.select("leaf"), "leaf", "left_semi"), outer=True)
+        return store(shared.join(kept.select("leaf", "rows", "weight"), "leaf"), outer=True)
+
+
+def _parts() -> Column:
+    """The blocks of a leaf."""
+    parts = F.greatest(F.col("rows") / BLOCK, F.col("weight") / BLOCK_SHINGLES)
+    return F.ceil(parts).cast("int")
 
 
 def _blocks(placed: DataFrame) -> DataFrame:
@@ -568,8 +590,7 @@ def _blocks(placed: DataFrame) -> DataFrame:
 
     A leaf of several blocks has those of its main component first: they meet all others but
     not each other."""
-    parts = F.ceil(F.greatest(F.col("rows") / BLOCK, F.col("weight") / BLOCK_SHINGLES)).cast("int")
-    placed = placed.withColumn("parts", parts)
+    placed = placed.withColumn("parts", _parts())
     main = (
         placed.where("parts > 1")
         .groupBy("leaf", "component", "parts", "rows")
@@ -618,9 +639,7 @@ def _in_leaves(rows: DataFrame) -> DataFrame:
 def _class_components(docs: DataFrame, classes: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """(id, component) of every class that links with another."""
     spark = docs.sparkSession
-    members = _leaves(classes)
-    wanted = members.select("class").distinct().join(classes.select("class", "id", "mark"), "class")
-    texts = store(_packed(docs, store(wanted)))
+    members = _leaves(classes, num, den)
     vectors = classes.select("class", "n", "vector")
     # Large leaves: everyone against two pivots, verified, so that most are linked already.
     big = members.where(F.col("rows") > LEAF).select("leaf", "class")
@@ -632,16 +651,23 @@ def _class_components(docs: DataFrame, classes: DataFrame, k: int, num: int, den
         .select(F.least("class", "end").alias("a"), F.greatest("class", "end").alias("b"))
         .distinct()
     )
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("class"))
+        return _verified(pairs, _texts(docs, classes, ends), k, num, den)
+
     near = store(_bounded(pivots, vectors, num, den))
-    merged = components(_verified(near, texts, k, num, den))
-    for turn in range(ROUNDS):
-        proposed = _outsiders(big, merged, turn).join(near, ["a", "b"], "left_anti")
+    found = linked(near)
+    merged = _nearer(_nearer(None, found), found)
+    wide = store(members.where(_parts() > 1).select("leaf", "class"))
+    for turn in range(0 if wide.isEmpty() else ROUNDS):
+        proposed = _outsiders(wide, merged, turn).join(near, ["a", "b"], "left_anti")
         proposed = store(_bounded(proposed, vectors, num, den))
-        links = _verified(proposed, texts, k, num, den)
+        links = linked(proposed)
         if links.isEmpty():
             break
-        near = near.unionAll(proposed)
-        merged = _joined(merged, links)
+        near, found = near.unionAll(proposed), found.unionAll(links)
+        merged = _nearer(_nearer(merged, links), links)
     placed = members.join(merged.withColumnRenamed("id", "class"), "class", "left").withColumn(
         "component", F.coalesce("component", "class")
     )
@@ -656,16 +682,17 @@ def _class_components(docs: DataFrame, classes: DataFrame, k: int, num: int, den
     before = Window.partitionBy("class").orderBy("leaf").rowsBetween(Window.unboundedPreceding, -1)
     dealt = (
         _blocks(placed.withColumn("earlier", F.collect_list("leaf").over(before)))
-        .drop("n")
+        .drop("n", "rows", "weight")
         .join(vectors, "class")
         .select("leaf", "x", "y", "block", F.col("class").alias("id"), "n", "vector", "component", "earlier")
     )
     schema = "leaf long, x int, y int, id long, component long"
     met = store(_in_leaves(dealt).mapInPandas(_candidates(num, den), schema))
+    texts = _texts(docs, classes, met.select(F.col("id").alias("class")))
     with_texts = met.join(texts.withColumnRenamed("class", "id"), "id")
     with common.small_batches(spark, TEXT_ROWS):
         links = store(_in_leaves(with_texts).mapInPandas(_links(k, num, den), "a long, b long"))
-    return _joined(merged, links.distinct())
+    return components(found.unionAll(links))
 
 
 def jaccard_components(
