@@ -1,12 +1,15 @@
 """Approximate nearest neighbours by robust-pruned directed graphs, one for each shard.
 
-Vectors are dealt to shards by a hash of their id. A shard's graph is built by inserting its
-vectors in batches: a greedy beam search over the graph so far proposes neighbours, pruning
-with a relaxed distance keeps diverse ones, and reverse edges are added and pruned alike.
-Graphs are stored. Queries go to every shard in blocks, a beam search answers each, and the
-answers are merged. Equal vectors of a shard are one node that knows its smallest ids.
+Vectors are dealt to shards by a hash of their id. Within a shard, vectors whose directions agree
+to about 0.01 rad are one node, whose first vector leads it: leaders lie far enough apart for
+single precision. A shard's graph over the leaders is built by inserting them in batches: a greedy
+beam search over the graph so far proposes neighbours, pruning with a relaxed distance keeps
+diverse ones, and reverse edges are added and pruned alike. Graphs are stored. Queries go to
+every shard in blocks, a beam search answers each, all vectors of all nodes of the beam are
+scored, and the answers are merged.
 
-Nearness is the cosine; scores are computed in double precision on the original vectors.
+Nearness is the cosine; scores are computed in double precision on the original vectors. Equal
+vectors of a shard are kept once, with their smallest ids.
 
 Edge cases: vectors that are null, empty, zero or hold null or non-finite components take no
 part, neither as queries nor as candidates; vectors of different lengths never meet; rows that
@@ -24,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from songweave.llm.common import store
+from songweave.llm.common import small_batches, store
 
 SHARD_ROWS = 8192  # expected size of a shard: bounds a task's memory
 QUERY_BLOCK = 2048
@@ -32,8 +35,15 @@ DEGREE = 32
 BUILD_BEAM, SEARCH_BEAM = 64, 192
 RELAX = 1.2
 EXPAND = 4  # nodes whose edges are followed at once
+NEAR = 1 - 5e-5  # cosine from which on vectors share a node
+PAIRS = 1 << 16  # vectors that are scored in double precision at once
+JOB_ROWS = 2  # rows of a graph and a block of queries, in memory at once
 
-GRAPHS = "shard long, dim int, entry int, ids binary, id_counts binary, vectors binary, edges binary"
+GRAPHS = (
+    "shard long, dim int, entry int, ids binary, id_counts binary, vectors binary, "
+    "node_counts binary, edges binary"
+)
+FOUND = "query_id long, vec_id long, score double"
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -155,6 +165,32 @@ def build_graph(points: np.ndarray) -> tuple[np.ndarray, int]:
     return edges, entry
 
 
+def leaders(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(leaders, node of each row) of unit vectors: a row joins the nearest earlier leader that
+    is near, or leads a node itself."""
+    node, lead = np.full(len(points), -1, np.int64), np.empty(0, np.int64)
+    for at in range(0, len(points), 1024):
+        block = points[at : at + 1024]
+        own = np.full(len(block), -1, np.int64)
+        if len(lead):
+            cosine = block @ points[lead].T
+            best = cosine.argmax(1)
+            close = cosine[np.arange(len(block)), best] >= NEAR
+            own[close] = best[close]
+        open_ = np.flatnonzero(own < 0)
+        near = block[open_] @ block[open_].T >= NEAR
+        left, new = np.ones(len(open_), np.bool_), []
+        for i in range(len(open_)):
+            if left[i]:
+                near[i, i] = True
+                own[open_[near[i] & left]] = len(lead) + len(new)
+                left &= ~near[i]
+                new.append(at + open_[i])
+        lead = np.concatenate([lead, np.array(new, np.int64)])
+        node[at : at + 1024] = own
+    return lead, node
+
+
 def usable(vector: str):
     """Whether a vector takes part."""
     column = F.col(vector)
@@ -164,44 +200,55 @@ def usable(vector: str):
     return column.isNotNull() & (F.size(column) > 0) & finite & F.exists(column, lambda x: x != 0)
 
 
+def _one_per_id(vectors: DataFrame, id_: str, vector: str) -> DataFrame:
+    """(id, vector, dim) of the vectors that take part."""
+    rows = vectors.where(usable(vector) & F.col(id_).isNotNull()).select(
+        F.col(id_).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vector")
+    )
+    once = rows.groupBy("id").agg(F.min("vector").alias("vector"))
+    return once.withColumn("dim", F.size("vector"))
+
+
+def pack_graph(ids: np.ndarray, vectors: np.ndarray, k: int) -> dict:
+    """A shard's graph over its vectors, of which equal ones are kept once."""
+    distinct, member = np.unique(vectors, axis=0, return_inverse=True)
+    member = member.ravel()
+    _, node = leaders(unit(distinct).astype(np.float32))
+    # Vectors node by node, the leader first: it is the node's first in the order of rows.
+    by_node = np.argsort(node, kind="stable")
+    place = np.empty(len(distinct), np.int64)
+    place[by_node] = np.arange(len(distinct))
+    by = np.lexsort([ids, place[member]])
+    counts = np.bincount(place[member], minlength=len(distinct))
+    at = np.arange(len(by)) - np.repeat(np.cumsum(counts) - counts, counts)
+    distinct, sizes = distinct[by_node], np.bincount(node)
+    first = np.cumsum(sizes) - sizes
+    edges, entry = build_graph(unit(distinct[first]).astype(np.float32))
+    return {
+        "entry": entry,
+        "ids": ids[by][at <= k].astype("<i8").tobytes(),
+        "id_counts": np.minimum(counts, k + 1).astype("<i4").tobytes(),
+        "vectors": distinct.astype("<f8").tobytes(),
+        "node_counts": sizes.astype("<i4").tobytes(),
+        "edges": edges.astype("<i4").tobytes(),
+    }
+
+
 def build_index(
     vectors: DataFrame, k: int, id_: str = "vec_id", vector: str = "embedding"
 ) -> DataFrame:
-    """Stored graphs, one row per shard and vector length; nodes keep their ``k + 1`` smallest ids,
-    which is all that a search for ``k`` can return of equal vectors."""
+    """Stored graphs, one row per shard and vector length; of equal vectors the ``k + 1`` smallest
+    ids are kept, which is all that a search for ``k`` can return of them."""
     shards = max(1, -(-vectors.count() // SHARD_ROWS))
-    rows = vectors.where(usable(vector) & F.col(id_).isNotNull()).select(
-        F.col(id_).cast("long").alias("id"),
-        F.col(vector).cast("array<double>").alias("vector"),
-        F.size(vector).alias("dim"),
-        F.pmod(F.xxhash64(F.col(id_).cast("long")), F.lit(shards)).alias("shard"),
+    rows = _one_per_id(vectors, id_, vector).withColumn(
+        "shard", F.pmod(F.xxhash64("id"), F.lit(shards))
     )
 
     def build(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        all_vectors = np.array(pdf["vector"].tolist(), np.float64)
-        ids = pdf["id"].to_numpy(np.int64)
-        order = np.lexsort([*all_vectors.T[::-1], ids])
-        ids, all_vectors = ids[order], all_vectors[order]
-        first = np.append(True, ids[1:] != ids[:-1])
-        ids, all_vectors = ids[first], all_vectors[first]
-        nodes, member = np.unique(all_vectors, axis=0, return_inverse=True)
-        member = member.ravel()
-        by = np.lexsort([ids, member])
-        counts = np.bincount(member, minlength=len(nodes))
-        place = np.arange(len(by)) - np.repeat(np.cumsum(counts) - counts, counts)
-        kept = ids[by][place <= k]
-        edges, entry = build_graph(unit(nodes).astype(np.float32))
-        return pd.DataFrame(
-            {
-                "shard": [key[0]],
-                "dim": [key[1]],
-                "entry": [entry],
-                "ids": [kept.astype("<i8").tobytes()],
-                "id_counts": [np.minimum(counts, k + 1).astype("<i4").tobytes()],
-                "vectors": [nodes.astype("<f8").tobytes()],
-                "edges": [edges.astype("<i4").tobytes()],
-            }
-        )
+        pdf = pdf.sort_values("id")
+        found = np.array(pdf["vector"].tolist(), np.float64)
+        graph = pack_graph(pdf["id"].to_numpy(np.int64), found, k)
+        return pd.DataFrame([{"shard": key[0], "dim": key[1], **graph}])
 
     return store(rows.groupBy("shard", "dim").applyInPandas(build, GRAPHS))
 
@@ -210,34 +257,47 @@ def search_graph(
     graph: dict, query_ids: np.ndarray, queries: np.ndarray, k: int
 ) -> pd.DataFrame:
     """Each query's ``k`` best ids of one shard with their scores."""
-    dim = graph["dim"]
-    vectors = np.frombuffer(graph["vectors"], "<f8").reshape(-1, dim)
-    edges = np.frombuffer(graph["edges"], "<i4").reshape(len(vectors), -1).astype(np.int64)
+    vectors = np.frombuffer(graph["vectors"], "<f8").reshape(-1, graph["dim"])
+    sizes = np.frombuffer(graph["node_counts"], "<i4").astype(np.int64)
+    edges = np.frombuffer(graph["edges"], "<i4").reshape(len(sizes), -1).astype(np.int64)
     ids, counts = np.frombuffer(graph["ids"], "<i8"), np.frombuffer(graph["id_counts"], "<i4")
     starts = np.cumsum(counts) - counts
+    first = np.cumsum(sizes) - sizes
     exact, asked = unit(vectors), unit(queries)
-    points, wanted = exact.astype(np.float32), asked.astype(np.float32)
-    frames = []
+    points, wanted = exact[first].astype(np.float32), asked.astype(np.float32)
+    out = []
+
+    def spread(begin: np.ndarray, many: np.ndarray) -> np.ndarray:
+        return np.repeat(begin - (np.cumsum(many) - many), many) + np.arange(many.sum())
+
+    def scored(row: np.ndarray, node: np.ndarray) -> None:
+        """Appends the best of the vectors of nodes, each for the query of its row."""
+        row = np.repeat(row, sizes[node])
+        vector = spread(first[node], sizes[node])
+        score = np.einsum("ij,ij->i", asked[row], exact[vector])
+        many = counts[vector].astype(np.int64)
+        found = ids[spread(starts[vector], many)]
+        row, score = np.repeat(row, many), np.repeat(score, many)
+        other = query_ids[row] != found
+        row, score, found = row[other], score[other], found[other]
+        order = np.lexsort([found, -score, row])
+        row, score, found = row[order], score[order], found[order]
+        new = np.flatnonzero(np.append(True, np.diff(row) != 0)) if len(row) else np.empty(0, int)
+        rank = np.arange(len(row)) - np.repeat(new, np.diff(np.append(new, len(row))))
+        best = rank < k
+        out.append((query_ids[row[best]], found[best], score[best]))
+
     for at in range(0, len(queries), 256):
-        part = slice(at, at + 256)
-        nodes, _ = beam_search(points, edges, graph["entry"], wanted[part], SEARCH_BEAM)
-        nodes = nodes[:, : 2 * k + 2]
+        nodes, _ = beam_search(points, edges, graph["entry"], wanted[at : at + 256], SEARCH_BEAM)
         row, col = np.nonzero(nodes >= 0)
         node = nodes[row, col]
-        score = np.einsum("ij,ij->i", asked[part][row], exact[node])
-        many = counts[node]
-        spread = np.repeat(starts[node] - (np.cumsum(many) - many), many) + np.arange(many.sum())
-        frame = pd.DataFrame(
-            {
-                "query_id": np.repeat(query_ids[part][row], many),
-                "vec_id": ids[spread],
-                "score": np.repeat(score, many),
-            }
-        )
-        frame = frame[frame["query_id"] != frame["vec_id"]]
-        frame = frame.sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True])
-        frames.append(frame.groupby("query_id", sort=False).head(k))
-    return pd.concat(frames, ignore_index=True)
+        # Whole queries at a time, of about ``PAIRS`` vectors.
+        work = np.bincount(row, weights=sizes[node], minlength=len(nodes)).cumsum()
+        for part in np.unique(work // PAIRS):
+            mine = (work // PAIRS == part)[row]
+            scored(at + row[mine], node[mine])
+    columns = [np.concatenate(c) for c in zip(*out)]
+    return pd.DataFrame(dict(zip(["query_id", "vec_id", "score"], columns)))
 
 
 def search(
@@ -250,28 +310,17 @@ def search(
     """(query_id, rank, vec_id, score): the ``k`` nearest found for every query.
 
     Queries are packed into blocks of bounded size, and every block meets every shard's graph
-    of the same vector length in a task of its own.
+    of the same vector length. Blocks travel to the graphs, which stay where they are.
     """
-    rows = queries.where(usable(vector) & F.col(id_).isNotNull()).select(
-        F.col(id_).cast("long").alias("id"),
-        F.col(vector).cast("array<double>").alias("vector"),
-        F.size(vector).alias("dim"),
-    )
+    rows = _one_per_id(queries, id_, vector)
     blocks = max(1, -(-queries.count() // QUERY_BLOCK))
-    shards = index.select(F.col("shard").alias("shard"), "dim")
 
     def pack(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        found = np.array(pdf["vector"].tolist(), np.float64)
-        ids = pdf["id"].to_numpy(np.int64)
-        order = np.lexsort([*found.T[::-1], ids])
-        ids, found = ids[order], found[order]
-        first = np.append(True, ids[1:] != ids[:-1])
+        pdf = pdf.sort_values("id")
+        found = np.array(pdf["vector"].tolist(), "<f8")
+        ids = pdf["id"].to_numpy("<i8")
         return pd.DataFrame(
-            {
-                "dim": [key[1]],
-                "query_ids": [ids[first].astype("<i8").tobytes()],
-                "queries": [found[first].astype("<f8").tobytes()],
-            }
+            {"dim": [key[1]], "query_ids": [ids.tobytes()], "queries": [found.tobytes()]}
         )
 
     packed = (
@@ -279,10 +328,10 @@ def search(
         .groupBy("block", "dim")
         .applyInPandas(pack, "dim int, query_ids binary, queries binary")
     )
-    jobs = (
-        packed.join(shards, "dim").join(index, ["shard", "dim"]).repartition(
-            max(1, min(4096, blocks * index.count()))
-        )
+    graphs = index.count()
+    wanted = packed.join(index.select("shard", "dim"), "dim")
+    jobs = index.repartition(max(1, min(4096, 4 * graphs)), "shard", "dim").join(
+        wanted, ["shard", "dim"]
     )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -292,7 +341,8 @@ def search(
                 asked = np.frombuffer(job["queries"], "<f8").reshape(len(ids), -1)
                 yield search_graph(job, ids, asked, k)
 
-    found = jobs.mapInPandas(run, "query_id long, vec_id long, score double")
+    with small_batches(index.sparkSession, JOB_ROWS):
+        found = store(jobs.mapInPandas(run, FOUND))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(best))
