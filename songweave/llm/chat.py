@@ -77,7 +77,8 @@ def expand(
 
     Spans count characters of the stream. ``example`` numbers the assistant turns from 0: that
     example's context is the stream before ``loss_start``, its target the loss span. A task
-    reads its conversations in order and keeps two numbers for each.
+    reads its conversations in order and keeps two numbers for each, so a conversation may be
+    of any length, but is one task's work.
     """
     ordered = (
         turns.select(
@@ -130,9 +131,20 @@ def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
 
 
 def read_back(segments: DataFrame) -> DataFrame:
-    """What the output says of every conversation, parsed from its segments in order."""
+    """What the output says of every conversation: its turns parsed from the segments in order,
+    its loss text and lengths taken from the target span of each of its examples."""
+    spans = examples(segments).select(
+        F.col("conv_id").alias("conv"),
+        F.col("position").alias("at"),
+        "context_end",
+        "target_start",
+        "target_end",
+    )
+    same = F.col("conv_id").eqNullSafe(F.col("conv")) & (F.col("position") == F.col("at"))
     ordered = (
-        segments.select("conv_id", "position", "segment", "start", "loss_start", "loss_end")
+        segments.select("conv_id", "position", "segment", "start")
+        .join(spans, same, "left")
+        .drop("conv", "at")
         .repartition("conv_id")
         .sortWithinPartitions("conv_id", "position")
     )
@@ -166,13 +178,14 @@ def read_back(segments: DataFrame) -> DataFrame:
                 state["turns"] += 1
                 state["sha"].update(f"{role}\n{text}\n".encode())
                 state["chars"] += len(segment)
-                if row["loss_start"] is not None:
-                    span = slice(row["loss_start"] - row["start"], row["loss_end"] - row["start"])
+                if row["target_start"] is not None:
+                    # The context is the stream up to the target, the example ends with its turn.
+                    span = slice(row["context_end"] - row["start"], row["target_end"] - row["start"])
                     loss = unescape(segment[span])
                     state["loss"] += len(loss)
                     state["loss_sha"].update(loss.encode())
                     state["examples"] += 1
-                    state["expanded"] += state["chars"]
+                    state["expanded"] += row["target_end"] + len(END) + 1
             if out:
                 yield _batch(out, READ)
         if state:
