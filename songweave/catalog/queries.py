@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from songweave.functions import vectors as vec
 from songweave.functions.columns import decay_per_second
 from songweave.models.decay import LastListenRecommender
+from songweave.models.hybrid import HybridModel, enabled_models
 from songweave.models.matrix import ALS, BM25, BPR, bm25_weights, id_maps, similar_items
 from songweave.models.matrix import user_item_weights as matrix_weights
 from songweave.models.overlap import ItemKNN, play_matrices
@@ -27,6 +28,9 @@ from songweave.operators.splits import time_split_with_gap, with_split
 from songweave.plans import preprocessing
 from songweave.plans.candidates import (
     CANDIDATE_LIMITS,
+    ITEM_FEATURES,
+    PAIR_FEATURES,
+    USER_FEATURES,
     candidates_long,
     candidates_wide,
     describe_candidates,
@@ -40,6 +44,12 @@ from songweave.plans.ranking import (
     ranker_split,
     ranking_dataset,
 )
+from songweave.plans.rankers import (
+    ListwiseRanker,
+    PairwiseRanker,
+    listwise_gradients,
+    ranker_train_pairs,
+)
 from songweave.session import apply_settings, cut_lineage
 from songweave.sources import fixtures, tables
 
@@ -690,9 +700,76 @@ def folds_of_ranker(spark, folder):
     return split.select("uid", "item_id", "weights", "fold")
 
 
+PAIR_COLUMNS = ["score", *PAIR_FEATURES, "item_plays_last_30d"]
+
+
+@query("ranker_train_pairs")
+def pairs_of_ranker(spark, folder):
+    rows = rounded(rankable_users(_dataset(spark, folder)))
+    return ranker_train_pairs(rows, PAIR_COLUMNS)
+
+
+@query
+def ranker_listwise_gradients(spark, folder):
+    rows = rounded(rankable_users(_dataset(spark, folder)))
+    return listwise_gradients(rows).select("uid", "item_id", "gradient")
+
+
+@query
+def ranker_pairwise_scores(spark, folder):
+    rows = cut_lineage(_dataset(spark, folder))
+    ranker = PairwiseRanker(["score", *ITEM_FEATURES, *PAIR_FEATURES]).fit(rows)
+    return ranker.predict(rows)
+
+
+@query
+def ranker_listwise_scores(spark, folder):
+    rows = cut_lineage(_dataset(spark, folder).withColumnRenamed("score", "score_LastListen"))
+    named = ["score_LastListen", *USER_FEATURES, *ITEM_FEATURES, *PAIR_FEATURES]
+    return ListwiseRanker(named, rounds=5).fit(rows).predict(rows)
+
+
+def _hybrid(spark, folder, train, **options):
+    vectors = {"embeddings": fixtures.embeddings(spark, folder)}
+    walk = {"meta": fixtures.items_meta(spark, folder), "listen_count_limit": WALK_LISTENS}
+    models = enabled_models(KMeansEmbedding=vectors, RandomWalkWithRestart=walk)
+    return HybridModel(models, **options).fit(train, _meta(spark, folder))
+
+
+@query
+def hybrid_recommend(spark, folder):
+    train = cut_lineage(train_log(spark, folder))
+    return _hybrid(spark, folder, train).recommend(users_of(train))
+
+
+@query
+def hybrid_list_facts(spark, folder):
+    train, meta = cut_lineage(train_log(spark, folder)), _meta(spark, folder)
+    lists = cut_lineage(_hybrid(spark, folder, train).recommend(users_of(train)))
+    owned = lists.join(meta, "item_id", "left")
+
+    def repeated(owner: str) -> DataFrame:
+        known = owned.where(F.col(owner).isNotNull())
+        return known.groupBy("uid", owner).count().where("count > 1").agg(F.count(F.lit(1)))
+
+    recent = lists.join(postprocess.recently_played(train), ["uid", "item_id"])
+    facts = lists.agg(
+        F.countDistinct("uid").alias("users"),
+        (F.max("rank") <= 10).alias("short"),
+        (F.count(F.lit(1)) == F.countDistinct("uid", "item_id")).alias("distinct"),
+    )
+    return facts.select(
+        "*",
+        repeated("artist_id").scalar().alias("repeated_artists"),
+        repeated("album_id").scalar().alias("repeated_albums"),
+        recent.agg(F.count(F.lit(1))).scalar().alias("recently_played"),
+    )
+
+
 @query
 def ranker_scores(spark, folder):
-    wide, train, meta = _wide(spark, folder), train_log(spark, folder), _meta(spark, folder)
+    wide = cut_lineage(_wide(spark, folder))
+    train, meta = cut_lineage(train_log(spark, folder)), _meta(spark, folder)
     ranker = Ranker(all_features(CANDIDATE_NAMES)).fit(ranking_dataset(wide, train, meta))
     return ranker.predict(describe_candidates(wide, train, meta))
 
@@ -798,16 +875,10 @@ def compare_to_baseline(spark, folder):
 
 
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
-    """Clean, gather candidates of three models, and build the final list of every user."""
+    """Clean, fit all models that contribute candidates and a ranker, and build every user's
+    final list."""
     apply_settings(spark)
     log = fixtures.interactions(spark, folder)
     # The cleaned log is stored once; every model and step reads that table.
     train = cut_lineage(preprocessing.preprocess_train(log))
-    models = {
-        MostPopular().fit(train): 50,
-        LastListenRecommender().fit(train): 200,
-        ItemKNN().fit(train): 200,
-    }
-    long = candidates_long(models, train)
-    scored = long.groupBy("uid", "item_id").agg(F.max("score").alias("score"))
-    return rounded(final_list(scored, train, fixtures.items_meta(spark, folder)))
+    return rounded(_hybrid(spark, folder, train).recommend(users_of(train)))

@@ -219,7 +219,8 @@ class ALS(FactorModel):
 
     MLlib takes int ids, so ids are numbered densely first. Confidence is 1 + alpha * weight
     and the penalty is scaled by the number of ratings, so factors are not those of other
-    solvers with the same parameters.
+    solvers with the same parameters. Entries whose weight was cut to zero say nothing and are
+    left out: users and items that have no others get no vector.
     """
 
     name = "ALS"
@@ -247,7 +248,12 @@ class ALS(FactorModel):
         )
 
     def fit(self, df: DataFrame) -> ALS:
-        weights = cut_lineage(user_item_weights(df, self.weight_mode, self.last_days, self.min_ratio))
+        weights = user_item_weights(df, self.weight_mode, self.last_days, self.min_ratio)
+        weights = cut_lineage(weights.where(F.col("weight") > 0))
+        if weights.isEmpty():
+            none = F.array().cast("array<float>").alias("vector")
+            self.state = {"users": weights.select("uid", none), "items": weights.select("item_id", none)}
+            return self
         users, items = (cut_lineage(m) for m in id_maps(weights))
         ratings = map_with_id_maps(weights, users, items).select(
             F.col("uid").cast("int").alias("user"),

@@ -136,6 +136,8 @@ def lsh_topk(
     left = _usable(queries, query_vector, *keys).withColumn("_k", F.lit(k).cast("int"))
     right = _usable(catalogue, item_vector, item)
     first = right.select(F.size("_vector").alias("n")).first()
+    if first is None:
+        left = left.limit(0)
     planes = np.random.default_rng(seed).normal(size=(tables, bits, first["n"] if first else 1))
 
     def bucketed(df: DataFrame, looks: int) -> DataFrame:
@@ -222,6 +224,8 @@ def cell_topk(
     left = cut_lineage(_usable(queries, query_vector, *keys).withColumn("_k", F.lit(k).cast("int")))
     right = _usable(catalogue, item_vector, item)
     sample = right.orderBy(F.xxhash64(item), item).limit(SAMPLE).select("_vector").collect()
+    if not sample:
+        left = left.limit(0)
     points = np.array([r["_vector"] for r in sample], float) if sample else np.zeros((1, 1))
     found = Cells(spread_centroids(points, cells), np.empty(0))
     placed = cut_lineage(_in_cells(right, found))
