@@ -843,6 +843,15 @@ select uid, item_id, round(score, 6) as score, explored, rank from final""",
     "cosine_similarity_at_k": POPULAR_METRICS
     + "select uid, round(cos_sim, 6) as cos_sim from cosines",
     "evaluate_model": with_(TRUTH, EMB, RECS, user_metrics("recs")) + SUMMARY,
+    "evaluate_models": "\nunion all\n".join(
+        f"select '{name}' as model, {k} as k, * from ("
+        + with_(TRUTH, EMB, recs, user_metrics("recs", k)) + SUMMARY + ")"
+        for name, recs in (
+            ("MostPopular", popular("train", "recs", 30, 50, "train")),
+            ("LastListenRecommender", RECS),
+        )
+        for k in (10, 100)
+    ),
     "evaluate_recommended_only": with_(
         TRUTH.replace("truth as (", "all_truth as (")
         + ",\ntruth as (select * from all_truth where is_organic = 0)",

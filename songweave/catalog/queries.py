@@ -855,6 +855,34 @@ def evaluate_model(spark, folder):
     return _evaluate(spark, folder, test_truth(spark, folder))
 
 
+@query
+def evaluate_models(spark, folder):
+    lists = {
+        "MostPopular": popular_recs(spark, folder),
+        "LastListenRecommender": last_listen_recs(spark, folder),
+    }
+    tagged = [recs.select(F.lit(name).alias("model"), "uid", "item_id", "rank") for name, recs in lists.items()]
+    return metrics.evaluate_many(
+        tagged[0].unionByName(tagged[1]),
+        test_truth(spark, folder),
+        train_log(spark, folder),
+        fixtures.embeddings(spark, folder),
+    )
+
+
+@query
+def evaluate_models_enabled(spark, folder):
+    train = cut_lineage(train_log(spark, folder))
+    vectors = fixtures.embeddings(spark, folder)
+    walk = {"meta": fixtures.items_meta(spark, folder), "listen_count_limit": WALK_LISTENS}
+    models = enabled_models(KMeansEmbedding={"embeddings": vectors}, RandomWalkWithRestart=walk)
+    for model in models:
+        model.fit(train)
+    truth = test_truth(spark, folder)
+    lists = candidates_long({model: 100 for model in models}, truth.select("uid"))
+    return metrics.evaluate_many(cut_lineage(lists), truth, train, vectors)
+
+
 @query
 def evaluate_recommended_only(spark, folder):
     return _evaluate(spark, folder, cleaning.organic_only(test_truth(spark, folder), False))

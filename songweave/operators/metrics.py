@@ -142,6 +142,79 @@ def evaluate_model(
     )
 
 
+def evaluate_many(
+    lists: DataFrame,
+    truth: DataFrame,
+    train: DataFrame,
+    embeddings: DataFrame,
+    ks: tuple[int, ...] = (10, 100),
+    vector: str = "normalized_embed",
+) -> DataFrame:
+    """``evaluate_model`` of many models at many lengths at once: a row per (model, k).
+
+    ``lists`` is (model, uid, item_id, rank). Every metric of every model and length comes from
+    one pass over the lists; the cosines of a user's items are computed once, whichever models
+    listed them. A model is in the result if it lists anything for an evaluated user.
+    """
+    pairs = true_pairs(truth)
+    users = truth.agg(F.countDistinct("uid")).scalar()
+    sizes = pairs.groupBy("uid").agg(F.count(F.lit(1)).alias("n_true"))
+    listed = lists.where(F.col("rank") <= max(ks)).select("model", "uid", "item_id", "rank")
+    listed = listed.join(sizes, "uid")
+    vectors = embeddings.select("item_id", vector)
+    shown = listed.select("uid", "item_id").distinct().join(vectors, "item_id").select(
+        "uid", F.col("item_id").alias("rec_id"), F.col(vector).alias("_rec")
+    )
+    best = pairs.join(vectors, "item_id").join(shown, "uid").groupBy(
+        "uid", F.col("rec_id").alias("item_id")
+    ).agg(F.max(dot(F.col("_rec"), F.col(vector))).alias("_best"))
+    marked = listed.join(pairs.withColumn("_hit", F.lit(1)), ["uid", "item_id"], "left").join(
+        best, ["uid", "item_id"], "left"
+    )
+
+    def at(k: int) -> Column:
+        within = F.col("rank") <= k
+        hit = within & F.col("_hit").isNotNull()
+        n = F.count_if(within)
+        found = {
+            "precision": F.try_divide(F.count_if(hit), n),
+            "recall": F.try_divide(F.count_if(hit), F.first("n_true")),
+            "ndcg": F.sum(F.when(hit, 1.0 / F.log2(F.col("rank") + 1.0)).otherwise(0.0))
+            / ideal_dcg(F.first("n_true"), k),
+            "cos_sim": F.try_divide(F.sum(F.when(within, F.coalesce("_best", F.lit(0.0)))), n),
+        }
+        named = [c.alias(name) for name, c in found.items()]
+        return F.struct(F.lit(k).alias("k"), (n > 0).alias("any"), *named)
+
+    per_user = marked.groupBy("model", "uid").agg(F.array(*map(at, ks)).alias("at"))
+    means = (
+        per_user.select("model", F.inline("at"))
+        .where("any")
+        .groupBy("model", "k")
+        .agg(
+            F.count(F.lit(1)).alias("users_scored"),
+            *[F.avg(m).alias(m) for m in ("precision", "recall", "ndcg", "cos_sim")],
+        )
+    )
+    catalogue = train.select("item_id").distinct()
+    total = catalogue.agg(F.count(F.lit(1))).scalar()
+    firsts = listed.groupBy("model", "item_id").agg(F.min("rank").alias("rank"))
+    known = firsts.join(catalogue, "item_id", "left_semi")
+    share = [F.struct(F.lit(k).alias("k"), F.count_if(F.col("rank") <= k).alias("items")) for k in ks]
+    covered = known.groupBy("model").agg(F.array(*share).alias("at")).select("model", F.inline("at"))
+    return means.join(covered, ["model", "k"], "left").select(
+        "model",
+        "k",
+        "users_scored",
+        (users - F.col("users_scored")).alias("users_skipped"),
+        "precision",
+        "recall",
+        "ndcg",
+        F.coalesce(F.try_divide("items", total), F.lit(0.0)).alias("coverage"),
+        "cos_sim",
+    )
+
+
 def published_scores(spark: SparkSession) -> DataFrame:
     """PUBLISHED_AT_10 as (model, metric, published) rows."""
     rows = [
