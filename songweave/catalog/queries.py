@@ -19,6 +19,7 @@ from songweave.models.matrix import user_item_weights as matrix_weights
 from songweave.models.overlap import ItemKNN, play_matrices
 from songweave.models.overlap import user_overlap as overlap_matrix
 from songweave.models.popular import MostPopular, NewItemsLastNDays
+from songweave.models.stratified import StratifiedBPR
 from songweave.models.taste import KMeansEmbedding, track_kmeans
 from songweave.models.walk import RandomWalkWithRestart, readable, transition, walk_edges
 from songweave.operators import cleaning, features, interactions, metrics, postprocess, profiling
@@ -548,6 +549,13 @@ def bm25_recommend_truncated(spark, folder):
     return BM25().fit(log).recommend(users_of(log), CANDIDATE_LIMITS["BM25"])
 
 
+@query
+def bpr_stratified_recommend(spark, folder):
+    log = fixtures.purchases(spark, folder)
+    model = StratifiedBPR(weight_mode="float", last_days=FULL_SPAN, iterations=5).fit(log)
+    return model.recommend(users_of(log), 200)
+
+
 @query
 def bpr_recommend(spark, folder):
     log = fixtures.purchases(spark, folder)
