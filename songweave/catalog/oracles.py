@@ -746,6 +746,15 @@ cross join (select distinct uid from purchases) u where rank <= 50""",
     + "select uid, item_id, round(weight, 6) as weight from m",
     "user_id_map": with_(PURCHASES) + id_index("purchases", "uid", "uid_index"),
     "id_maps": with_(PURCHASES) + id_index("purchases", "item_id", "item_index"),
+    "mapped_interactions": with_(INTERACTIONS, """known as (select * from interactions where item_id % 7 <> 0),
+users as (select uid, row_number() over (
+    order by substr(md5(cast(uid as varchar)), 1, 3), uid) - 1 as uid_index
+  from (select distinct uid from known where uid is not null)),
+items as (select item_id, row_number() over (
+    order by substr(md5(cast(item_id as varchar)), 1, 3), item_id) - 1 as item_index
+  from (select distinct item_id from known where item_id is not null))""") + """
+select seq, uid_index as uid, item_index as item_id, event_type
+from interactions i left join users u on i.uid = u.uid left join items t on i.item_id = t.item_id""",
     "bm25_similar_items": with_(PURCHASES, matrix("purchases", "m", False), bm25("m"))
     + "select item_id, neighbor, round(similarity, 6) as similarity, rank from similar_items",
     "bm25_recommend": with_(PURCHASES, matrix("purchases", "m", False), bm25("m"))

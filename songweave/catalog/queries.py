@@ -14,7 +14,15 @@ from songweave.functions import vectors as vec
 from songweave.functions.columns import decay_per_second
 from songweave.models.decay import LastListenRecommender
 from songweave.models.hybrid import HybridModel, enabled_models
-from songweave.models.matrix import ALS, BM25, BPR, bm25_weights, id_maps, similar_items
+from songweave.models.matrix import (
+    ALS,
+    BM25,
+    BPR,
+    bm25_weights,
+    id_maps,
+    map_with_id_maps,
+    similar_items,
+)
 from songweave.models.matrix import user_item_weights as matrix_weights
 from songweave.models.overlap import ItemKNN, play_matrices
 from songweave.models.overlap import user_overlap as overlap_matrix
@@ -523,6 +531,13 @@ def id_map_items(spark, folder):
     return id_maps(fixtures.purchases(spark, folder))[1]
 
 
+@query
+def mapped_interactions(spark, folder):
+    log = fixtures.interactions(spark, folder).select("seq", "uid", "item_id", "event_type")
+    known = log.where("item_id % 7 <> 0")  # items that the maps don't know become null
+    return map_with_id_maps(log, *id_maps(known))
+
+
 @query
 def als_recommend(spark, folder):
     log = fixtures.purchases(spark, folder)
