@@ -54,7 +54,7 @@ GROUPS = 1 << GROUP_BITS
 # log2 of the most groups of a vector, so its size is bounded.
 LEAF_BITS = 9
 # log2 of the counters that order shingles by how common they are.
-SKETCH_BITS = 24
+SKETCH_BITS = 23
 # Leaves above this size are linked to pivots first.
 LEAF = 64
 # A task's block of a leaf: the classes, and the shingles of all their sets.
@@ -129,19 +129,22 @@ def levels_of(docs: DataFrame, k: int) -> np.ndarray:
     number, in a byte. Tasks count for themselves, and their tables are added up in groups."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << SKETCH_BITS, np.uint32)
+        counts = np.zeros(1 << SKETCH_BITS, "<f4")
         for batch in common.slices(batches):
             for found in text_sets(common.bytes_of(batch.column("text")), k):
                 np.add.at(counts, (found >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
-        packed = zstandard.compress(counts.astype("<f4").tobytes(), 1)
+        packed = zstandard.compress(counts, 1)
         yield pa.RecordBatch.from_arrays(
             [pa.array([TaskContext.get().partitionId()]), pa.array([packed])], ["part", "counts"]
         )
 
     def added(pdf: pd.DataFrame) -> pd.DataFrame:
-        counts = sum(np.frombuffer(zstandard.decompress(c), "<f4") for c in pdf["counts"])
+        # Two tables in memory at a time.
+        counts = np.zeros(1 << SKETCH_BITS, "<f4")
+        for packed in pdf["counts"]:
+            counts += np.frombuffer(zstandard.decompress(packed), "<f4")
         part = int(pdf["part"].iloc[0]) // common.FAN
-        return pd.DataFrame({"part": [part], "counts": [zstandard.compress(counts.tobytes(), 1)]})
+        return pd.DataFrame({"part": [part], "counts": [zstandard.compress(counts, 1)]})
 
     schema = "part long, counts binary"
     one = common.merged_parts(docs.select("text").mapInArrow(run, schema), added, schema)
