@@ -12,7 +12,6 @@ looked at.
 from __future__ import annotations
 
 import hashlib
-import os
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -110,8 +109,3 @@ def token_counts(
 def cache_folder(docs: DataFrame) -> str:
     """A new, empty cache in the shared folder."""
     return common.shared_folder(docs.sparkSession, "token-counts")
-
-
-def local_path(name: str) -> str:
-    """A tokenizer by file, or by the name of an installed vocabulary."""
-    return name if os.path.exists(name) else common.tokenizer_path(name)

@@ -377,8 +377,8 @@ def whole_groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
-    """The sizes of all intersections. Shingles of many sets count by a matrix product, those of
-    a few by their pairs."""
+    """The sizes of the intersections of each two different sets. Shingles of many sets count by
+    a matrix product, those of a few by their pairs."""
     m = len(sets)
     out = np.zeros(m * m, np.float32)
     values = np.concatenate(sets)
