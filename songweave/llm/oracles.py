@@ -1,4 +1,4 @@
-"""SQL that the digests of the Merkle manifest are checked against."""
+"""SQL that text operators are checked against, where it takes more than a few lines."""
 
 from __future__ import annotations
 
@@ -73,3 +73,32 @@ def merkle() -> str:
         from key_walk_{KEY_LEVELS}, key_{KEY_LEVELS} as root
     """
 
+
+def jaccard(k: int, num: int, den: int) -> str:
+    """Components of documents whose sets of ``k``-word shingles overlap by num / den or more."""
+    upper, lower = ("".join(map(chr, range(ord(c), ord(c) + 26))) for c in "Aa")
+    return f"""
+        with recursive worded as (
+            select doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), '{upper}', '{lower}'), '[^\x20\x09-\x0D]+') as words
+            from documents
+        ), sets as (
+            select doc_id, case when len(words) = 0 then [] else list_distinct(list_transform(
+                range(1, greatest(len(words) - {k - 1}, 1) + 1),
+                lambda i: array_to_string(words[i:i + {k - 1}], ' '))) end as shingles
+            from worded
+        ), elements as (
+            select doc_id, len(shingles) as n, unnest(shingles) as shingle from sets
+        ), links as (
+            select a.doc_id as one, b.doc_id as two
+            from elements a join elements b on a.shingle = b.shingle and a.doc_id <> b.doc_id
+            group by a.doc_id, b.doc_id
+            having {den} * count(*) >= {num} * (any_value(a.n) + any_value(b.n) - count(*))
+        ), reached as (
+            select doc_id, doc_id as other from documents
+            union
+            select r.doc_id, l.two from reached r join links l on r.other = l.one
+        ), components as (select doc_id, min(other) as component_id from reached group by doc_id)
+        select s.doc_id, len(shingles) as n_shingles, component_id
+        from sets s join components c on s.doc_id = c.doc_id
+    """
