@@ -102,3 +102,36 @@ def jaccard(k: int, num: int, den: int) -> str:
         select s.doc_id, len(shingles) as n_shingles, component_id
         from sets s join components c on s.doc_id = c.doc_id
     """
+
+
+def chat(hostile: str) -> str:
+    """What formatted conversations hold, and one more of the template's own control strings."""
+    start, end = len("<|im_start|>"), len("<|im_end|>")
+    marked = r"regexp_replace({}, '<(\\*)\|', '<\\\1|', 'g')"
+    role = "replace(replace(role, '\\', '\\\\'), chr(10), '\\n')"
+    return f"""
+        with turns as (
+            select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text
+            from conversations
+            union all select -1, 0, 'user', '{hostile}'
+            union all select -1, 1, 'assistant', '{hostile}'
+        ), sized as (
+            select *, {start + end + 2} + length({marked.format(role)})
+                      + length({marked.format("text")}) as chars
+            from turns
+        ), placed as (
+            select *, sum(chars) over (partition by conv_id order by turn nulls first, role, text
+                                       rows unbounded preceding) as so_far
+            from sized
+        )
+        select conv_id, count(*) as n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), ''
+                                 order by turn nulls first, role, text)) as turns_sha256,
+               coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+               sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text)
+                               filter (role = 'assistant'), '')) as loss_sha256,
+               sum(chars)::bigint as formatted_chars,
+               count(*) filter (role = 'assistant') as examples,
+               coalesce(sum(so_far) filter (role = 'assistant'), 0)::bigint as expanded_chars
+        from placed group by conv_id
+    """

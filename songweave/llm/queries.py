@@ -225,6 +225,7 @@ ORACLES: dict[str, str] = {
         select doc_id, keyed.slot, 'shard-' || lpad(number, 2, '0') as shard
         from keyed join slots using (slot)
     """,
+    "op2_chat_format": oracles.chat(HOSTILE),
     "op6_jaccard_join": oracles.jaccard(k=3, num=90, den=100),
     "op11_merkle_manifest": oracles.merkle(),
     "op13_exact_topk": """

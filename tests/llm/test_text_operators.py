@@ -641,7 +641,7 @@ def test_archive_of_nothing(spark, pages):
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "pages", "embeddings"):
+    for table in ("documents", "pages", "embeddings", "conversations"):
         con.execute(f"create view {table} as select * from '{DATA}/{table}.parquet'")
     frame = queries.QUERIES[name](spark, DATA)
     columns = sorted(frame.columns)
