@@ -65,9 +65,12 @@ FANOUT = 16
 # only the cost: the trees find every link that the rounds leave.
 PIVOTS = 4
 ROUNDS = 4
-# Pairs whose texts are unpacked at once, and texts that a task of leaves is handed at once.
+# Rows that Python is handed at once; with compressed texts; pairs whose texts are unpacked at
+# once; and leaves of pairs that are compared at once.
+BATCH_ROWS = 2000
+TEXT_ROWS = 500
 VERIFY_ROWS = 32
-TEXT_ROWS = 1000
+MEETINGS = 1 << 19
 
 
 def text_sets(texts: list[bytes], k: int) -> list[np.ndarray]:
@@ -114,7 +117,7 @@ def may_link(vectors: list[bytes], bits: np.ndarray, n: np.ndarray, i, j, num: i
     keep = np.ones(len(i), np.bool_)
     for to in np.unique(shared).tolist():
         at = np.flatnonzero(shared == to)
-        step = max(1, (1 << 21) >> to)
+        step = max(1, (1 << 20) >> to)
         for part in (at[k : k + step] for k in range(0, len(at), step)):
             rows, place = np.unique(np.concatenate([i[part], j[part]]), return_inverse=True)
             counts = unpacked_counts([vectors[r] for r in rows.tolist()], bits[rows], to)
@@ -280,8 +283,10 @@ def first_meetings(earlier: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> n
     owner = np.repeat(np.arange(len(earlier)), sizes)
     have = np.sort(owner * most + code)
     starts = np.cumsum(sizes) - sizes
-    for at in range(0, len(i), 1 << 16):
-        mine, yours = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
+    work = np.cumsum(sizes[i])
+    edges = np.searchsorted(work, np.arange(0, work[-1], MEETINGS), side="right")
+    for at, to in zip(edges.tolist(), [*edges[1:].tolist(), len(i)]):
+        mine, yours = i[at:to], j[at:to]
         n = sizes[mine]
         pair = np.repeat(np.arange(len(mine)), n)
         place = np.arange(len(pair)) - np.repeat(np.cumsum(n) - n, n) + starts[mine][pair]
@@ -390,21 +395,21 @@ def overlaps(sets: list[np.ndarray]) -> np.ndarray:
     heavy = counts > max(8, m // 14)
     light = np.flatnonzero(~heavy & (counts > 1))
     area = np.cumsum(counts[light] ** 2)
-    for part in np.split(light, np.searchsorted(area, np.arange(1 << 21, area[-1] if len(area) else 0, 1 << 21))):
+    for part in np.split(light, np.searchsorted(area, np.arange(1 << 19, area[-1] if len(area) else 0, 1 << 19))):
         n = np.repeat(counts[part], counts[part] ** 2)
         k = np.arange(len(n)) - np.repeat(np.cumsum(counts[part] ** 2) - counts[part] ** 2, counts[part] ** 2)
         first = np.repeat(starts[part], counts[part] ** 2)
         np.add.at(out, rows[first + k // n] * m + rows[first + k % n], 1)
     out = out.reshape(m, m)
     columns = np.flatnonzero(heavy)
-    step = max(1, (1 << 22) // m)
+    step = max(1, (1 << 21) // m)
     for part in (columns[at : at + step] for at in range(0, len(columns), step)):
         n = counts[part]
         place = np.repeat(starts[part] - (np.cumsum(n) - n), n) + np.arange(n.sum())
         held = np.zeros((m, len(part)), np.float32)
         held[rows[place], np.repeat(np.arange(len(part)), n)] = 1
         out += held @ held.T
-    return out.astype(np.int64)
+    return out.astype(np.int32)
 
 
 def joining_links(sets: list[np.ndarray], comps: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
@@ -412,9 +417,13 @@ def joining_links(sets: list[np.ndarray], comps: np.ndarray, num: int, den: int)
     there are components."""
     both = overlaps(sets)
     n = np.fromiter(map(len, sets), np.int64, len(sets))
-    link = both * den >= (n[:, None] + n - both) * num
     names, comp = np.unique(comps, return_inverse=True)
-    i, j = np.nonzero(link & (comp[:, None] < comp))
+    found = []
+    for row in range(len(sets)):
+        own = both[row].astype(np.int64)
+        link = own * den >= (n[row] + n - own) * num
+        found.append(np.flatnonzero(link & (comp[row] < comp)))
+    i, j = np.repeat(np.arange(len(sets)), list(map(len, found))), np.concatenate(found)
     # One link for every two components, then a tree over them.
     _, one = np.unique(comp[i] * len(names) + comp[j], return_index=True)
     i, j = i[one], j[one]
@@ -718,7 +727,7 @@ def jaccard_components(
         F.col(text).alias("text"),
         F.xxhash64(text).alias("mark"),
     )
-    with common.scope():
+    with common.scope(), common.small_batches(docs.sparkSession, BATCH_ROWS):
         levels = levels_of(plain, k)
         every = store(described(plain, k, num, den, levels))
         # A class is a distinct set; ids that repeat with other texts can't name two classes, so
