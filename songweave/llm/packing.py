@@ -24,6 +24,9 @@ from pyspark.sql import functions as F
 from songweave.llm import common
 
 
+# Texts that Python is handed at once.
+BATCH_ROWS = 1000
+
 def encode_documents(docs: DataFrame, path: str, end_id: int, id_: str, text: str) -> DataFrame:
     """First pass: (part, local_start, doc_id, n, ids) of every document, stored."""
     kind = docs.schema[id_].dataType.simpleString()
@@ -74,7 +77,8 @@ def pack(
     sequence_id, offset, and ``boundary``: whether a window's bound cut the document there
     ("none", "head" for a first piece, "middle", "tail").
     """
-    stored = encode_documents(docs, path, end_id, id_, text)
+    with common.small_batches(docs.sparkSession, BATCH_ROWS):
+        stored = encode_documents(docs, path, end_id, id_, text)
     totals = stored.groupBy("part").agg(F.sum("n").alias("total"))
     # One row for each task that wrote the table: that bounds the window and the broadcast.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
