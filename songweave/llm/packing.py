@@ -23,10 +23,10 @@ from pyspark.sql import functions as F
 
 from songweave.llm import common
 
-
 # Texts that Python is handed at once.
 BATCH_ROWS = 1000
 
+
 def encode_documents(docs: DataFrame, path: str, end_id: int, id_: str, text: str) -> DataFrame:
     """First pass: (part, local_start, doc_id, n, ids) of every document, stored."""
     kind = docs.schema[id_].dataType.simpleString()
