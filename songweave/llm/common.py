@@ -10,10 +10,13 @@ from contextlib import contextmanager
 from contextvars import ContextVar
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyarrow import fs
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyarrow import parquet as pq
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from songweave.session import (
@@ -372,6 +375,71 @@ def store(df: DataFrame, compression: str = "zstd", outer: bool = False) -> Data
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Rows of a file that are looked up together, as a power of two, and the lost rows in a bucket.
+CHUNK_BITS = 20
+BUCKET_ROWS = 1 << 13
+
+
+def placed(docs: DataFrame) -> tuple[DataFrame, Column, Column]:
+    """``docs`` with the columns of each row's file and its place in that file.
+
+    A frame that isn't read from Parquet files is stored first. One that is must not repeat
+    their rows, as an explode would.
+    """
+    try:
+        docs.select(docs.metadataColumn("_metadata")["row_index"])
+    except AnalysisException:
+        docs = store(docs)
+    origin = docs.metadataColumn("_metadata")
+    return docs, origin["file_path"], origin["row_index"]
+
+
+def without_rows(docs: DataFrame, file: Column, row: Column, lost: DataFrame) -> DataFrame:
+    """``docs`` but for the rows at the places ``lost`` (file, row), by the columns of ``placed``.
+
+    Neither texts nor other columns of ``docs`` are shuffled: the places are stored in buckets by
+    file and chunk of rows, and a task reads the places lost in the chunks it meets, one at a time.
+    """
+    lost = store(lost.select("file", "row").distinct())
+    buckets = max(1, -(-lost.count() // BUCKET_ROWS))
+
+    def bucket(file: Column, row: Column) -> Column:
+        chunk = F.shiftright(row.cast("long"), CHUNK_BITS)
+        return F.pmod(F.xxhash64(file, chunk), F.lit(buckets)).cast("int")
+
+    folder = shared_folder(docs.sparkSession, "lost")
+    dealt = lost.withColumn("bucket", bucket(F.col("file"), F.col("row"))).repartition("bucket")
+    dealt.sortWithinPartitions("bucket", "file", "row").write.partitionBy("bucket").parquet(folder)
+    if _SCOPES.get():
+        _SCOPES.get()[-1].append(folder)
+
+    def lost_in(number: int, name: str, chunk: int) -> np.ndarray:
+        files, path = filesystem(f"{folder}/bucket={number}")
+        if files.get_file_info(path).type == fs.FileType.NotFound:
+            return np.empty(0, np.int64)
+        first = chunk << CHUNK_BITS
+        within = [("file", "=", name), ("row", ">=", first), ("row", "<", first + (1 << CHUNK_BITS))]
+        found = pq.read_table(path, columns=["row"], filters=within, filesystem=files, partitioning=None)
+        return found.column("row").to_numpy()
+
+    @F.pandas_udf("boolean")
+    def stays(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        at, gone = None, np.empty(0, np.int64)
+        for names, rows, numbers in batches:
+            codes, files = pd.factorize(names)
+            places, keep = rows.to_numpy(np.int64), np.ones(len(rows), np.bool_)
+            chunks = np.stack([codes, places >> CHUNK_BITS], 1)
+            for code, chunk in np.unique(chunks, axis=0).tolist():
+                mine = (chunks == (code, chunk)).all(1)
+                if at != (files[code], chunk):
+                    at = files[code], chunk
+                    gone = lost_in(int(numbers[mine].iloc[0]), *at)
+                keep[mine] = ~np.isin(places[mine], gone)
+            yield pd.Series(keep)
+
+    return docs.where(stays(file, row, bucket(file, row)))
+
+
 # Tasks' results that one task puts together.
 FAN = 8
 
