@@ -28,22 +28,26 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     Documents without words link with nothing and stay, as do rows with a null id. Of rows
     that repeat one id, one row of each text stays, unless its own text's component has a
     smaller id. Rows keep all their columns, whatever their names."""
-    mark = common.fresh(docs, "mark")
-    groups = common.store(
-        jaccard.jaccard_components(docs, SHINGLE, NUM, DEN, by_text=True).select(
-            "doc_id", "component_id", F.col("mark").alias(mark)
+    groups = jaccard.jaccard_components(docs, SHINGLE, NUM, DEN, by_text=True)
+    dropped = groups.where("doc_id <> component_id").select("doc_id", "mark").distinct()
+    docs, file, row = common.placed(docs)
+    texts = common.store(
+        docs.select(
+            F.col("doc_id").cast("long").alias("doc_id"),
+            F.xxhash64("text").alias("mark"),
+            file.alias("file"),
+            row.alias("row"),
         )
     )
-    dropped = common.store(groups.where("doc_id <> component_id").select("doc_id", mark).distinct())
-    repeated = common.store(
-        groups.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    repeated = (
+        texts.where("doc_id is not null")
+        .groupBy("doc_id", "mark")
+        .agg(F.min(F.struct("file", "row")).alias("first"), F.count(F.lit(1)).alias("rows"))
+        .where("rows > 1")
     )
-    kept = docs.withColumn(mark, F.xxhash64("text")).join(dropped, ["doc_id", mark], "left_anti")
-    if not repeated.isEmpty():
-        single = kept.join(repeated, "doc_id", "left_anti")
-        several = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-        kept = single.unionByName(several)
-    return kept.select(*map(common.quoted, docs.columns))
+    lost = texts.join(dropped, ["doc_id", "mark"]).select("file", "row")
+    again = texts.join(repeated, ["doc_id", "mark"]).where(F.struct("file", "row") != F.col("first"))
+    return common.without_rows(docs, file, row, lost.unionAll(again.select("file", "row")))
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +58,9 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     leaks = common.store(
         decontaminate.benchmark_hits(docs, items, SHINGLE, NUM, DEN).select("doc_id").distinct()
     )
-    return docs.join(leaks, "doc_id", "left_anti").select(*map(common.quoted, docs.columns))
+    docs, file, row = common.placed(docs)
+    places = docs.select("doc_id", file.alias("file"), row.alias("row"))
+    return common.without_rows(docs, file, row, places.join(leaks, "doc_id").select("file", "row"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
