@@ -104,8 +104,13 @@ def median_daily_plays(df: DataFrame) -> DataFrame:
 
 def user_music_stats(df: DataFrame, mode: str = "iso") -> DataFrame:
     """Activity, variety, recency, lifetime and time profile per user (all event types)."""
-    last = latest(df)
-    per_user = daily_plays(df, mode).groupBy("uid").agg(
+    tracks = df.groupBy("uid", "item_id").agg(F.lit(1).alias("_one"))
+    return user_stats_of(daily_plays(df, mode), tracks, latest(df))
+
+
+def user_stats_of(days: DataFrame, tracks: DataFrame, last: Column) -> DataFrame:
+    """User statistics from one row per user and day and one per user and item."""
+    per_user = days.groupBy("uid").agg(
         F.sum("plays").alias("user_total_plays"),
         F.count(F.lit(1)).alias("user_active_days"),
         F.median("plays").alias("median_daily_plays"),
@@ -114,12 +119,7 @@ def user_music_stats(df: DataFrame, mode: str = "iso") -> DataFrame:
         *add_up(TIME_SUM_NAMES),
     )
     # A null item counts as one more track.
-    tracks = (
-        df.groupBy("uid", "item_id")
-        .agg(F.lit(1).alias("_one"))
-        .groupBy("uid")
-        .agg(F.count(F.lit(1)).alias("user_unique_tracks"))
-    )
+    tracks = tracks.groupBy("uid").agg(F.count(F.lit(1)).alias("user_unique_tracks"))
     lifetime = (last - F.col("first_ts")) / DAY
     return per_user.join(tracks, "uid").select(
         "uid",
@@ -153,6 +153,11 @@ def item_stats(df: DataFrame, mode: str = "iso") -> DataFrame:
         F.count_if(age <= 30 * DAY).alias("p30"),
         *time_sums(F.col("timestamp"), mode),
     )
+    return item_stats_of(per_user, last)
+
+
+def item_stats_of(per_user: DataFrame, last: Column) -> DataFrame:
+    """Item statistics from one row per item and user."""
     per_item = per_user.groupBy("item_id").agg(
         F.sum("plays").alias("item_total_plays"),
         F.count(F.lit(1)).alias("item_unique_users"),
@@ -198,12 +203,15 @@ def pair_profile(df: DataFrame, meta: DataFrame) -> DataFrame:
             flag(DISLIKE).alias("dislike_flag"),
             flag(LIKE).alias("like_flag"),
         )
-        .withColumn(
-            "ui_days_since_last_play",
-            F.coalesce(
-                (latest(df) - F.col("last_listen_ts")) / DAY, F.lit(float(NEVER_PLAYED))
-            ),
-        )
+    )
+    return pair_profile_of(pairs, meta, latest(df))
+
+
+def pair_profile_of(pairs: DataFrame, meta: DataFrame, last: Column) -> DataFrame:
+    """The profile from the signals of one row per pair."""
+    pairs = pairs.withColumn(
+        "ui_days_since_last_play",
+        F.coalesce((last - F.col("last_listen_ts")) / DAY, F.lit(float(NEVER_PLAYED))),
     )
     owners = meta.groupBy("item_id").agg(
         F.min("artist_id").alias("artist_id"), F.min("album_id").alias("album_id")

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from songweave.functions.vectors import dot
+from songweave.session import cut_lineage
 
 METRICS = ["recall", "ndcg", "coverage", "cos_sim"]
 
@@ -119,7 +120,12 @@ def evaluate_model(
     embeddings: DataFrame,
     k: int = 10,
 ) -> DataFrame:
-    """One row: users scored and skipped, and the four mean metrics."""
+    """One row: users scored and skipped, and the four mean metrics.
+
+    The true pairs and the first ``k`` of each list are stored first, so that each table is read
+    once, whatever plan it stands for.
+    """
+    truth, recs = cut_lineage(true_pairs(truth)), cut_lineage(top_k(recs, k))
     users = truth.agg(F.countDistinct("uid")).scalar()
     per_user = user_metrics(recs, truth, k).join(
         cosine_similarity_at_k(recs, truth, embeddings, k), "uid"
@@ -156,8 +162,8 @@ def evaluate_many(
     one pass over the lists; the cosines of a user's items are computed once, whichever models
     listed them. A model is in the result if it lists anything for an evaluated user.
     """
-    pairs = true_pairs(truth)
-    users = truth.agg(F.countDistinct("uid")).scalar()
+    pairs = cut_lineage(true_pairs(truth))
+    users = pairs.agg(F.countDistinct("uid")).scalar()
     sizes = pairs.groupBy("uid").agg(F.count(F.lit(1)).alias("n_true"))
     listed = lists.where(F.col("rank") <= max(ks)).select("model", "uid", "item_id", "rank")
     listed = listed.join(sizes, "uid")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from songweave.models.base import RetrievalModel
-from songweave.operators.features import item_stats, pair_profile, user_music_stats
+from songweave.operators.reductions import Reductions, reduce_log
 
 # How many candidates each model contributes.
 CANDIDATE_LIMITS = {
@@ -83,12 +83,20 @@ def candidates_wide(long: DataFrame, names: list[str]) -> DataFrame:
     return wide.select("uid", "item_id", *scores)
 
 
+def feature_parts(
+    reduced: Reductions, meta: DataFrame
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The features of pairs, of items and of users."""
+    return (
+        reduced.pair_profile(meta).select("uid", "item_id", *PAIR_FEATURES),
+        reduced.item_stats().select("item_id", *ITEM_FEATURES),
+        reduced.user_music_stats().select("uid", *USER_FEATURES),
+    )
+
+
 def feature_table(train: DataFrame, meta: DataFrame) -> DataFrame:
-    """Pair, item and user features of every pair with history."""
-    pairs = pair_profile(train, meta).select("uid", "item_id", *PAIR_FEATURES)
-    items = item_stats(train).select("item_id", *ITEM_FEATURES)
-    users = user_music_stats(train).select("uid", *USER_FEATURES)
-    return _with_item_and_user(pairs, items, users)
+    """Pair, item and user features of every pair with history, from two passes over the log."""
+    return _with_item_and_user(*feature_parts(reduce_log(train), meta))
 
 
 def _with_item_and_user(pairs: DataFrame, items: DataFrame, users: DataFrame) -> DataFrame:
@@ -106,11 +114,9 @@ def describe_candidates(
     if feature_mode == "pairs":
         joined = candidates.join(feature_table(train, meta), ["uid", "item_id"], "left")
     elif feature_mode == "separate":
-        pairs = pair_profile(train, meta).select("uid", "item_id", *PAIR_FEATURES)
+        pairs, items, users = feature_parts(reduce_log(train), meta)
         joined = _with_item_and_user(
-            candidates.join(pairs, ["uid", "item_id"], "left"),
-            item_stats(train).select("item_id", *ITEM_FEATURES),
-            user_music_stats(train).select("uid", *USER_FEATURES),
+            candidates.join(pairs, ["uid", "item_id"], "left"), items, users
         )
     else:
         raise ValueError(f"unknown feature mode {feature_mode!r}")

@@ -55,8 +55,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and read it back.
+def cut_lineage(df: DataFrame, *by: str) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder, partitioned ``by`` columns of few values,
+    and read it back.
 
     Several readers then share one computation, and lost executors cost nothing but a re-read.
     Unlike a checkpoint, which keeps the estimated size of the plan it replaces, a stored table
@@ -64,7 +65,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
