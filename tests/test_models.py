@@ -293,3 +293,43 @@ def test_registry():
     assert initialize_model("MostPopular", last_days=3).last_days == 3
     with pytest.raises(ValueError):
         initialize_model("Nothing")
+
+
+def test_vector_lists_leave_a_task_once(spark):
+    """Lists of parts of the catalogue were shuffled and merged: queries x blocks x k rows."""
+    rng = np.random.default_rng(8)
+    cat = spark.createDataFrame(
+        [(i, v.tolist()) for i, v in enumerate(unit(rng.normal(size=(90, 5))))],
+        "item_id long, normalized_embed array<float>",
+    )
+    ask = cat.select(cat.item_id.alias("q"), "normalized_embed")
+    found = vector_topk(ask, cat, 4, ["q"], query_vector="normalized_embed", block=8)
+    plan = found._jdf.queryExecution().toString()
+    assert "Window" not in plan and "CoGroups" not in plan
+    assert found.count() == 90 * 4
+    twice = vector_topk(ask.unionAll(ask), cat, 4, ["q"], query_vector="normalized_embed", block=8)
+    assert twice.count() == 90 * 4 and twice.where("rank <= 2 and q <> item_id").count() == 0
+
+
+def test_best_of_a_key_leaves_in_one_row(spark):
+    """Products of pairs were shuffled twice, by pair and by key, and ranked by a window."""
+    from pyspark.sql import functions as F
+    from songweave.operators import products
+
+    rng = np.random.default_rng(9)
+    cells = [(int(u), int(i), float(rng.random())) for u in range(40) for i in rng.choice(30, 6, replace=False)]
+    frame = spark.createDataFrame(cells + [(None, 3, 1.0), (5, None, 1.0)], "uid long, item_id long, weight double")
+    lists = products.packed_lists(frame, "uid", "item_id", "weight")
+    sums = products.list_products(frame, lists, "item_id", "uid", 5)
+    assert sums.count() == sums.select("key").distinct().count() == 30
+    best = products.best_of_lists(sums, 5, "other", "score")
+    assert "Window" not in best._jdf.queryExecution().toString()
+    assert best.where("other is null").count() > 0
+    want = {}
+    for u, i, x in cells:
+        for v, j, y in cells + [(5, None, 1.0)]:
+            if u == v:
+                want.setdefault(i, {})[j] = want.get(i, {}).get(j, 0.0) + x * y
+    for r in best.collect():
+        own = sorted(want[r["key"]].items(), key=lambda e: -e[1])
+        assert r["score"] == pytest.approx(own[r["rank"] - 1][1]) and r["other"] == own[r["rank"] - 1][0]
