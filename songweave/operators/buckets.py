@@ -30,14 +30,15 @@ ARROW = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
 
 
 def _vectors(column: pa.Array) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+    return flat.reshape(len(column), -1)
 
 
 def _usable(df: DataFrame, vector: str, *kept: str) -> DataFrame:
-    """Rows with a vector, as doubles in ``_vector``."""
-    return df.where(F.col(vector).isNotNull()).select(
-        *kept, F.col(vector).cast("array<double>").alias("_vector")
-    )
+    """Rows with a vector in ``_vector``. Singles travel as they are and become doubles in tasks."""
+    single = df.schema[vector].dataType.simpleString() == "array<float>"
+    values = F.col(vector) if single else F.col(vector).cast("array<double>")
+    return df.where(F.col(vector).isNotNull()).select(*kept, values.alias("_vector"))
 
 
 def _with_list(df: DataFrame, name: str, kind: str, found) -> DataFrame:
