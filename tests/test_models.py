@@ -333,3 +333,19 @@ def test_best_of_a_key_leaves_in_one_row(spark):
     for r in best.collect():
         own = sorted(want[r["key"]].items(), key=lambda e: -e[1])
         assert r["score"] == pytest.approx(own[r["rank"] - 1][1]) and r["other"] == own[r["rank"] - 1][0]
+
+
+def test_walk_goes_from_tracks_to_tracks(spark, log):
+    """The third step spread every user's mass over all users, though nobody stops there."""
+    from pyspark.sql import functions as F
+
+    users = log.select("uid").distinct()
+    meta = spark.createDataFrame([(i, i % 3, i % 5) for i in range(40)], "item_id long, artist_id long, album_id long")
+    model = RandomWalkWithRestart(meta, listen_count_limit=0, max_iter=4, tol=0.0).fit(log)
+    starts = users.withColumn("node", F.col("uid") * 4)
+    starts = starts.join(model.state["mass"].select("node"), "node", "left_semi").select("uid", "node")
+    parts = model._personal(starts)
+    assert sorted(parts) == [1, 2, 4]
+    assert parts[4].where(F.pmod("node", F.lit(4)) != 1).count() == 0 < parts[4].count()
+    model.params["tol"] = 9.0
+    assert model._undecided(3)
