@@ -60,6 +60,18 @@ def normalised(counts: np.ndarray) -> tuple[np.ndarray, int]:
     return scaled, bits
 
 
+def numbered(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(symbols, index, counts): distinct ids in order, each id's number among them, and how often
+    each occurs. Ids of a vocabulary are counted without being sorted."""
+    if not len(ids) or ids.min() < 0 or ids.max() >= SEGMENT_IDS:
+        return np.unique(ids, return_inverse=True, return_counts=True)
+    counts = np.bincount(ids)
+    symbols = np.flatnonzero(counts)
+    number = np.zeros(len(counts), np.int64)
+    number[symbols] = np.arange(len(symbols))
+    return symbols, number[ids], counts[symbols]
+
+
 def encode_block(index: np.ndarray, freq: np.ndarray, cum: np.ndarray, bits: int):
     """(lane states, words) of symbol numbers ``index``; lanes take turns."""
     lanes = LANES if len(index) >= 1 << 16 else FEW_LANES
@@ -113,7 +125,7 @@ def decode_block(
 def pack_segment(doc_ids: list, ids: list[np.ndarray]) -> bytes:
     """One segment of whole documents."""
     flat = np.concatenate(ids).astype(np.int64)
-    symbols, index, counts = np.unique(flat, return_inverse=True, return_counts=True)
+    symbols, index, counts = numbered(flat)
     scaled, bits = normalised(counts)
     freq = scaled.astype(np.uint64)
     cum = np.cumsum(freq) - freq
