@@ -344,6 +344,8 @@ def open_file(uri: str) -> pa.NativeFile:
     return store.open_input_file(path)
 
 
+# Files of a small table for each task slot.
+FILES_PER_SLOT = 4
 # The tables stored within each open scope, the innermost last.
 _SCOPES: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
 
@@ -362,12 +364,19 @@ def scope() -> Iterator[None]:
             files.delete_dir(path)
 
 
-def store(df: DataFrame, compression: str = "zstd", outer: bool = False) -> DataFrame:
+def store(
+    df: DataFrame, compression: str = "zstd", outer: bool = False, small: bool = False
+) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back (a lineage cut that is small).
 
     The table lives as long as the scope it is stored in; ``outer``, as the one around that.
+    ``small``: rows are a few numbers, and a few files for each task slot hold them, however many
+    partitions they come from. Without Hadoop's native library a local file system starts three
+    processes for every file, each a fork of the executor.
     """
     path = shared_folder(df.sparkSession, "table")
+    if small:
+        df = df.coalesce(FILES_PER_SLOT * df.sparkSession.sparkContext.defaultParallelism)
     df.write.option("compression", compression).parquet(path)
     scopes = _SCOPES.get()[:-1] if outer else _SCOPES.get()
     if scopes:
@@ -400,7 +409,7 @@ def without_rows(docs: DataFrame, file: Column, row: Column, lost: DataFrame) ->
     Neither texts nor other columns of ``docs`` are shuffled: the places are stored in buckets by
     file and chunk of rows, and a task reads the places lost in the chunks it meets, one at a time.
     """
-    lost = store(lost.select("file", "row").distinct())
+    lost = store(lost.select("file", "row").distinct(), small=True)
     buckets = max(1, -(-lost.count() // BUCKET_ROWS))
 
     def bucket(file: Column, row: Column) -> Column:

@@ -477,7 +477,7 @@ def _texts(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
             )
 
     # Ids may repeat on rows of other texts: the mark picks the right one.
-    rows = store(wanted.distinct().join(classes.select("class", "id", "mark"), "class"))
+    rows = store(wanted.distinct().join(classes.select("class", "id", "mark"), "class"), small=True)
     packed = docs.join(rows, ["id", "mark"]).select("class", "text").mapInArrow(
         run, "class long, packed binary"
     )
@@ -506,7 +506,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int) ->
         texts.select(F.col("class").alias("a"), F.col("packed").alias("x")), "a"
     ).join(texts.select(F.col("class").alias("b"), F.col("packed").alias("y")), "b")
     with common.small_batches(pairs.sparkSession, TEXT_ROWS):
-        return store(both.mapInArrow(run, "a long, b long"))
+        return store(both.mapInArrow(run, "a long, b long"), small=True)
 
 
 def _nearer(labels: DataFrame | None, links: DataFrame) -> DataFrame:
@@ -519,7 +519,7 @@ def _nearer(labels: DataFrame | None, links: DataFrame) -> DataFrame:
         met = both.join(labels.withColumnRenamed("id", "b"), "b", "left")
         own = met.select(F.col("a").alias("id"), F.least("a", F.coalesce("component", "b")).alias("component"))
         own = own.unionAll(labels)
-    return store(own.groupBy("id").agg(F.min("component").alias("component")))
+    return store(own.groupBy("id").agg(F.min("component").alias("component")), small=True)
 
 
 def _outsiders(big: DataFrame, merged: DataFrame, turn: int) -> DataFrame:
@@ -668,13 +668,13 @@ def _class_components(docs: DataFrame, classes: DataFrame, k: int, num: int, den
         ends = pairs.select(F.explode(F.array("a", "b")).alias("class"))
         return _verified(pairs, _texts(docs, classes, ends), k, num, den)
 
-    near = store(_bounded(pivots, vectors, num, den))
+    near = store(_bounded(pivots, vectors, num, den), small=True)
     found = linked(near)
     merged = _nearer(_nearer(None, found), found)
-    wide = store(members.where(_parts() > 1).select("leaf", "class"))
+    wide = store(members.where(_parts() > 1).select("leaf", "class"), small=True)
     for turn in range(0 if wide.isEmpty() else ROUNDS):
         proposed = _outsiders(wide, merged, turn).join(near, ["a", "b"], "left_anti")
-        proposed = store(_bounded(proposed, vectors, num, den))
+        proposed = store(_bounded(proposed, vectors, num, den), small=True)
         links = linked(proposed)
         if links.isEmpty():
             break
@@ -703,7 +703,8 @@ def _class_components(docs: DataFrame, classes: DataFrame, k: int, num: int, den
     texts = _texts(docs, classes, met.select(F.col("id").alias("class")))
     with_texts = met.join(texts.withColumnRenamed("class", "id"), "id")
     with common.small_batches(spark, TEXT_ROWS):
-        links = store(_in_leaves(with_texts).mapInPandas(_links(k, num, den), "a long, b long"))
+        links = _in_leaves(with_texts).mapInPandas(_links(k, num, den), "a long, b long")
+        links = store(links, small=True)
     return components(found.unionAll(links))
 
 
@@ -744,7 +745,9 @@ def jaccard_components(
         rows = store(every.select("id", "mark", "n", "digest"), outer=True)
         groups = _class_components(plain, classes, k, num, den)
         labelled = classes.select("digest", F.col("class").alias("id")).join(groups, "id", "left")
-        labelled = store(labelled.select("digest", F.coalesce("component", "id").alias("component")))
+        labelled = store(
+            labelled.select("digest", F.coalesce("component", "id").alias("component")), small=True
+        )
         return _named(rows, labelled, id_, by_text)
 
 
@@ -754,7 +757,7 @@ def _named(rows: DataFrame, labelled: DataFrame, id_: str, by_text: bool) -> Dat
     rows_in = rows.where("n > 0 and id is not null").join(labelled, "digest")
     if by_text:
         names = rows_in.groupBy("component").agg(F.min("id").alias("component_id"))
-        by_digest = store(labelled.join(names, "component"), outer=True)
+        by_digest = store(labelled.join(names, "component"), outer=True, small=True)
         return _with_components(rows, by_digest, id_, "mark")
     several = rows_in.groupBy("id").agg(
         F.min("component").alias("lo"), F.max("component").alias("hi")
@@ -771,7 +774,7 @@ def _named(rows: DataFrame, labelled: DataFrame, id_: str, by_text: bool) -> Dat
         .groupBy("component")
         .agg(F.min("id").alias("component_id"))
     )
-    by_digest = store(bridged.join(names, "component"), outer=True)
+    by_digest = store(bridged.join(names, "component"), outer=True, small=True)
     return _with_components(rows, by_digest, id_)
 
 
