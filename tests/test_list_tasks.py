@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from songweave.models import base
+from songweave.models.overlap import ItemKNN
 from songweave.models.popular import MostPopular
 from songweave.models.walk import RandomWalkWithRestart
 from songweave.plans.candidates import candidates_wide
@@ -45,6 +46,14 @@ def test_lists_of_a_walk_are_dealt_by_their_rows(spark, monkeypatch):
     assert largest_task(lists) <= 3 * 200
 
 
+def test_lists_of_neighbours_are_dealt_by_their_rows(spark, monkeypatch):
+    monkeypatch.setattr(base, "ROWS_OUT", 200)
+    model = ItemKNN(weight_mode="float").fit(log_of(spark))
+    lists = model.recommend(spark.range(USERS).toDF("uid"), 10)
+    assert lists.groupBy("uid").count().where("count <> 10").isEmpty()
+    assert largest_task(lists) <= 3 * 200
+
+
 def test_wide_candidates_travel_once(spark):
     rows = [(1, 5, "a", 0.5), (1, 5, "b", None), (1, 6, "b", 2.0), (None, 5, "a", 1.0), (2, 7, "c", 9.0)]
     long = spark.createDataFrame(rows, "uid long, item_id long, model string, score double")
