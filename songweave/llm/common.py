@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import json
 import os
 import uuid
@@ -16,7 +17,7 @@ import xxhash
 from pyarrow import fs
 from pyarrow import parquet as pq
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from songweave.session import (
@@ -28,14 +29,40 @@ from songweave.session import (
 
 # Rows of one Arrow batch that are worked on at once: bounds the memory of long texts.
 SLICE_ROWS = 256
-# Distinct runs that an encoder remembers before it starts anew, and the bits of its table.
+# Rows that Python is handed at once, where a session doesn't say fewer.
+BATCH_ROWS = 2000
+# Distinct runs that an encoder remembers before it starts anew, and the bits its table begins with.
 CACHE_ENTRIES = 1_500_000
-TABLE_BITS = 22
+TABLE_BITS = 12
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One of the supplied tables."""
-    return apply_settings(spark).read.parquet(f"{folder}/{name}.parquet")
+    """One of the supplied tables. From then on Python is handed at most ``BATCH_ROWS`` rows at
+    once: the default of 10,000 texts is held by the JVM and by Python, in every task."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(apply_settings(spark).conf.get(rows))
+    if now <= 0 or now > BATCH_ROWS:
+        spark.conf.set(rows, str(BATCH_ROWS))
+    return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def give_back() -> None:
+    """Hand this process's free memory back to the system. Python workers live on between tasks,
+    and what their largest task took would stay theirs."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run``, a task over batches, which gives free memory back at its end."""
+
+    def tidied(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        give_back()
+
+    return tidied
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
@@ -171,11 +198,25 @@ class Encoder:
         self.special = [t["content"] for t in about.get("added_tokens", [])]
         self._forget()
 
-    def _forget(self) -> None:
+    def _table(self, bits: int) -> None:
         # By slot: the first 16 bytes of a run, and its number and length, 0 where free.
-        self.low = np.zeros(1 << TABLE_BITS, np.uint64)
-        self.high = np.zeros(1 << TABLE_BITS, np.uint64)
-        self.places = np.zeros(1 << TABLE_BITS, np.int32)
+        self.bits = bits
+        self.low = np.zeros(1 << bits, np.uint64)
+        self.high = np.zeros(1 << bits, np.uint64)
+        self.places = np.zeros(1 << bits, np.int32)
+
+    def _grow(self, entries: int) -> None:
+        """Make room: at least half of the table's slots stay free."""
+        if entries * 2 <= 1 << self.bits:
+            return
+        used = np.flatnonzero(self.places)
+        low, high, places = self.low[used], self.high[used], self.places[used].astype(np.int64)
+        self._table((entries * 2 - 1).bit_length())
+        sizes = places & 31
+        self._remember(low, high, sizes, places >> 5)
+
+    def _forget(self) -> None:
+        self._table(TABLE_BITS)
         self.longer: dict[bytes, int] = {}
         self.ids = np.empty(0, np.int32)
         self.starts = np.empty(0, np.int64)
@@ -189,28 +230,32 @@ class Encoder:
         odd = ODD[:4] if text.isascii() else ODD
         return any(c in text for c in odd) or any(s in text for s in self.special)
 
+    def _slots(self, low: np.ndarray, high: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        mixed = mix(low ^ mix(high + sizes.astype(np.uint64)))
+        return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
+
     def _keys(self, buffer: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple:
-        """(low, high, slot) of runs of at most 16 bytes: with their size, all that they are."""
+        """(low, high) of runs of at most 16 bytes: with their size, all that they are."""
         at = eights(buffer)
         low = at[starts] & CUT[np.minimum(sizes, 8)]
         high = at[np.minimum(starts + 8, len(at) - 1)] & CUT[np.clip(sizes - 8, 0, 8)]
-        mixed = mix(low ^ mix(high + sizes.astype(np.uint64)))
-        return low, high, (mixed >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+        return low, high
 
-    def _find(self, low, high, slots, sizes) -> np.ndarray:
+    def _find(self, low, high, sizes) -> np.ndarray:
         """Numbers of known runs of at most 16 bytes, -1 for others."""
         out, left = np.full(len(low), -1, np.int64), np.arange(len(low))
+        slots = self._slots(low, high, sizes)
         while len(left):
             places = self.places[slots]
             hit = (self.low[slots] == low[left]) & (self.high[slots] == high[left])
             hit &= places & 31 == sizes[left]
             out[left[hit]] = places[hit] >> 5
             on = ~hit & (places != 0)
-            left, slots = left[on], (slots[on] + 1) & ((1 << TABLE_BITS) - 1)
+            left, slots = left[on], (slots[on] + 1) & ((1 << self.bits) - 1)
         return out
 
-    def _remember(self, low, high, slots, sizes, numbers: np.ndarray) -> None:
-        left = np.arange(len(low))
+    def _remember(self, low, high, sizes, numbers: np.ndarray) -> None:
+        left, slots = np.arange(len(low)), self._slots(low, high, sizes)
         while len(left):
             free = self.places[slots] == 0
             _, one = np.unique(slots[free], return_index=True)
@@ -219,7 +264,7 @@ class Encoder:
             self.places[slots[take]] = numbers[left[take]] << 5 | sizes[left[take]]
             on = np.ones(len(left), np.bool_)
             on[take] = False
-            left, slots = left[on], (slots[on] + 1) & ((1 << TABLE_BITS) - 1)
+            left, slots = left[on], (slots[on] + 1) & ((1 << self.bits) - 1)
 
     def _numbers(self, joined: bytes, buffer: np.ndarray, starts, ends) -> np.ndarray:
         """The number of each run; new ones are encoded."""
@@ -231,7 +276,7 @@ class Encoder:
         runs = [joined[s:e] for s, e in zip(starts[long].tolist(), ends[long].tolist())]
         numbers[long] = [self.longer.get(r, -1) for r in runs]
         new = np.flatnonzero(numbers[short] < 0)
-        low, high, _, size = (k[new] for k in keys)
+        low, high, size = (k[new] for k in keys)
         order = np.lexsort([low, high, size])
         same = (np.diff(low[order]) == 0) & (np.diff(high[order]) == 0) & (np.diff(size[order]) == 0)
         one = new[order[np.append(np.ones(min(len(order), 1), np.bool_), ~same)]]
@@ -242,6 +287,7 @@ class Encoder:
         if known and known + len(one) + len(fresh) > CACHE_ENTRIES:
             self._forget()
             return self._numbers(joined, buffer, starts, ends)
+        self._grow(known + len(one) + len(fresh))
         first, last = starts[short][one].tolist(), ends[short][one].tolist()
         ids = self._library([joined[s:e].decode() for s, e in zip(first, last)])
         ids += self._library([r.decode() for r in fresh])
@@ -453,19 +499,20 @@ def without_rows(docs: DataFrame, file: Column, row: Column, lost: DataFrame) ->
 FAN = 8
 
 
-def merged_parts(states: DataFrame, together: Callable, schema: str) -> Row | None:
-    """The only row left after merging states in groups of ``FAN`` parts, round by round.
+def merged_parts(states: DataFrame, together: Callable, schema: str, *by: str) -> DataFrame:
+    """The rows left after merging states in groups of ``FAN`` parts, round by round: one, or one
+    for each value of ``by``.
 
     A state has its task's number as ``part``; ``together`` makes one, of part // ``FAN``, of a
-    pandas frame of those of a group. None without any.
+    pandas frame of those of a group. No rows without any.
     """
     states = store(states)
     most = states.agg(F.max("part")).first()[0]
     while most is not None and most > 0:
         group = F.floor(F.col("part") / FAN).alias("group")
-        states = store(states.groupBy(group).applyInPandas(together, schema))
+        states = store(states.groupBy(*by, group).applyInPandas(together, schema))
         most //= FAN
-    return states.first()
+    return states
 
 
 def fresh(df: DataFrame, name: str) -> str:

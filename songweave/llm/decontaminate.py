@@ -257,7 +257,7 @@ def benchmark_hits(
                     ["doc_id", "item_id", "word", "n_words", "similarity"],
                 )
 
-        return plain.mapInArrow(run, HITS)
+        return plain.mapInArrow(common.tidy(run), HITS)
 
     found = hits(0)
     for number in range(1, 2 * passes if passes > 1 else 1):

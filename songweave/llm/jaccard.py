@@ -53,8 +53,9 @@ GROUP_BITS = 6
 GROUPS = 1 << GROUP_BITS
 # log2 of the most groups of a vector, so its size is bounded.
 LEAF_BITS = 9
-# log2 of the counters that order shingles by how common they are.
+# log2 of the counters that order shingles by how common they are, and of those of one piece.
 SKETCH_BITS = 23
+PIECE_BITS = 19
 # Leaves above this size are linked to pivots first.
 LEAF = 64
 # A task's block of a leaf: the classes, and the shingles of all their sets.
@@ -129,32 +130,40 @@ def may_link(vectors: list[bytes], bits: np.ndarray, n: np.ndarray, i, j, num: i
 
 def levels_of(docs: DataFrame, k: int) -> np.ndarray:
     """How common the shingles of each counter are, over all documents: about 4 * log2 of their
-    number, in a byte. Tasks count for themselves, and their tables are added up in groups."""
+    number, in a byte. Tasks count for themselves; their tables travel in pieces, which are added
+    up in groups, so no task holds more than its own table."""
+    size = 1 << PIECE_BITS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << SKETCH_BITS, "<f4")
         for batch in common.slices(batches):
             for found in text_sets(common.bytes_of(batch.column("text")), k):
                 np.add.at(counts, (found >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
-        packed = zstandard.compress(counts, 1)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([TaskContext.get().partitionId()]), pa.array([packed])], ["part", "counts"]
-        )
+        part = TaskContext.get().partitionId()
+        for piece in range(len(counts) // size):
+            packed = zstandard.compress(counts[piece * size : (piece + 1) * size], 1)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([piece]), pa.array([part]), pa.array([packed])], ["piece", "part", "counts"]
+            )
 
     def added(pdf: pd.DataFrame) -> pd.DataFrame:
-        # Two tables in memory at a time.
-        counts = np.zeros(1 << SKETCH_BITS, "<f4")
+        # Two tables of a piece in memory at a time.
+        counts = np.zeros(size, "<f4")
         for packed in pdf["counts"]:
             counts += np.frombuffer(zstandard.decompress(packed), "<f4")
-        part = int(pdf["part"].iloc[0]) // common.FAN
-        return pd.DataFrame({"part": [part], "counts": [zstandard.compress(counts, 1)]})
+        piece, part = int(pdf["piece"].iloc[0]), int(pdf["part"].iloc[0]) // common.FAN
+        packed = zstandard.compress(counts, 1)
+        return pd.DataFrame({"piece": [piece], "part": [part], "counts": [packed]})
 
-    schema = "part long, counts binary"
-    one = common.merged_parts(docs.select("text").mapInArrow(run, schema), added, schema)
-    if one is None:
-        return np.zeros(1 << SKETCH_BITS, np.uint8)
-    counts = np.frombuffer(zstandard.decompress(one["counts"]), "<f4")
-    return np.minimum(4 * np.log2(counts + 1), 255).astype(np.uint8)
+    schema = "piece long, part long, counts binary"
+    tables = docs.select("text").mapInArrow(common.tidy(run), schema)
+    levels = np.zeros(1 << SKETCH_BITS, np.uint8)
+    # As many rows as there are pieces.
+    for row in common.merged_parts(tables, added, schema, "piece").collect():
+        counts = np.frombuffer(zstandard.decompress(row["counts"]), "<f4")
+        at = row["piece"] * size
+        levels[at : at + size] = np.minimum(4 * np.log2(counts + 1), 255)
+    return levels
 
 
 def in_sorted(values: np.ndarray, table: np.ndarray) -> np.ndarray:
@@ -192,7 +201,7 @@ def described(docs: DataFrame, k: int, num: int, den: int, levels: np.ndarray) -
             )
 
     return docs.mapInArrow(
-        run, "id long, mark long, n long, digest binary, vector binary, first array<long>"
+        common.tidy(run), "id long, mark long, n long, digest binary, vector binary, first array<long>"
     )
 
 
@@ -506,7 +515,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int) ->
         texts.select(F.col("class").alias("a"), F.col("packed").alias("x")), "a"
     ).join(texts.select(F.col("class").alias("b"), F.col("packed").alias("y")), "b")
     with common.small_batches(pairs.sparkSession, TEXT_ROWS):
-        return store(both.mapInArrow(run, "a long, b long"), small=True)
+        return store(both.mapInArrow(common.tidy(run), "a long, b long"), small=True)
 
 
 def _nearer(labels: DataFrame | None, links: DataFrame) -> DataFrame:
@@ -699,11 +708,11 @@ def _class_components(docs: DataFrame, classes: DataFrame, k: int, num: int, den
         .select("leaf", "x", "y", "block", F.col("class").alias("id"), "n", "vector", "component", "earlier")
     )
     schema = "leaf long, x int, y int, id long, component long"
-    met = store(_in_leaves(dealt).mapInPandas(_candidates(num, den), schema))
+    met = store(_in_leaves(dealt).mapInPandas(common.tidy(_candidates(num, den)), schema))
     texts = _texts(docs, classes, met.select(F.col("id").alias("class")))
     with_texts = met.join(texts.withColumnRenamed("class", "id"), "id")
     with common.small_batches(spark, TEXT_ROWS):
-        links = _in_leaves(with_texts).mapInPandas(_links(k, num, den), "a long, b long")
+        links = _in_leaves(with_texts).mapInPandas(common.tidy(_links(k, num, den)), "a long, b long")
         links = store(links, small=True)
     return components(found.unionAll(links))
 

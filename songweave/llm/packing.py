@@ -54,7 +54,7 @@ def encode_documents(docs: DataFrame, path: str, end_id: int, id_: str, text: st
     width = id_width(path, end_id)
     return common.store(
         docs.select(id_, text).mapInArrow(
-            run, f"part int, local_start long, `{id_}` {kind}, n long, ids binary"
+            common.tidy(run), f"part int, local_start long, `{id_}` {kind}, n long, ids binary"
         )
     )
 

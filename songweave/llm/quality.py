@@ -151,6 +151,7 @@ def fit(
             [t.encode() for t in pdf["_text"]], pdf["_label"].to_numpy(), settings
         )
         packed = np.append(model.weights, model.bias).astype("<f8").tobytes()
+        common.give_back()
         return pd.DataFrame({"weights": [packed], "rows": [len(pdf)]})
 
     found = rows.groupBy("_shard").applyInPandas(learn, "weights binary, rows long").collect()
