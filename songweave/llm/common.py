@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from songweave.session import (
     apply_settings,
     ensure_checkpoint_dir,
+    filesystem,
     small_batches,  # noqa: F401 - used by the operators
 )
 
@@ -363,15 +364,6 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def filesystem(uri: str) -> tuple[fs.FileSystem, str]:
-    """The file system and path of a URI; ``file:/x``, ``file:///x`` and plain paths too."""
-    if uri.startswith("file:"):
-        return fs.LocalFileSystem(), "/" + uri[5:].lstrip("/")
-    if "://" not in uri:
-        return fs.LocalFileSystem(), os.path.abspath(uri)
-    return fs.FileSystem.from_uri(uri)
-
-
 def new_file(folder: str, name: str) -> tuple[str, pa.NativeFile]:
     """Open ``folder/name-<random>`` for writing: a task that runs twice never shares a file.
 
