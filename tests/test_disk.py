@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from songweave.models.matrix import BM25
+from songweave.models.stratified import StratifiedBPR, turns
 from songweave.operators import products
 from songweave.session import ensure_checkpoint_dir, filesystem, passing, stored
 
@@ -64,3 +65,27 @@ def test_neighbours_leave_one_table(spark, make_log):
     model = BM25(K=3, weight_mode="float").fit(log)
     assert len(kept(spark) - before) == 2
     assert model.state["similar"].count() > 0
+
+
+def test_strata_leave_their_last_vectors_only(spark, make_log):
+    log = make_log([(u, u * i % 17, 100 * u + i, "listen", 90.0) for u in range(9) for i in range(7)])
+    before = kept(spark)
+    model = StratifiedBPR(factors=3, iterations=3, blocks=2, weight_mode="float").fit(log)
+    # Heard pairs and the vectors of the last of six strata.
+    assert len(kept(spark) - before) == 2
+    assert model.state["users"].count() == 9
+
+
+def test_turns_have_no_vector_in_common_and_keep_the_order():
+    rng = np.random.default_rng(4)
+    draws = np.array([(u, *rng.choice(30, 2, replace=False)) for u in rng.integers(0, 20, 400)])
+    found = turns(draws, 20, 30)
+    for turn in range(found.max() + 1):
+        own = draws[found == turn]
+        assert len(set(own[:, 0])) == len(own) and len(set(own[:, 1:].ravel())) == 2 * len(own)
+    for a in range(400):
+        for b in range(a):
+            if draws[a, 0] == draws[b, 0] or set(draws[a, 1:]) & set(draws[b, 1:]):
+                assert found[b] < found[a]
+    # As few as one vector's draws, not as many as there are draws.
+    assert found.max() + 1 < 200
