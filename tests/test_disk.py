@@ -5,9 +5,10 @@ import os
 import numpy as np
 from pyspark.sql import functions as F
 
-from songweave.models.matrix import BM25
+from songweave import session
+from songweave.models.matrix import ALS, BM25
 from songweave.models.stratified import StratifiedBPR, turns
-from songweave.operators import products
+from songweave.operators import products, similarity
 from songweave.session import ensure_checkpoint_dir, filesystem, passing, stored
 
 
@@ -89,3 +90,31 @@ def test_turns_have_no_vector_in_common_and_keep_the_order():
                 assert found[b] < found[a]
     # As few as one vector's draws, not as many as there are draws.
     assert found.max() + 1 < 200
+
+
+def test_what_iterations_shuffle_goes(spark, make_log, monkeypatch):
+    """Of 40 half-steps' shuffles, 20 files each, all were left."""
+    log = make_log([(u, u * i % 17, 100 * u + i, "listen", 90.0) for u in range(40) for i in range(9)])
+    monkeypatch.setattr(session, "SWEEP_SECONDS", 0.3)
+    before = shuffled(spark)
+    ALS(factors=2, iterations=20, weight_mode="float").fit(log)
+    assert shuffled(spark) - before < 400
+
+
+def test_lists_compare_rounded_scores(monkeypatch):
+    """Scores that are equal when rounded tie, also where the list is already full."""
+    rounded = []
+    plain = np.round
+    monkeypatch.setattr(similarity.np, "round", lambda a, d: rounded.append(np.size(a)) or plain(a, d))
+    rng = np.random.default_rng(6)
+    queries, items = rng.normal(size=(40, 3)), rng.normal(size=(900, 3))
+    items[600:] = items[300:600] * (1 + 1e-14 * rng.normal(size=(300, 1)))
+    lists = similarity._Lists(queries, np.full(40, 7))
+    for start in range(0, 900, 300):
+        lists.meet(items[start : start + 300], np.arange(start, start + 300))
+    scores = plain(queries @ items.T, similarity.DIGITS)
+    for q in range(40):
+        want = np.lexsort([np.arange(900), -scores[q]])[:7]
+        assert lists.items[lists.rows == q].tolist() == want.tolist()
+    # The first 300 are rounded, of the others hardly any.
+    assert sum(rounded) < 1.3 * 40 * 300
