@@ -6,7 +6,8 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from songweave import session
-from songweave.models.matrix import ALS, BM25
+from songweave.models import matrix
+from songweave.models.matrix import ALS, BM25, BPR, batch_gradients
 from songweave.models.stratified import StratifiedBPR, turns
 from songweave.operators import products, similarity
 from songweave.session import ensure_checkpoint_dir, filesystem, passing, stored
@@ -118,3 +119,42 @@ def test_lists_compare_rounded_scores(monkeypatch):
         assert lists.items[lists.rows == q].tolist() == want.tolist()
     # The first 300 are rounded, of the others hardly any.
     assert sum(rounded) < 1.3 * 40 * 300
+
+
+def test_batches_sum_every_draw(spark, monkeypatch):
+    """Blocks of users make the step that a plain loop over the draws makes."""
+    monkeypatch.setattr(matrix, "LEAST_DRAWS", 20)
+    monkeypatch.setattr(matrix, "DRAWS_AT_ONCE", 7)
+    rng = np.random.default_rng(8)
+    users, items = rng.normal(size=(10, 4)), rng.normal(size=(9, 4))
+    users[:, -1] = 1
+    draws = [(int(u), *map(int, rng.choice(8, 2, replace=False))) for u in rng.integers(0, 9, 80)]
+    model = BPR(factors=3, learning_rate=0.1, regularization=0.02)
+    before = kept(spark)
+    moved = model._moved(
+        spark.createDataFrame(draws, "uid long, item_id long, other long"),
+        spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(users)], "uid long, vector array<double>"),
+        spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(items)], "item_id long, vector array<double>"),
+        80,
+    )
+    assert len(kept(spark) - before) == 2
+    up, down = np.zeros((10, 4)), np.zeros((9, 4))
+    for u, i, j in draws:
+        z = 1 / (1 + np.exp(users[u] @ (items[i] - items[j])))
+        up[u] += z * (items[i] - items[j]) - 0.02 * users[u]
+        down[i] += z * users[u] - 0.02 * items[i]
+        down[j] += -z * users[u] - 0.02 * items[j]
+    want = users + 0.1 * up, items + 0.1 * down
+    want[0][:, -1] = 1
+    for table, key, rows in zip(moved, ("uid", "item_id"), want):
+        got = {r[key]: r["vector"] for r in table.collect()}
+        assert len(got) == len(rows) and all(np.allclose(got[k], rows[k]) for k in got)
+    assert batch_gradients(users, items, *np.empty((3, 0), np.int64))[0].sum() == 0
+
+
+def test_epochs_leave_their_last_vectors_only(spark, make_log):
+    log = make_log([(u, u * i % 17, 100 * u + i, "listen", 90.0) for u in range(9) for i in range(7)])
+    before = kept(spark)
+    BPR(factors=2, iterations=2, batch_draws=20, weight_mode="float").fit(log)
+    # Heard pairs, numbers of items, and the last users and items.
+    assert len(kept(spark) - before) == 4
