@@ -152,6 +152,14 @@ def test_batches_sum_every_draw(spark, monkeypatch):
     assert batch_gradients(users, items, *np.empty((3, 0), np.int64))[0].sum() == 0
 
 
+def test_unknown_users_and_items_have_no_draws(spark, make_log):
+    log = make_log([(u or None, i or None, 100 * u + i, "listen", 90.0) for u in range(9) for i in range(7)])
+    model = BPR(factors=2, iterations=2, weight_mode="float").fit(log)
+    users = {r["uid"]: r["vector"] for r in model.state["users"].collect()}
+    assert set(users) <= {None, *range(1, 9)} and all(np.isfinite(v).all() for v in users.values())
+    assert None not in {r["item_id"] for r in model.state["items"].collect()}
+
+
 def test_epochs_leave_their_last_vectors_only(spark, make_log):
     log = make_log([(u, u * i % 17, 100 * u + i, "listen", 90.0) for u in range(9) for i in range(7)])
     before = kept(spark)
